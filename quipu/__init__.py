@@ -1,0 +1 @@
+"""Public-spend analytics on Spark DataFrames."""

@@ -1 +1,10 @@
-"""."""
+"""Column expressions: text folding, identities, predicates, money and time."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def as_col(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c

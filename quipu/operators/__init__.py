@@ -1 +1 @@
-"""."""
+"""Domain operators: functions from DataFrames and parameters to a DataFrame."""

@@ -1 +1 @@
-"""."""
+"""Registered query plans."""

@@ -1 +1 @@
-"""."""
+"""Readers, the canonical fact schema, and writers."""
