@@ -3,9 +3,12 @@
 The library's pre-tokenizer parts a text by a regular expression and encodes
 each part on its own, so the ids of a text are the concatenated ids of its
 parts.  A worker keeps the ids of the parts it has met; only new ones go
-through the library's model.  Texts with characters outside ``SAFE`` (where
-Python's and the library's Unicode tables could differ) and texts that hold a
-special token's string go through the library as a whole.
+through the library's model.  The expression is restated over explicit letter
+classes, which the standard engine runs twice as fast as one with properties.
+
+Texts with characters of ``UNSAFE`` (where Python's and the library's Unicode
+tables could differ) and texts that hold a special token's string go through
+the library as a whole.
 """
 
 from __future__ import annotations
@@ -13,19 +16,29 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 import zlib
 
 import numpy as np
-import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-# The split patterns that the vocabulary files name.
-BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
+#: Characters that the restated patterns don't cover: texts with one go through the library.
+UNSAFE = re.compile("[^\x00-\x1b\x20-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e\u20ac]")
+
+
+def letter_class(test) -> str:
+    """The inside of a character class: the covered characters for which ``test`` holds, as ranges."""
+    held = [c for c in range(0x2100) if not UNSAFE.match(chr(c)) and test(chr(c))]
+    ends = [k for k in range(len(held)) if k + 1 == len(held) or held[k + 1] != held[k] + 1]
+    starts = [0, *(k + 1 for k in ends[:-1])]
+    return "".join(f"\\u{held[a]:04x}-\\u{held[b]:04x}" for a, b in zip(starts, ends))
 
-#: Characters for which the cached path is checked against the library (tests).
-UNSAFE = re.compile("[^\x00-\x1b\x20-įı-ɏ‐-‧‰-⁞€]")
+
+_L, _N, _W = (letter_class(f) for f in (lambda c: unicodedata.category(c)[0] == "L", lambda c: unicodedata.category(c)[0] == "N", str.isspace))
+# The split patterns that the vocabulary files name, over the covered characters.
+BYTE_PATTERN = f"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^{_W}{_L}{_N}]+|[{_W}]+(?![^{_W}])|[{_W}]+"
+WORD_PATTERN = f"'(?:[stmd]|re|ve|ll)|[{_L}]+|[{_N}]|[^{_W}{_L}{_N}]+"
 
 
 def byte_letters() -> dict[int, str]:
@@ -36,17 +49,26 @@ def byte_letters() -> dict[int, str]:
 
 
 class Ids(dict):
-    """Pre-token -> its ids as little-endian unsigned integers of ``width`` bytes; misses are encoded."""
+    """Part of a text -> its ids as bytes.
+
+    The first ``most`` parts are kept: frequent ones come early.  Once full,
+    others are encoded and not kept, so rare parts can't wash frequent ones
+    out; after many misses in a row of texts unlike the first, it starts anew.
+    """
 
     def __init__(self, encode, most: int):
         super().__init__()
-        self.encode, self.most = encode, most
+        self.encode, self.most, self.missed = encode, most, 0
 
     def __missing__(self, part: str) -> bytes:
         out = self.encode(part)
-        if len(self) >= self.most:
-            self.clear()
-        self[part] = out
+        if len(self) < self.most:
+            self[part] = out
+        else:
+            self.missed += 1
+            if self.missed > 20 * self.most:
+                self.clear()
+                self.missed = 0
         return out
 
 
@@ -56,7 +78,7 @@ class CachedEncoder:
     most: how many pre-tokens the cache holds (about 250 bytes each).
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 600000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -67,7 +89,7 @@ class CachedEncoder:
         self.special = tuple(x["content"] for x in spec["added_tokens"])
         model, letters = self.tokenizer.model, byte_letters()
         self.folds = spec["normalizer"] is not None
-        self.split = regex.compile(WORD_PATTERN if self.folds else BYTE_PATTERN).findall
+        self.split = re.compile(WORD_PATTERN if self.folds else BYTE_PATTERN).findall
 
         def encode(part: str) -> bytes:
             return np.array([t.id for t in model.tokenize(part.encode().decode("latin-1").translate(letters))], self.dtype).tobytes()
@@ -94,7 +116,7 @@ class CachedEncoder:
 _ENCODERS: dict[tuple, CachedEncoder] = {}
 
 
-def encoder(path: str, most: int = 600_000) -> CachedEncoder:
+def encoder(path: str, most: int = 600000) -> CachedEncoder:
     """One encoder per worker process and vocabulary file."""
     if (path, most) not in _ENCODERS:
         _ENCODERS[path, most] = CachedEncoder(path, most)
