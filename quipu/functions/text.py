@@ -8,6 +8,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 from . import as_col
 
@@ -59,7 +60,7 @@ def region_agrees(a, b) -> Column:
     return F.when((x != "") & (y != ""), F.contains(y, x) | F.contains(x, y))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-blocks ratio of two texts, which no built-in gives."""
     return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)], dtype="float64")
@@ -71,7 +72,7 @@ def similarity(a, b) -> Column:
     return F.when((x == "") | (y == ""), 0.0).when(x == y, 1.0).otherwise(0.65 * sequence_ratio(x, y) + 0.35 * token_jaccard(x, y))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def fold_exact(c: pd.Series) -> pd.Series:
     """Full compatibility decomposition, for scripts beyond Latin; upper case, white space collapsed."""
 
