@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import prepare
+from .bpe_cache import Ids
 
 SPACE = "▁"
 
@@ -40,7 +41,7 @@ SPACE = "▁"
 class PrefixEncoder:
     """Encodes and decodes as the library does with a BPE model of identity normalisation and byte fallback."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 600_000):
         import sentencepiece
 
         self.lib = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -53,7 +54,7 @@ class PrefixEncoder:
         self.bytes = {int(p[3:5], 16): k for k, p in enumerate(self.pieces) if kinds[k][1]}
         self.longer = {p for p in self.normal if len(p) > 1}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.words = Words(self, most)
+        self.words = Ids(lambda word: np.array(self.word_ids(word), "<u4").tobytes(), most)
         self.plain = lib.normalize("a  b") == f"{SPACE}a{SPACE}{SPACE}b" and lib.normalize("é\n") == f"{SPACE}é\n"
         #: Pieces that their own encoding gives back; only these can be a last token.
         self.automaton = ahocorasick.Automaton()
@@ -190,21 +191,6 @@ def utf8(raw: bytes) -> str:
         return "".join(out)
 
 
-class Words(dict):
-    """Word -> ids as bytes; emptied when it is full."""
-
-    def __init__(self, encoder: PrefixEncoder, most: int):
-        super().__init__()
-        self.encoder, self.most = encoder, most
-
-    def __missing__(self, word: str) -> bytes:
-        out = np.array(self.encoder.word_ids(word), "<u4").tobytes()
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = out
-        return out
-
-
 _ENCODERS: dict[str, PrefixEncoder] = {}
 
 
