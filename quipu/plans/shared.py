@@ -15,9 +15,9 @@ def detect(more: str) -> list[str]:
 
 
 def full_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What detectors, priority and territory read together."""
+    """What detectors, priority and territory read together; persisted, since each plan reads it in nine or more branches."""
     more = (
         "subtitulo item fecha_documento dias_de_pago numero_documento folio nombre_area nombre_capitulo nombre_partida region nombre_beneficiario "
         "orden_compra codigo_bip monto_pago codigo_ubicacion_geografica nombre_ubicacion_geografica"
     )
-    return facts(spark, sf_dir, *detect(more))
+    return facts(spark, sf_dir, *detect(more)).persist()
