@@ -53,7 +53,7 @@ def best_matches(local: DataFrame, external: DataFrame) -> DataFrame:
     return linked.withColumn("best", best).filter("best = 1").drop("best").withColumn("method", F.when(F.col("similarity") == 1.0, EXACT).otherwise(FUZZY))
 
 
-def make_links(matches: DataFrame, findings: DataFrame, entity_type: str, system: str = "RADAR_CGR") -> DataFrame:
+def make_links(matches: DataFrame, findings: DataFrame, entity_type: str, system: str = "EXTERNAL_REGISTER") -> DataFrame:
     """Matches as candidate links with a confidence and what the register found."""
     agrees = region_agrees("local_region", "ext_region")
     base = F.when(F.col("method") == EXACT, 0.92).otherwise(0.82) + F.when(agrees, 0.03).when(~agrees, -0.07).otherwise(0.0)

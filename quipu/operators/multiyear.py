@@ -197,3 +197,17 @@ def parity_differences(local: DataFrame, official: DataFrame) -> DataFrame:
     rows = local.withColumn("k", rut_key("rut_beneficiario")).join(theirs, "k").drop("k")
     gap = F.col("amount_clp") - F.col("official_amount_clp")
     return rows.withColumns({"difference_clp": gap, "difference_pct": F.when(F.col("official_amount_clp") != 0, gap / F.col("official_amount_clp"))})
+
+
+def reference_payments(facts: DataFrame, institution: str, year: int) -> DataFrame:
+    """Payments of one institution to its providers in a year: amount, rows, documents, months, share."""
+    name = F.lit(institution)
+    same = (name_ascii("nombre_partida") == name_ascii(name)) | (name_ascii("nombre_capitulo") == name_ascii(name)) | (name_ascii("nombre_area") == name_ascii(name))
+    mine = facts.filter((F.col("periodo") == year) & provider_scope() & same)
+    rows = mine.groupBy("provider_id").agg(
+        dominant(F.col("nombre_beneficiario"), F.abs("monto_pago")).alias("provider_name"), F.coalesce(total("monto_pago"), F.lit(0.0)).alias("amount_paid"), F.count("*").alias("payment_rows"),
+        F.count_distinct("numero_documento").alias("distinct_documents"), F.array_sort(F.collect_set("mes")).alias("months_with_payments"),
+    )
+    # One row: a proven bound for the broadcast.
+    whole = mine.agg(F.coalesce(total("monto_pago"), F.lit(0.0)).alias("whole"))
+    return rows.crossJoin(F.broadcast(whole)).withColumn("share", F.when(F.col("whole") != 0, F.col("amount_paid") / F.col("whole"))).drop("whole")

@@ -183,3 +183,12 @@ def compact(edges: DataFrame, profiles: DataFrame, service_names: DataFrame, cap
     stubs = people.join(profiles, "provider_id", "left")
     zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("amount_l12", "transactions_l12", "organizations_l12", "months_active") if c in profiles.columns}
     return edges_kept, stubs.withColumns({**zero, "provider_name": F.coalesce("provider_name", "flow_name")}).drop("flow_name")
+
+
+def services_nested(service_rows: DataFrame, months: DataFrame, strongest: DataFrame, overlay: DataFrame | None = None) -> DataFrame:
+    """Services as documents: their months nested, the strongest provider, and signals where there are any."""
+    nested = months.groupBy("organization_id").agg(F.sort_array(F.collect_list(F.struct("period", "amount_clp", "provider_amount_clp"))).alias("monthly"))
+    out = service_rows.join(nested, "organization_id", "left").join(strongest, "organization_id", "left")
+    if overlay is not None:
+        out = out.join(overlay, "organization_id", "left").withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("signal_count", "p1_count")})
+    return out

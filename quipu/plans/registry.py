@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import identity, text
 from ..functions.predicates import PUBLIC_PATTERNS, public_name
-from ..operators import documents, enrich, evidence, explore, fulltext, multiyear, priority, profiles, quality, search, signals, spend, territory
+from ..operators import documents, enrich, evidence, explore, fulltext, light, multiyear, priority, profiles, quality, search, signals, spend, territory
 from ..sources import delimited
 from ..sources.star import facts, facts_sql
 from .shared import detect, full_facts
@@ -648,6 +648,52 @@ SELECT rut_beneficiario, {_dominant('nombre_beneficiario', 'abs(monto_devengado)
 def parity_receiver_proxy(spark, sf_dir):
     return multiyear.parity_top(facts(spark, sf_dir, *"is_aggregated monto_devengado rut_beneficiario nombre_beneficiario subtitulo periodo".split()), 1997)
 
+@query(f"""m AS (SELECT * FROM facts WHERE periodo = 1997 AND {PROVIDER} AND nombre_area = 'NATION_7'), t AS (SELECT {money_sql('monto_pago')} AS w FROM m)
+SELECT provider_id, {_dominant('nombre_beneficiario', 'abs(monto_pago)')} AS provider_name, {money_sql('monto_pago')} AS amount_paid, count(*) AS payment_rows, count(DISTINCT numero_documento) AS distinct_documents,
+       string_agg(DISTINCT lpad(CAST(mes AS VARCHAR), 2, '0'), ',' ORDER BY lpad(CAST(mes AS VARCHAR), 2, '0')) AS months_with_payments, round({money_sql('monto_pago')} / any_value(w), 6) AS share FROM m, t GROUP BY 1""")
+def reference_payments(spark, sf_dir):
+    f = facts(spark, sf_dir, *"periodo mes provider_id is_provider nombre_partida nombre_capitulo nombre_area nombre_beneficiario monto_pago numero_documento".split())
+    rows = multiyear.reference_payments(f, "nation 7", 1997)
+    return rounded(rows.withColumn("months_with_payments", F.array_join(F.transform("months_with_payments", lambda m: F.lpad(m.cast("string"), 2, "0")), ",")), "share")
+
+
+@query("""r AS (SELECT partida, capitulo, nombre_capitulo, nombre_beneficiario, periodo, mes, monto_devengado, is_provider AS src, is_intra_state AS intra FROM facts),
+p AS (SELECT *, nombre_beneficiario LIKE '%00000001%' AS pub FROM r)
+SELECT 'ORG-PA-' || partida || '-' || capitulo AS organization_id, src AS is_provider_source, src AND NOT intra AND NOT pub AS is_provider, pub AS is_public_counterparty_name, count(*) AS n, CAST(sum(CAST(monto_devengado AS DECIMAL(18,2))) AS DOUBLE) AS amount_clp
+FROM p GROUP BY ALL""")
+def light_facts_scopes(spark, sf_dir):
+    f = facts(spark, sf_dir, *"partida capitulo nombre_capitulo nombre_partida nombre_area region nombre_subtitulo subtitulo nombre_beneficiario periodo mes monto_devengado monto_pago orden_compra is_provider is_intra_state is_aggregated rut_beneficiario".split())
+    text_of = lambda c: F.col(c).cast("string")
+    raw = f.select(
+        text_of("periodo").alias("periodo"), text_of("mes").alias("mes"), text_of("monto_devengado").alias("devengo"), text_of("monto_pago").alias("monto"), text_of("is_provider").alias("proveedor"), text_of("is_intra_state").alias("intraestado"),
+        text_of("is_aggregated").alias("agregado"), F.col("rut_beneficiario").alias("beneficiario"), "partida", "capitulo", "nombre_capitulo", "nombre_partida", "nombre_area", "region", "nombre_subtitulo", "subtitulo", "nombre_beneficiario", F.col("orden_compra").alias("orden_de_compra"),
+    )
+    rows = light.light_facts(raw, patterns=("00000001",))
+    return rows.groupBy("organization_id", "is_provider_source", "is_provider", "is_public_counterparty_name").agg(F.count("*").alias("n"), F.sum(F.col("monto_devengado").cast("decimal(18,2)")).cast("double").alias("amount_clp"))
+
+
+@query(f"""{_L12}, m AS (SELECT organization_id, strftime(month_date, '%Y-%m') AS period, {_sum()} AS a FROM l12 GROUP BY 1, 2), n AS (SELECT organization_id, string_agg(period || '=' || CAST(CAST(a AS DECIMAL(20,2)) AS VARCHAR), ' ' ORDER BY period) AS monthly FROM m GROUP BY 1),
+s AS (SELECT organization_id, {_sum()} AS amount_l12 FROM l12 GROUP BY 1) SELECT organization_id, amount_l12, monthly FROM s JOIN n USING (organization_id)""")
+def l12_services_nested(spark, sf_dir):
+    _, _, now, before = _rolling(spark, sf_dir, "organization_id provider_id is_provider nombre_area nombre_capitulo nombre_partida nombre_beneficiario region nombre_subtitulo subtitulo")
+    nested = spend.services_nested(spend.services(now, before), spend.service_months(now), spend.service_concentration(now))
+    return nested.select("organization_id", "amount_l12", F.array_join(F.transform("monthly", lambda m: F.concat(m["period"], F.lit("="), m["amount_clp"].cast("decimal(20,2)").cast("string"))), " ").alias("monthly"))
+
+
+@query("""SELECT page_id, len(regexp_extract_all(html, '<[a-zA-Z]')) AS n_tags, len(regexp_extract_all(html, '(?is)<tr[^>]*>')) AS n_rows FROM pages""")
+def page_structure(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    count = lambda p: F.size(F.regexp_extract_all("html", F.lit(p), F.lit(0))).cast("long")
+    return pages.select("page_id", count("<[a-zA-Z]").alias("n_tags"), count("(?is)<tr[^>]*>").alias("n_rows"))
+
+
+@query(f"""{_EDGES}, e AS (SELECT organization_id, provider_id, round(sum(amount_clp), 2) AS amount_clp FROM ed GROUP BY 1, 2), c AS (SELECT organization_id AS local_rut, round(sum(amount_clp), 2) AS amount_clp FROM e GROUP BY 1)
+SELECT local_rut AS organization_id, amount_clp, round(amount_clp - 1000, 2) AS official_amount_clp, round(round(amount_clp - round(amount_clp - 1000, 2), 2) / round(amount_clp - 1000, 2), 6) AS difference_pct FROM c""")
+def parity_differences(spark, sf_dir):
+    sums = _edges(spark, sf_dir)[1].groupBy("organization_id").agg(F.sum(F.col("amount_clp").cast("decimal(24,2)")).cast("double").alias("amount_clp")).withColumn("rut_beneficiario", F.substring("organization_id", 5, 2))
+    official = sums.select(F.concat(F.lit("0."), "rut_beneficiario").alias("rut"), F.round(F.col("amount_clp") - 1000, 2).alias("amount_clp")).withColumn("rut", F.substring("rut", 3, 2))
+    return rounded(multiyear.parity_differences(sums, official), "difference_pct").select("organization_id", "amount_clp", "official_amount_clp", "difference_pct")
+
 
 # --- explorer -------------------------------------------------------------------------------------------------------
 
