@@ -17,8 +17,18 @@ def rut_check_digit(body: Column) -> Column:
     """Check digit of a body of up to eight digits: modulo 11, weights 2 to 7 from the right."""
     padded = F.lpad(body, 8, "0")
     total = sum((F.substring(padded, i + 1, 1).cast("int") * w for i, w in enumerate(RUT_WEIGHTS)), F.lit(0))
-    rest = 11 - total % 11
-    return F.when(rest == 11, "0").when(rest == 10, "K").otherwise(rest.cast("string"))
+    return check_letter(total)
+
+
+def check_letter(total: Column) -> Column:
+    """11 less the remainder, with 11 as 0 and 10 as K; one look into a literal, so the sum is made once."""
+    return F.substring(F.lit("0K987654321"), (total % 11 + 1).cast("int"), F.lit(1))
+
+
+def rut_of_number(number: Column) -> Column:
+    """Canonical tax number of a numeric body of up to eight digits, by integer arithmetic."""
+    total = sum((F.floor(number / 10**k).cast("long") % 10 * (2 + k % 6) for k in range(8)), F.lit(0))
+    return F.concat(number.cast("string"), F.lit("-"), check_letter(total))
 
 
 def normalize_rut(c) -> Column:

@@ -47,15 +47,19 @@ def first_present(*columns) -> Column:
     return F.coalesce(*[blank_to_null(c) for c in columns[:-1]], as_col(columns[-1]))
 
 
-def money(c="monto_devengado") -> Column:
-    """Amounts as exact decimals, so that sums don't depend on the order of rows."""
-    return as_col(c).cast("decimal(18,2)")
+def cents(c="monto_devengado") -> Column:
+    """Amounts as whole hundredths.
+
+    Sums of integers don't depend on the order of rows and cost far less than
+    decimals made of doubles; a sum beyond 9e16 units raises, it never wraps.
+    """
+    return F.rint(as_col(c) * 100).cast("long")
 
 
 def total(c="monto_devengado", when: Column | None = None) -> Column:
     """Exact sum as a double; map-side partial like any sum."""
-    x = money(c)
-    return F.sum(F.when(when, x) if when is not None else x).cast("double")
+    x = cents(c)
+    return F.sum(F.when(when, x) if when is not None else x) / 100
 
 
 def dominant(value: Column, size: Column) -> Column:

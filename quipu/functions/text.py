@@ -19,8 +19,9 @@ PLAIN = "".join(b for _, b in _ACCENTED)
 
 
 def strip_accents(c) -> Column:
-    """Accented Latin letters to their base letters."""
-    return F.translate(as_col(c), ACCENTED, PLAIN)
+    """Accented Latin letters to their base letters; texts of plain letters skip the lookup."""
+    x = as_col(c)
+    return F.when(F.octet_length(x) == F.char_length(x), x).otherwise(F.translate(x, ACCENTED, PLAIN))
 
 
 def normalize_text(c) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.predicates import share
+from ..functions.predicates import cents, share, total
 from ..functions.text import fold
 
 
@@ -17,37 +17,33 @@ def scope(edges: DataFrame, **equal) -> DataFrame:
     return edges
 
 
-def _exact(c: str):
-    return F.sum(F.col(c).cast("decimal(24,2)")).cast("double")
-
-
 def ends(edges: DataFrame) -> DataFrame:
     """Sums of both ends of the scoped edges."""
-    side = lambda c, kind: edges.groupBy(F.col(c).alias("entity_id")).agg(_exact("amount_clp").alias("amount_clp")).withColumn("kind", F.lit(kind))
+    side = lambda c, kind: edges.groupBy(F.col(c).alias("entity_id")).agg(total("amount_clp").alias("amount_clp")).withColumn("kind", F.lit(kind))
     return side("organization_id", "service").unionByName(side("provider_id", "provider"))
 
 
 def dependence_influence(edges: DataFrame) -> DataFrame:
     """Per provider: its largest edge over its own total (dependence) and over that organisation's total (influence)."""
-    by_provider = edges.groupBy("provider_id").agg(_exact("amount_clp").alias("provider_total"), F.min_by(F.struct("organization_id", "amount_clp"), F.struct(-F.col("amount_clp"), F.col("organization_id"))).alias("top"))
-    by_service = edges.groupBy("organization_id").agg(_exact("amount_clp").alias("service_total"))
+    by_provider = edges.groupBy("provider_id").agg(total("amount_clp").alias("provider_total"), F.min_by(F.struct("organization_id", "amount_clp"), F.struct(-F.col("amount_clp"), F.col("organization_id"))).alias("top"))
+    by_service = edges.groupBy("organization_id").agg(total("amount_clp").alias("service_total"))
     rows = by_provider.select("provider_id", "provider_total", F.col("top.organization_id").alias("organization_id"), F.col("top.amount_clp").alias("top_amount")).join(by_service, "organization_id")
     return rows.select("provider_id", "organization_id", "top_amount", share("top_amount", "provider_total").alias("dependence"), share("top_amount", "service_total").alias("influence"))
 
 
 def kpis(edges: DataFrame, top: int = 10) -> DataFrame:
-    by_provider = edges.groupBy("provider_id").agg(_exact("amount_clp").alias("a"))
-    first = by_provider.orderBy(F.desc("a"), "provider_id").limit(top).agg(_exact("a").alias("first"))
-    whole = by_provider.agg(_exact("a").alias("flow_total"), F.sum(F.pow("a", F.lit(2.0))).alias("squares"), F.min_by("provider_id", F.struct(-F.col("a"), F.col("provider_id"))).alias("top_provider_id"), F.count("*").alias("providers"))
+    by_provider = edges.groupBy("provider_id").agg(total("amount_clp").alias("a"))
+    first = by_provider.orderBy(F.desc("a"), "provider_id").limit(top).agg(total("a").alias("first"))
+    whole = by_provider.agg(total("a").alias("flow_total"), F.sum(F.pow("a", F.lit(2.0))).alias("squares"), F.min_by("provider_id", F.struct(-F.col("a"), F.col("provider_id"))).alias("top_provider_id"), F.count("*").alias("providers"))
     return whole.crossJoin(first).select("flow_total", "providers", "top_provider_id", share("first", "flow_total").alias("top10_share"), share("squares", F.col("flow_total") * F.col("flow_total")).alias("hhi"))
 
 
 def pareto(rows: DataFrame, key: str, amount: str, top: int = 100) -> DataFrame:
     """Running share of the whole over the largest ``top`` rows; the running sum sees no more rows than are shown."""
-    whole = rows.agg(_exact(amount).alias("whole"))
+    whole = rows.agg(total(amount).alias("whole"))
     first = rows.orderBy(F.desc(amount), key).limit(top)
     w = Window.orderBy(F.desc(amount), key).rowsBetween(Window.unboundedPreceding, 0)
-    running = first.withColumns({"rank": F.row_number().over(Window.orderBy(F.desc(amount), key)), "running": F.sum(F.col(amount).cast("decimal(24,2)")).over(w).cast("double")})
+    running = first.withColumns({"rank": F.row_number().over(Window.orderBy(F.desc(amount), key)), "running": F.sum(cents(amount)).over(w) / 100})
     # One row: a proven bound for the broadcast.
     return running.crossJoin(F.broadcast(whole)).select(key, amount, "rank", share("running", "whole").alias("cumulative_share"))
 
@@ -86,7 +82,7 @@ def union_marks(*marks: DataFrame) -> DataFrame:
 def mark_summary(marks: DataFrame, sizes: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Distinct entities and their (not additive) amounts per mark, in a given order of marks, then by name."""
     once = marks.select("entity_id", "signal_type").distinct()
-    rows = once.join(sizes, "entity_id").groupBy("signal_type").agg(F.count("*").alias("entities"), _exact("amount_clp").alias("amount_clp"))
+    rows = once.join(sizes, "entity_id").groupBy("signal_type").agg(F.count("*").alias("entities"), total("amount_clp").alias("amount_clp"))
     place = F.array_position(F.array(*[F.lit(x) for x in order or ["-"]]), F.col("signal_type"))
     return rows.orderBy(F.when(place == 0, 1_000_000).otherwise(place), "signal_type")
 
@@ -103,7 +99,7 @@ def months_with_fallback(paid: DataFrame, accrued: DataFrame, key: str = "provid
 
 
 def yearly_from_months(months: DataFrame, key: str) -> DataFrame:
-    return months.groupBy(key, F.substring("period", 1, 4).cast("int").alias("year")).agg(_exact("amount_clp").alias("amount_clp"))
+    return months.groupBy(key, F.substring("period", 1, 4).cast("int").alias("year")).agg(total("amount_clp").alias("amount_clp"))
 
 
 def weekly_clusters(events: DataFrame, least: int = 3) -> DataFrame:

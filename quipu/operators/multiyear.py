@@ -22,10 +22,6 @@ def _size():
     return F.abs("monto_devengado")
 
 
-def _exact(c: str):
-    return F.sum(F.col(c).cast("decimal(24,2)")).cast("double")
-
-
 def service_years(facts: DataFrame) -> DataFrame:
     """(organisation, year): dominant name and region, amount, rows."""
     return facts.groupBy("organization_id", F.col("periodo").alias("year")).agg(
@@ -59,13 +55,13 @@ def relations(facts: DataFrame) -> DataFrame:
 
 def provider_years(edges: DataFrame) -> DataFrame:
     """(provider, year) over all relations, with the provider's first year."""
-    rows = edges.groupBy("provider_id", "year").agg(_exact("amount_clp").alias("amount_clp"), F.sum("transactions").alias("transactions"), F.count_distinct("organization_id").alias("organizations"))
+    rows = edges.groupBy("provider_id", "year").agg(total("amount_clp").alias("amount_clp"), F.sum("transactions").alias("transactions"), F.count_distinct("organization_id").alias("organizations"))
     return rows.withColumn("first_year", F.min("year").over(Window.partitionBy("provider_id")))
 
 
 def service_provider_years(edges: DataFrame) -> DataFrame:
     """(organisation, year): spend with private providers and how many they are."""
-    return edges.groupBy("organization_id", "year").agg(_exact("amount_clp").alias("provider_amount_clp"), F.count("*").alias("providers"))
+    return edges.groupBy("organization_id", "year").agg(total("amount_clp").alias("provider_amount_clp"), F.count("*").alias("providers"))
 
 
 @dataclass(frozen=True)
@@ -101,7 +97,7 @@ def marks(facts: DataFrame, edges: DataFrame, rules: MarkRules = MarkRules()) ->
     spike = _mark(spikes, "service", "organization_id", "YEAR_END_SPIKE", F.col("end") / F.col("base"), F.lit("MEDIUM"))
 
     whole = edges.groupBy("organization_id", "year").agg(
-        _exact("amount_clp").alias("total"), F.count("*").alias("n"), F.sum(F.pow("amount_clp", F.lit(2.0))).alias("squares"),
+        total("amount_clp").alias("total"), F.count("*").alias("n"), F.sum(F.pow("amount_clp", F.lit(2.0))).alias("squares"),
         F.min_by(F.struct("provider_id", "amount_clp"), F.struct(-F.col("amount_clp"), F.col("provider_id"))).alias("top"),
     ).filter((F.col("total") > 0) & (F.col("n") >= rules.min_providers))
     shares = whole.select("organization_id", "year", F.col("top.provider_id").alias("provider_id"), F.col("top.amount_clp").alias("a"), (F.col("top.amount_clp") / F.col("total")).alias("share"), (F.col("squares") / (F.col("total") * F.col("total"))).alias("h"))
@@ -127,7 +123,7 @@ def publish(edges: DataFrame, all_marks: DataFrame, max_seeds: int = 1400, core_
     a smaller core of seeds are kept.  The choice is one count, made on the
     cluster.
     """
-    by_provider = edges.groupBy("provider_id").agg(F.abs(_exact("amount_clp")).alias("size"))
+    by_provider = edges.groupBy("provider_id").agg(F.abs(total("amount_clp")).alias("size"))
     largest = by_provider.orderBy(F.desc("size"), "provider_id").limit(max_seeds)
     placed = largest.withColumn("place", F.row_number().over(Window.orderBy(F.desc("size"), "provider_id"))).select("provider_id", "place")
     always = all_marks.filter("scope = 'provider'").select(F.col("entity_id").alias("provider_id")).union(edges.filter(F.contains(name_ascii("organization_name"), F.lit(reference))).select("provider_id")).distinct()

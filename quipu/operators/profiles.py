@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import hhi, month_date, money, provider_scope, total, valid_month
+from ..functions.predicates import hhi, month_date, provider_scope, total, valid_month
 
 
 def _seen():
@@ -60,7 +60,7 @@ def _by_org():
 
 def organization_profiles(facts: DataFrame) -> DataFrame:
     """One row per organisation with supplier and recipient concentration."""
-    amount = F.sum(money()).cast("double").alias("amount")
+    amount = total().alias("amount")
     suppliers = facts.filter(provider_scope()).groupBy("organization_id", "provider_id").agg(amount)
     recipients = facts.groupBy("organization_id", "recipient_id").agg(amount)
     base = facts.groupBy("organization_id").agg(

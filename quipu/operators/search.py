@@ -61,13 +61,8 @@ def predicates(rows: DataFrame, **f) -> list[Column]:
         raise ValueError(f"unknown filters: {sorted(unknown)}")
     out: list[Column] = []
     body = blob(rows, f.get("search_fields"))
-    if words := _folded_words(f.get("text") or ""):
-        mode = (f.get("text_mode") or "all").lower()
-        if mode not in ("all", "any", "phrase"):
-            raise ValueError("text_mode is all, any or phrase")
-        tests = [body.contains(" ".join(words))] if mode == "phrase" else [body.contains(w) for w in words]
-        out.append(reduce(Column.__or__ if mode == "any" else Column.__and__, tests))
-    out += [~body.contains(w) for w in _folded_words(f.get("exclude_text") or "")]
+    if (said := text_condition(body, f.get("text"), f.get("text_mode"), f.get("exclude_text"))) is not None:
+        out.append(said)
     if f.get("rut"):
         out.append(_rut_condition(rows, f["rut"]))
     out += [F.col(c) == str(f[k]) for k, c in EQUAL.items() if f.get(k)]
@@ -89,6 +84,27 @@ def predicates(rows: DataFrame, **f) -> list[Column]:
     return out
 
 
+def text_condition(body: Column, text: str | None, mode: str | None = None, exclude: str | None = None) -> Column | None:
+    """All conditions on the searched text.
+
+    They are asked of the one element of an array, so the text is built and
+    folded once a row, not once per word.
+    """
+    mode = (mode or "all").lower()
+    if mode not in ("all", "any", "phrase"):
+        raise ValueError("text_mode is all, any or phrase")
+    words, banned = _folded_words(text or ""), _folded_words(exclude or "")
+    if not words and not banned:
+        return None
+
+    def holds(b: Column) -> Column:
+        tests = [b.contains(" ".join(words))] if mode == "phrase" and words else [b.contains(w) for w in words]
+        joined = [reduce(Column.__or__ if mode == "any" else Column.__and__, tests)] if tests else []
+        return reduce(Column.__and__, [*joined, *(~b.contains(w) for w in banned)])
+
+    return F.exists(F.array(body), holds)
+
+
 def _rut_condition(rows: DataFrame, rut: str) -> Column:
     checked = rows.sparkSession.range(1).select(normalize_rut(F.lit(rut))).first()[0]
     if not checked:

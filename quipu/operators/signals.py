@@ -168,7 +168,7 @@ def provider_concentration(facts: DataFrame, t: Thresholds = Thresholds(), entit
     )
     # Two aggregates and a per-key maximum instead of windows: each is partial map-side, so no year of an organisation has to fit in one task.
     whole = spend.groupBy(entity, "periodo").agg(
-        F.sum(F.col("amount").cast("decimal(24,2)")).cast("double").alias("total"), F.count("*").alias("providers"), F.sum(F.pow("amount", F.lit(2.0))).alias("squares"),
+        total("amount").alias("total"), F.count("*").alias("providers"), F.sum(F.pow("amount", F.lit(2.0))).alias("squares"),
         F.min_by(F.struct("provider_id", "recipient_id", "transaction_id", "mes", "amount"), F.struct(-F.col("amount"), F.col("provider_id"))).alias("top"),
     )
     found = whole.filter("total > 0").select(

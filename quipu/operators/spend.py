@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.predicates import blank_to_null, dominant, first_present, money, month_date, present, provider_scope, share, total, valid_month
+from ..functions.predicates import blank_to_null, dominant, first_present, month_date, present, provider_scope, share, total, valid_month
 
 
 def _amount_size():
@@ -14,7 +14,7 @@ def _amount_size():
 
 def with_months(facts: DataFrame) -> DataFrame:
     """Facts of valid months with ``month_date`` and ``amount`` (missing amounts as 0)."""
-    return facts.filter(valid_month()).withColumns({"month_date": month_date(), "amount": F.coalesce(money(), F.lit(0).cast("decimal(18,2)")).cast("double")})
+    return facts.filter(valid_month()).withColumns({"month_date": month_date(), "amount": F.coalesce("monto_devengado", F.lit(0.0))})
 
 
 def bounds(facts: DataFrame) -> DataFrame:
@@ -98,18 +98,14 @@ def pairs(l12: DataFrame) -> DataFrame:
     )
 
 
-def _exact(c: str):
-    return F.sum(F.col(c).cast("decimal(24,2)")).cast("double")
-
-
 def flows(edges: DataFrame, per_service: int = 8, top: int = 12_000) -> DataFrame:
     """The largest edges of each organisation with their shares of both ends.
 
     Shares come from joins with the ends' sums: a hot end is a skewed join key,
     which AQE can split, where a window couldn't.
     """
-    by_service = edges.groupBy("organization_id").agg(_exact("amount_clp").alias("service_provider_amount"))
-    by_provider = edges.groupBy("provider_id").agg(_exact("amount_clp").alias("provider_amount"))
+    by_service = edges.groupBy("organization_id").agg(total("amount_clp").alias("service_provider_amount"))
+    by_provider = edges.groupBy("provider_id").agg(total("amount_clp").alias("provider_amount"))
     rank = F.row_number().over(Window.partitionBy("organization_id").orderBy(F.desc("amount_clp"), "provider_id"))
     kept = edges.withColumn("service_rank", rank).filter(F.col("service_rank") <= per_service).drop("service_rank")
     rows = kept.join(by_service, "organization_id").join(by_provider, "provider_id")
@@ -145,8 +141,8 @@ def providers(facts: DataFrame, l12: DataFrame, prev12: DataFrame, top: int = 15
 def concentration(l12: DataFrame, top: int = 10) -> DataFrame:
     """Share of the ten largest providers, and the Herfindahl index over all; no global window."""
     spend = l12.filter(provider_scope()).groupBy("provider_id").agg(total("amount").alias("a"))
-    first = spend.orderBy(F.desc("a"), "provider_id").limit(top).agg(_exact("a").alias("first"))
-    whole = spend.agg(_exact("a").alias("total"), F.sum(F.pow("a", F.lit(2.0))).alias("squares"))
+    first = spend.orderBy(F.desc("a"), "provider_id").limit(top).agg(total("a").alias("first"))
+    whole = spend.agg(total("a").alias("total"), F.sum(F.pow("a", F.lit(2.0))).alias("squares"))
     return whole.crossJoin(first).select(
         F.coalesce(share("first", "total"), F.lit(0.0)).alias("top10_provider_share"), F.coalesce(share("squares", F.col("total") * F.col("total")), F.lit(0.0)).alias("provider_hhi"), "total"
     )
@@ -156,7 +152,7 @@ def service_concentration(l12: DataFrame) -> DataFrame:
     """Largest provider, its share, and the Herfindahl index per organisation."""
     spend = l12.filter(provider_scope()).groupBy("organization_id", "provider_id").agg(dominant(provider_name(), _amount_size()).alias("provider_name"), total("amount").alias("a"))
     rows = spend.groupBy("organization_id").agg(
-        F.min_by(F.struct("provider_id", "provider_name", "a"), F.struct(-F.col("a"), F.col("provider_id"))).alias("top"), _exact("a").alias("total"), F.sum(F.pow("a", F.lit(2.0))).alias("squares")
+        F.min_by(F.struct("provider_id", "provider_name", "a"), F.struct(-F.col("a"), F.col("provider_id"))).alias("top"), total("a").alias("total"), F.sum(F.pow("a", F.lit(2.0))).alias("squares")
     )
     return rows.select("organization_id", F.col("top.provider_id").alias("top_provider_id"), F.col("top.provider_name").alias("top_provider_name"), share("top.a", "total").alias("top_provider_share"), share("squares", F.col("total") * F.col("total")).alias("provider_hhi"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import identity, text
-from ..functions.predicates import PUBLIC_PATTERNS, public_name
+from ..functions.predicates import PUBLIC_PATTERNS, total
 from ..operators import documents, enrich, evidence, explore, fulltext, light, multiyear, priority, profiles, quality, search, signals, spend, territory
 from ..sources import delimited
 from ..sources.star import facts, facts_sql
@@ -628,7 +628,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY organization_id ORDER BY round(a
 SELECT organization_id, provider_id, provider_name, round(amount_clp, 2) AS amount_clp FROM o WHERE g <= 300 OR rn <= 2""")
 def k_per_group_then_fill(spark, sf_dir):
     f = facts(spark, sf_dir, *_YEAR_COLUMNS.split())
-    edges = multiyear.relations(f).groupBy("organization_id", "provider_id", "provider_name").agg(F.sum(F.col("amount_clp").cast("decimal(24,2)")).cast("double").alias("amount_clp"))
+    edges = multiyear.relations(f).groupBy("organization_id", "provider_id", "provider_name").agg(total("amount_clp").alias("amount_clp"))
     none = spark.range(0).select(F.lit("").alias("provider_id"), F.lit("").alias("provider_name"))
     return spend.compact(edges, none, multiyear.service_names(multiyear.service_years(f)), cap=300)[0]
 
@@ -669,7 +669,7 @@ def light_facts_scopes(spark, sf_dir):
         text_of("is_aggregated").alias("agregado"), F.col("rut_beneficiario").alias("beneficiario"), "partida", "capitulo", "nombre_capitulo", "nombre_partida", "nombre_area", "region", "nombre_subtitulo", "subtitulo", "nombre_beneficiario", F.col("orden_compra").alias("orden_de_compra"),
     )
     rows = light.light_facts(raw, patterns=("00000001",))
-    return rows.groupBy("organization_id", "is_provider_source", "is_provider", "is_public_counterparty_name").agg(F.count("*").alias("n"), F.sum(F.col("monto_devengado").cast("decimal(18,2)")).cast("double").alias("amount_clp"))
+    return rows.groupBy("organization_id", "is_provider_source", "is_provider", "is_public_counterparty_name").agg(F.count("*").alias("n"), total("monto_devengado").alias("amount_clp"))
 
 
 @query(f"""{_L12}, m AS (SELECT organization_id, strftime(month_date, '%Y-%m') AS period, {_sum()} AS a FROM l12 GROUP BY 1, 2), n AS (SELECT organization_id, string_agg(period || '=' || CAST(CAST(a AS DECIMAL(20,2)) AS VARCHAR), ' ' ORDER BY period) AS monthly FROM m GROUP BY 1),
@@ -690,7 +690,7 @@ def page_structure(spark, sf_dir):
 @query(f"""{_EDGES}, e AS (SELECT organization_id, provider_id, round(sum(amount_clp), 2) AS amount_clp FROM ed GROUP BY 1, 2), c AS (SELECT organization_id AS local_rut, round(sum(amount_clp), 2) AS amount_clp FROM e GROUP BY 1)
 SELECT local_rut AS organization_id, amount_clp, round(amount_clp - 1000, 2) AS official_amount_clp, round(round(amount_clp - round(amount_clp - 1000, 2), 2) / round(amount_clp - 1000, 2), 6) AS difference_pct FROM c""")
 def parity_differences(spark, sf_dir):
-    sums = _edges(spark, sf_dir)[1].groupBy("organization_id").agg(F.sum(F.col("amount_clp").cast("decimal(24,2)")).cast("double").alias("amount_clp")).withColumn("rut_beneficiario", F.substring("organization_id", 5, 2))
+    sums = _edges(spark, sf_dir)[1].groupBy("organization_id").agg(total("amount_clp").alias("amount_clp")).withColumn("rut_beneficiario", F.substring("organization_id", 5, 2))
     official = sums.select(F.concat(F.lit("0."), "rut_beneficiario").alias("rut"), F.round(F.col("amount_clp") - 1000, 2).alias("amount_clp")).withColumn("rut", F.substring("rut", 3, 2))
     return rounded(multiyear.parity_differences(sums, official), "difference_pct").select("organization_id", "amount_clp", "official_amount_clp", "difference_pct")
 
@@ -702,7 +702,7 @@ def parity_differences(spark, sf_dir):
 t AS (SELECT *, sum(a) OVER (PARTITION BY provider_id) AS pt, sum(a) OVER (PARTITION BY organization_id) AS st, row_number() OVER (PARTITION BY provider_id ORDER BY a DESC, organization_id) AS rn FROM e)
 SELECT provider_id, organization_id, a AS top_amount, round(a / pt, 6) AS dependence, round(a / st, 6) AS influence FROM t WHERE rn = 1""")
 def dependence_influence(spark, sf_dir):
-    edges = _edges(spark, sf_dir)[1].groupBy("organization_id", "provider_id").agg(F.sum(F.col("amount_clp").cast("decimal(24,2)")).cast("double").alias("amount_clp"))
+    edges = _edges(spark, sf_dir)[1].groupBy("organization_id", "provider_id").agg(total("amount_clp").alias("amount_clp"))
     return rounded(explore.dependence_influence(edges), "dependence", "influence")
 
 
@@ -737,7 +737,7 @@ def growth_ranking(spark, sf_dir):
 SELECT provider_id, amount_clp, row_number() OVER (ORDER BY amount_clp DESC, provider_id) AS rank, round(sum(amount_clp) OVER (ORDER BY amount_clp DESC, provider_id ROWS UNBOUNDED PRECEDING) / (SELECT sum(amount_clp) FROM p), 6) AS cumulative_share
 FROM p ORDER BY amount_clp DESC, provider_id LIMIT 100""")
 def pareto_cumulative(spark, sf_dir):
-    sums = _edges(spark, sf_dir)[1].groupBy("provider_id").agg(F.sum(F.col("amount_clp").cast("decimal(24,2)")).cast("double").alias("amount_clp"))
+    sums = _edges(spark, sf_dir)[1].groupBy("provider_id").agg(total("amount_clp").alias("amount_clp"))
     return rounded(explore.pareto(sums, "provider_id", "amount_clp"), "cumulative_share")
 
 
@@ -745,7 +745,7 @@ def pareto_cumulative(spark, sf_dir):
 SELECT signal_type, count(*) AS entities, round(sum(a), 2) AS amount_clp FROM o JOIN z USING (entity_id) GROUP BY 1""")
 def mark_summary(spark, sf_dir):
     f, edges = _edges(spark, sf_dir)
-    sizes = edges.groupBy(F.col("provider_id").alias("entity_id")).agg(F.sum(F.col("amount_clp").cast("decimal(24,2)")).cast("double").alias("amount_clp"))
+    sizes = edges.groupBy(F.col("provider_id").alias("entity_id")).agg(total("amount_clp").alias("amount_clp"))
     return explore.mark_summary(multiyear.marks(f, edges, _MARK_RULES).filter("scope = 'provider'"), sizes, ["PROVIDER_CONCENTRATION"])
 
 

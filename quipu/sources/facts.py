@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from ..functions.identity import digest, flag_is_true, identifier_type, normalize_rut, organization_id, provider_id, recipient_id
 from ..functions.predicates import blank_to_null
-from ..functions.text import normalize_text
+from ..functions.text import finite, normalize_text
 
 # The source's column names that differ from the canonical ones; all others map to their own lower case.
 RENAMED = {
@@ -79,7 +79,7 @@ def normalize(raw: DataFrame, source_url: str = "", source_file: str = "", row_n
         if c in DATES:
             typed[c] = parse_date(x)
         elif c in AMOUNTS:
-            typed[c] = x.try_cast("double")
+            typed[c] = finite(x.try_cast("double"))
         elif c in NUMBERS:
             typed[c] = x.try_cast("double").cast("long")
         elif c not in special:

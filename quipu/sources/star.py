@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.identity import rut_check_digit
+from ..functions.identity import rut_of_number
 
 L, O, C, N, R, S, P = "lineitem orders customer nation region supplier part".split()
 #: Column -> (tables besides lineitem, expression).
@@ -72,8 +72,7 @@ def facts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
             rows = rows.join(spark.read.parquet(f"{sf_dir}/{table}.parquet"), F.expr(on))
     out = rows.select(*[F.expr(COLUMNS[c][1]).alias(c) for c in plain], "l_suppkey")
     if derived:
-        body = (F.col("l_suppkey") + 10_000_000).cast("string")
-        rut = F.concat(body, F.lit("-"), rut_check_digit(body))
+        rut = rut_of_number(F.col("l_suppkey") + 10_000_000)
         values = {"rut_beneficiario": rut, "entity_id": F.concat(F.lit("ENT-RUT-"), rut), "beneficiario_id_type": F.lit("RUT")}
         out = out.withColumns({c: values[c] for c in sorted(derived)})
     return out.select(*wanted)
