@@ -60,13 +60,24 @@ COLUMNS: dict[str, tuple[tuple[str, ...], str]] = {
 KEYS = {O: "l_orderkey = o_orderkey", C: "o_custkey = c_custkey", N: "c_nationkey = n_nationkey", R: "n_regionkey = r_regionkey", S: "l_suppkey = s_suppkey", P: "l_partkey = p_partkey"}
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal out a table that is read by fewer tasks than there are cores.
+
+    A file of one row group is one task, whatever the splits.  Tables of many
+    files already have more splits than cores and are left as they are, so no
+    shuffle is added where it would cost.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def facts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The wanted columns (all if none is named) of one fact per order line."""
     wanted = columns or (*COLUMNS, "rut_beneficiario", "entity_id", "beneficiario_id_type")
     plain = [c for c in wanted if c in COLUMNS]
     derived = {c for c in wanted if c not in COLUMNS}
     needed = {t for c in plain for t in COLUMNS[c][0]}
-    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    rows = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
     for table, on in KEYS.items():
         if table in needed:
             rows = rows.join(spark.read.parquet(f"{sf_dir}/{table}.parquet"), F.expr(on))
