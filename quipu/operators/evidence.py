@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import provider_scope
 from ..functions.text import name_key, region_agrees, similarity, token_jaccard
+from ..ship import ship
 
 FUZZY_FLOOR, LEAST_SHARED = 0.94, 0.60
 EXACT, FUZZY = "EXACT_NORMALIZED_NAME", "FUZZY_NAME_HIGH"
@@ -35,6 +36,7 @@ def best_matches(local: DataFrame, external: DataFrame) -> DataFrame:
     filter of set-similarity joins), so only those words are indexed.  Common
     words seldom lie in a prefix, which keeps hot words out of the join.
     """
+    ship(local.sparkSession)
     mine = local.withColumn("key", name_key("name")).filter("key <> ''").dropDuplicates(["local_id", "key"])
     theirs = external.withColumn("ext_key", name_key(F.coalesce(F.expr("nullif(normalized_name, '')"), F.col("name")))).filter("ext_key <> '' and coalesce(external_id, '') <> ''")
     words = lambda c: F.array_remove(F.array_distinct(F.split(c, " ")), "")
