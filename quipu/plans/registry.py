@@ -137,7 +137,7 @@ _FRAGMENT = f"""
 fg AS (SELECT organization_id, provider_id, recipient_id, coalesce(item, '') AS it, date_trunc('week', fecha_documento) AS wk, count(*) AS n, avg(monto_devengado) AS av, stddev_pop(monto_devengado) AS sd,
        min(transaction_id) AS transaction_id, min(periodo) AS periodo, min(mes) AS mes FROM facts WHERE {PROVIDER} AND {OWN} AND fecha_documento IS NOT NULL AND monto_devengado > 0 GROUP BY ALL),
 s_fragment AS (SELECT {_id('POTENTIAL_FRAGMENTATION', "organization_id || provider_id || it || strftime(wk, '%Y-%m-%d 00:00:00')")}, 'POTENTIAL_FRAGMENTATION' AS signal_type, transaction_id, organization_id, recipient_id, provider_id,
-       periodo, mes, CAST(n AS DOUBLE) AS observed_value, {T.fragment_min}.0 AS expected_value, sd / av AS deviation, 'MEDIUM' AS severity FROM fg WHERE n >= {T.fragment_min} AND sd / av <= {T.fragment_max_cv} + 1e-6)"""
+       periodo, mes, CAST(n AS DOUBLE) AS observed_value, CAST({T.fragment_min} AS DOUBLE) AS expected_value, sd / av AS deviation, 'MEDIUM' AS severity FROM fg WHERE n >= {T.fragment_min} AND sd / av <= {T.fragment_max_cv} + 1e-6)"""
 
 
 def _spike(entity: str) -> str:
@@ -151,7 +151,7 @@ s_spike AS (SELECT {_id('YEAR_END_SPIKE', 'e || CAST(periodo AS VARCHAR)')}, 'YE
 _DUPLICATE = f"""
 du AS (SELECT periodo, mes, organization_id, recipient_id, {{keys}}, max(provider_id) AS provider_id, count(*) AS n, min(transaction_id) AS transaction_id FROM facts WHERE {OWN} GROUP BY ALL HAVING count(*) > 1),
 s_duplicate AS (SELECT {_id('EXACT_DUPLICATE', 'transaction_id')}, 'EXACT_DUPLICATE_CANDIDATE' AS signal_type, transaction_id, organization_id, recipient_id, provider_id, periodo, mes,
-      CAST(n AS DOUBLE) AS observed_value, 1.0 AS expected_value, CAST(n - 1 AS DOUBLE) AS deviation, 'HIGH' AS severity FROM du)"""
+      CAST(n AS DOUBLE) AS observed_value, CAST(1 AS DOUBLE) AS expected_value, CAST(n - 1 AS DOUBLE) AS deviation, 'HIGH' AS severity FROM du)"""
 _DUP_KEYS = "coalesce(numero_documento, '') AS k1, coalesce(CAST(fecha_documento AS VARCHAR), '') AS k2, coalesce(CAST(CAST(monto_devengado AS DECIMAL(20,2)) AS VARCHAR), '') AS k3, coalesce(folio, '') AS k4"
 
 
@@ -734,7 +734,7 @@ def growth_ranking(spark, sf_dir):
 
 
 @query(f"""{_EDGES}, p AS (SELECT provider_id, round(sum(amount_clp), 2) AS amount_clp FROM ed GROUP BY 1)
-SELECT provider_id, amount_clp, row_number() OVER (ORDER BY amount_clp DESC, provider_id) AS rank, round(sum(amount_clp) OVER (ORDER BY amount_clp DESC, provider_id ROWS UNBOUNDED PRECEDING) / (SELECT sum(amount_clp) FROM p), 6) AS cumulative_share
+SELECT provider_id, amount_clp, CAST(row_number() OVER (ORDER BY amount_clp DESC, provider_id) AS INTEGER) AS rank, round(sum(amount_clp) OVER (ORDER BY amount_clp DESC, provider_id ROWS UNBOUNDED PRECEDING) / (SELECT sum(amount_clp) FROM p), 6) AS cumulative_share
 FROM p ORDER BY amount_clp DESC, provider_id LIMIT 100""")
 def pareto_cumulative(spark, sf_dir):
     sums = _edges(spark, sf_dir)[1].groupBy("provider_id").agg(total("amount_clp").alias("amount_clp"))
@@ -779,7 +779,7 @@ def _register(spark, sf_dir, spelled) -> DataFrame:
 
 
 @query("""x AS (SELECT DISTINCT provider_id, nombre_beneficiario FROM facts WHERE is_provider)
-SELECT provider_id AS local_id, 'EXT-' || CAST(CAST(substr(provider_id, 5) AS BIGINT) AS VARCHAR) AS external_id, 'EXACT_NORMALIZED_NAME' AS method, 1.0 AS similarity FROM x""")
+SELECT provider_id AS local_id, 'EXT-' || CAST(CAST(substr(provider_id, 5) AS BIGINT) AS VARCHAR) AS external_id, 'EXACT_NORMALIZED_NAME' AS method, CAST(1 AS DOUBLE) AS similarity FROM x""")
 def name_match_exact(spark, sf_dir):
     f = facts(spark, sf_dir, "provider_id", "is_provider", "nombre_beneficiario").withColumn("region", F.lit(""))
     theirs = _register(spark, sf_dir, F.concat(F.lit("  "), F.lower(F.regexp_replace("s_name", "#", " # "))))
@@ -847,7 +847,7 @@ def text_folding(spark, sf_dir):
 
 
 @query("""WITH p AS (SELECT 'o_orderstatus' AS "column", o_orderstatus AS value FROM orders UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM orders UNION ALL SELECT 'o_custkey', CAST(o_custkey AS VARCHAR) FROM orders),
-c AS (SELECT "column", value, count(*) AS n FROM p GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS rank FROM c) SELECT * FROM r WHERE rank <= 20""")
+c AS (SELECT "column", value, count(*) AS n FROM p GROUP BY 1, 2), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS INTEGER) AS rank FROM c) SELECT * FROM r WHERE rank <= 20""")
 def value_counts_topk(spark, sf_dir):
     return quality.value_counts(spark.read.parquet(f"{sf_dir}/orders.parquet"), ["o_orderstatus", "o_orderpriority", "o_custkey"])
 
