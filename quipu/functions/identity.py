@@ -47,10 +47,10 @@ def rut_key(c) -> Column:
     return F.regexp_replace(F.upper(F.coalesce(as_col(c), F.lit(""))), "[^0-9K]", "")
 
 
-def identifier_type(c) -> Column:
-    """MISSING, RUT, HASH_SHA1 or SOURCE_ID, tested in this order."""
+def identifier_type(c, rut: Column | None = None) -> Column:
+    """MISSING, RUT, HASH_SHA1 or SOURCE_ID, tested in this order.  rut: the normalised number, where it is at hand."""
     raw = F.trim(F.coalesce(as_col(c).cast("string"), F.lit("")))
-    return F.when(raw == "", "MISSING").when(normalize_rut(raw) != "", "RUT").when(raw.rlike(SHA1), "HASH_SHA1").otherwise("SOURCE_ID")
+    return F.when(raw == "", "MISSING").when((rut if rut is not None else normalize_rut(raw)) != "", "RUT").when(raw.rlike(SHA1), "HASH_SHA1").otherwise("SOURCE_ID")
 
 
 def flag_is_true(c) -> Column:
@@ -73,9 +73,9 @@ def organization_id(ministry, chapter, area, name) -> Column:
     return F.when(coded, F.concat_ws("-", F.lit("ORG-PA"), *parts)).otherwise(F.concat(F.lit("ORG-PA-"), digest(name)))
 
 
-def recipient_id(source, name, organization) -> Column:
+def recipient_id(source, name, organization, rut: Column | None = None) -> Column:
     raw = F.trim(F.coalesce(as_col(source).cast("string"), F.lit("")))
-    rut = normalize_rut(raw)
+    rut = normalize_rut(raw) if rut is None else rut
     return (
         F.when(rut != "", F.concat(F.lit("RCV-RUT-"), rut))
         .when(raw.rlike(SHA1), F.concat(F.lit("RCV-SHA1-"), F.upper(raw)))
@@ -84,10 +84,10 @@ def recipient_id(source, name, organization) -> Column:
     )
 
 
-def provider_id(source, name, flag, organization) -> Column:
-    """'' unless the provider flag is set."""
+def provider_id(source, name, flag, organization, rut: Column | None = None) -> Column:
+    """'' unless the provider flag is set; a flag may be given as text or as boolean."""
     raw = F.trim(F.coalesce(as_col(source).cast("string"), F.lit("")))
-    rut = normalize_rut(raw)
+    rut = normalize_rut(raw) if rut is None else rut
     return (
         F.when(~flag_is_true(flag), "")
         .when(rut != "", F.concat(F.lit("PRV-RUT-"), rut))

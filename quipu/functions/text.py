@@ -26,7 +26,9 @@ def strip_accents(c) -> Column:
 
 def normalize_text(c) -> Column:
     """Accents off, upper case, white space collapsed and trimmed; null gives ''."""
-    return F.trim(F.regexp_replace(F.upper(strip_accents(F.coalesce(as_col(c).cast("string"), F.lit("")))), r"\s+", " "))
+    x = F.coalesce(as_col(c).cast("string"), F.lit(""))
+    # One word without white space, as most codes and dates are, needs no expression engine.
+    return F.when(x.rlike(r"\s"), F.trim(F.regexp_replace(F.upper(strip_accents(x)), r"\s+", " "))).otherwise(F.upper(strip_accents(x)))
 
 
 def fold(c) -> Column:

@@ -90,7 +90,6 @@ def normalize(raw: DataFrame, source_url: str = "", source_file: str = "", row_n
     source = F.col("beneficiario_source_id")
     rows = rows.withColumns({
         "rut_beneficiario": normalize_rut(source),
-        "beneficiario_id_type": identifier_type(source),
         "beneficiario_normalizado": normalize_text("nombre_beneficiario"),
         **{flag: flag_is_true(c) for flag, c in FLAGS.items()},
         "organization_id": organization_id("partida", "capitulo", "area", "nombre_area"),
@@ -101,13 +100,14 @@ def normalize(raw: DataFrame, source_url: str = "", source_file: str = "", row_n
     cents = lambda c: F.coalesce(F.col(c).cast("decimal(20,2)").cast("string"), F.lit(""))
     rows = rows.withColumns({
         "rut_beneficiario_normalizado": F.col("rut_beneficiario"),
+        "beneficiario_id_type": identifier_type(source, F.col("rut_beneficiario")),
         "entity_id": entity,
         "recipient_entity_id": entity,
         "identity_status": F.when(known, "RESOLVED").otherwise("UNRESOLVED"),
         "identity_method": F.when(known, "RUT_EXACT").otherwise("SOURCE_LOCAL_ONLY"),
         "identity_confidence": F.when(known, 1.0).otherwise(0.0),
-        "recipient_id": recipient_id(source, "nombre_beneficiario", "organization_id"),
-        "provider_id": provider_id(source, "nombre_beneficiario", "proveedor", "organization_id"),
+        "recipient_id": recipient_id(source, "beneficiario_normalizado", "organization_id", F.col("rut_beneficiario")),
+        "provider_id": provider_id(source, "beneficiario_normalizado", "proveedor", "organization_id", F.col("rut_beneficiario")),
         "source_system": F.lit("PRESUPUESTO_ABIERTO"),
         "source_url": F.lit(source_url),
         "source_file": F.lit(source_file),
