@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ..ship import ship
+from ..sources.star import spread
 
 #: Rows and bytes of one Arrow batch: a worker holds a few of these at a time.
 BATCH_ROWS = 2000
@@ -56,4 +57,5 @@ def fresh(df: DataFrame, stem: str) -> str:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The documents, dealt out if their files give fewer tasks than there are cores."""
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
