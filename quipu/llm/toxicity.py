@@ -2,7 +2,9 @@
 
 Lexicon.  Terms and stems are learned from labelled texts: those that mark
 toxic texts and hardly occur in others, picked greedily until each toxic text
-is covered ``cover`` times over.  They form a trie.
+is covered ``cover`` times over.  The whole marking terms that a picked stem
+stands for join the terms: a stem is matched as an exact prefix and sees no
+misspelling of its own letters.  The terms form a trie.
 
 Matching.  For a word, the automaton that accepts everything within one edit is
 run through the trie; both are walked together, so only the trie's paths that
@@ -46,6 +48,9 @@ QUOTES = "\"“”„«»‘’'`"
 REPORTING = frozenset("said says say word words term called quote quoted writes wrote meaning means dit dijo dice sagte sagt wort mot palabra".split())
 TRIM = ".,;:!?()[]{}<>*_~-|" + QUOTES
 
+#: Letters of the shortest term that matches within one edit.
+LEAST_NEAR = 5
+
 #: Features of a text and the prior weights: bias, exact hits, near hits, hits beside other hits, quoted hits.
 PRIOR = (-2.5, 1.6, 1.0, 0.4, 0.2)
 
@@ -135,7 +140,7 @@ class Matcher:
     def __init__(self, model: Model, most: int = 400_000):
         self.terms, self.stems, self.benign = set(model.terms), set(model.stems), set(model.benign)
         self.stem_lengths = sorted({len(s) for s in model.stems})
-        self.trie = Trie(t for t in model.terms if len(t) >= 5)
+        self.trie = Trie(t for t in model.terms if len(t) >= LEAST_NEAR)
         self.alive: dict[str, bool] = {}
         self.kinds: dict[str, str] = {}
         self.seen: set[str] = set()
@@ -254,8 +259,12 @@ def fit(docs: DataFrame, labels: DataFrame, params: FitParams = FitParams()) ->
     odds = {g: math.log((n + 0.5) / (n_toxic + 1)) - math.log((in_clean.get(g, 0) + 0.5) / (n_clean + 1)) for g, n in in_toxic.items()}
     marking = {g for g, x in odds.items() if x >= params.least_log_odds and in_clean.get(g, 0) <= 0.1 * in_toxic[g]}
     holding = toxic.mapInPandas(_holding(spark.sparkContext.broadcast(marking), params.stem_lengths), "grams array<string>").collect()
-    chosen = cover([{(g[0], g[1:]) for g in r["grams"]} for r in holding], in_toxic, in_clean, params, least)
-    model = Model(terms=sorted(w for k, w in chosen if k == "t"), stems=sorted(w for k, w in chosen if k == "s"), window=params.window)
+    grams = [{(g[0], g[1:]) for g in r["grams"]} for r in holding]
+    # Nested grams counted once bring the words that stems displace; counted each, the stems of rare forms.
+    chosen = {g for once in (True, False) for g in cover(grams, in_toxic, in_clean, params, least, once)}
+    stems = {w for k, w in chosen if k == "s"}
+    terms = {w for k, w in chosen if k == "t"} | whole_terms(marking, stems, params.stem_lengths)
+    model = Model(terms=sorted(terms), stems=sorted(stems), window=params.window)
     model.benign = [r["word"] for r in clean.mapInPandas(_near_words(spark.sparkContext.broadcast(model)), "word string").distinct().collect()]
     rows = texts.mapInPandas(_features(spark.sparkContext.broadcast(model)), "toxic int, f array<double>").groupBy("toxic", "f").agg(F.count("*").alias("n")).collect()
     model.weights = regress(np.array([r["f"] for r in rows]), np.array([r["toxic"] for r in rows], float), np.array([r["n"] for r in rows], float), params)
@@ -294,13 +303,19 @@ def _features(model):
     return of
 
 
-def cover(holding: list[set], in_toxic: dict, in_clean: dict, params: FitParams, least: int) -> list[tuple[str, str]]:
+def cover(holding: list[set], in_toxic: dict, in_clean: dict, params: FitParams, least: int, once: bool) -> list[tuple[str, str]]:
     """Greedy choice of terms until each text holds ``params.cover`` of them, or none would newly serve ``least`` texts.
 
     Of grams that serve equally many texts the one rarer in clean texts wins,
-    then a whole term before a stem, then the longer.
+    then a whole term before a stem, then the longer.  With ``once``,
+    grams of which one begins with the other serve a text once: the stems of
+    one word don't fill the cover of a text in place of its other words.
     """
-    need = [params.cover] * len(holding)
+    held: list[list[str]] = [[] for _ in holding]
+
+    def serves(i: int, gram: str) -> bool:
+        return len(held[i]) < params.cover and not (once and any(gram.startswith(h) or h.startswith(gram) for h in held[i]))
+
     texts_of: dict[tuple[str, str], list[int]] = {}
     for i, grams in enumerate(holding):
         for g in grams:
@@ -312,18 +327,24 @@ def cover(holding: list[set], in_toxic: dict, in_clean: dict, params: FitParams,
     heapq.heapify(heap)
     while heap and len(chosen) < params.most_terms:
         v, order, g = heapq.heappop(heap)
-        now = sum(need[i] > 0 for i in texts_of[g])
+        new = [i for i in texts_of[g] if serves(i, g[1])]
+        now = len(new)
         if now < least:
             continue
         if now < -v:
             heapq.heappush(heap, (-now, order, g))
             continue
         chosen.append(g)
-        for i in texts_of[g]:
-            need[i] -= 1
+        for i in new:
+            held[i].append(g[1])
     return chosen
 
 
+def whole_terms(marking: set, stems: set, stem_lengths) -> set[str]:
+    """The marking terms, long enough for the automaton, that one of ``stems`` stands for."""
+    return {w for k, w in marking if k == "t" and len(w) >= LEAST_NEAR and any(w[:n] in stems for n in stem_lengths)}
+
+
 def regress(x: np.ndarray, y: np.ndarray, n: np.ndarray, params: FitParams) -> tuple[float, ...]:
     """Newton steps for a logistic model whose weights are held near ``PRIOR``; hits never count as signs of a clean text."""
     prior = np.array(PRIOR)
@@ -354,7 +375,7 @@ def matcher_of(number: str, model: Model) -> Matcher:
 
 
 def score_column(text: Column, spark: SparkSession, model: Model) -> Column:
-    """Scores of a text column; the model (at most ``most_terms`` terms) is broadcast."""
+    """Scores of a text column; the model (at most twice ``most_terms`` terms and stems, and the marking terms of the stems) is broadcast."""
     sent = spark.sparkContext.broadcast(model)
     number = uuid.uuid4().hex
 

@@ -75,6 +75,29 @@ def test_learns_and_holds_out(spark):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()}.isdisjoint({k for k, _, t in truth if t})
 
 
+def test_misspelt_starts_are_hits_though_stems_displace_terms(spark):
+    rng = random.Random(12)
+    clean = ["".join(rng.choice("etaoinsh") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    bad = ["clown", "disgusting", "worthless", "pathetic"]
+    docs, labels = [], []
+    for k in range(600):
+        text = [rng.choice(clean) for _ in range(40)]
+        if k % 4 == 0:
+            for b in rng.sample(bad, 3):
+                text.insert(rng.randrange(40), b + rng.choice(["", "", "###", "ly", "x#"]))
+        docs.append((k, " ".join(text), "en"))
+        labels.append((k, 1, int(k % 4 == 0)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = toxicity.fit(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert model.stems
+    matcher = toxicity.Matcher(model)
+    for b in bad:
+        assert matcher.kind(b) == "exact"
+        for i in range(4):
+            for misspelt in (b[:i] + b[i + 1 :], b[:i] + "q" + b[i + 1 :], b[:i] + "q" + b[i:]):
+                assert matcher.kind(misspelt) is not None, (b, misspelt)
+
+
 def test_held_out_labels_are_never_read(spark):
     docs, labels, _, truth = corpus(spark)
     flipped = spark.createDataFrame([(k, q, 1 - t if zlib.crc32(str(k).encode()) % 5 == 0 else t) for k, q, t in truth], labels.schema)
