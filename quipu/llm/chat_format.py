@@ -6,9 +6,12 @@ system turns.  The mask lists the character spans of the rendered text that
 belong to the assistant, content and end mark: those are learned.
 
 A dialogue of any length is rendered in parts of ``part_turns`` consecutive
-turn numbers, so that a row stays bounded; rows that repeat a turn number are
-dealt to further parts by a hash, which bounds a part too: no conversation,
-however hot, meets in one task.
+turn numbers, so that a row stays bounded.  A part crowded by rows that repeat
+turn numbers is cut into slices: runs of at most ``part_turns * same_turn`` rows
+of its order (turn, name, text), so that neighbours stay together and the
+slices, one after the other, are the part.  The order is found by range
+partitions and counts: no conversation, however hot, meets in one task.
+``SQL`` has no such cut: it equals the digest where no part is crowded.
 
 Defined results
     null text: an empty turn.  Null role: the name "unknown".  Null turn: turn
@@ -20,11 +23,13 @@ Defined results
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._common import materialize
+
 PART_TURNS = 256
-#: Rows that may share one turn number in a part before they are dealt out.
+#: Rows a turn number, on average over a part, before the part is cut into slices.
 SAME_TURN = 64
 
 # The markers of the rendered form.
@@ -54,6 +59,25 @@ def _head(speaker: Column, name: Column) -> Column:
     )
 
 
+def _slices(turns: DataFrame, most: int) -> DataFrame:
+    """``turns`` of crowded parts with slice_no, the run of ``most`` rows they lie in; repeated rows are one row with their copies in that run."""
+    part, order = ["conv_id", "part_no"], ["turn", "name", "text"]
+    alike = turns.groupBy(*part, *order).agg(F.count("*").alias("n"))
+    # Written once: the range that a row lies in must not change between the count and the rows.
+    ranged = materialize(alike.repartitionByRange(*part, *order).withColumn("range_no", F.spark_partition_id()), "crowded_rows")
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy(*part, "range_no").agg(F.sum("n").alias("rows"))
+    ranges = sizes.select(
+        F.col("conv_id").alias("c"), F.col("part_no").alias("p"), F.col("range_no").alias("r"), F.coalesce(F.sum("rows").over(earlier.partitionBy(*part).orderBy("range_no")), F.lit(0)).alias("before")
+    )
+    inside = F.coalesce(F.sum("n").over(earlier.partitionBy(*part, "range_no").orderBy(*order)), F.lit(0))
+    placed = ranged.withColumn("inside", inside).join(ranges, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part_no") == F.col("p")) & (F.col("range_no") == F.col("r")))
+    placed = placed.withColumn("start", F.col("before") + F.col("inside")).withColumn("end", F.col("start") + F.col("n"))
+    cut = placed.withColumn("slice_no", F.explode(F.sequence(F.floor(F.col("start") / most), F.floor((F.col("end") - 1) / most))))
+    copies = F.least("end", (F.col("slice_no") + 1) * most) - F.greatest("start", F.col("slice_no") * most)
+    return cut.select(*part, F.col("slice_no").cast("int").alias("slice_no"), *order, copies.cast("int").alias("copies"))
+
+
 def rotate_perspectives(conversations: DataFrame, part_turns: int = PART_TURNS, same_turn: int = SAME_TURN) -> DataFrame:
     """One row per dialogue, speaker and part.
 
@@ -61,18 +85,21 @@ def rotate_perspectives(conversations: DataFrame, part_turns: int = PART_TURNS,
     rendered part), target_spans (array of start and end, characters from 0,
     end exclusive) and n_target_chars.
     """
+    most = part_turns * same_turn
     turns = _turns(conversations).withColumn("part_no", F.floor(F.col("turn") / part_turns))
-    # How many slices a part needs: sizes are counted map-side first.
-    crowd = (
-        turns.groupBy("conv_id", "part_no").agg(F.count("*").alias("rows")).filter(F.col("rows") > part_turns * same_turn)
-        .select(F.col("conv_id").alias("c"), F.col("part_no").alias("p"), F.ceil(F.col("rows") / (part_turns * same_turn)).cast("int").alias("slices"))
-    )
-    dealt = turns.join(crowd, turns["conv_id"].eqNullSafe(crowd["c"]) & (turns["part_no"] == crowd["p"]), "left").select(
-        "conv_id", "part_no", F.pmod(F.xxhash64("turn", "name", "text"), F.coalesce("slices", F.lit(1))).cast("int").alias("slice_no"), "turn", "name", "text"
-    )
-    grouped = dealt.groupBy("conv_id", "part_no", "slice_no").agg(
-        F.array_sort(F.collect_list(F.struct("turn", "name", "text"))).alias("turns"),
+    # Sizes are counted map-side first.
+    crowd = materialize(
+        turns.groupBy("conv_id", "part_no").agg(F.count("*").alias("rows")).filter(F.col("rows") > most).select(F.col("conv_id").alias("c"), F.col("part_no").alias("p")), "crowded_parts"
     )
+    grouped = turns.withColumn("slice_no", F.lit(0))
+    if not crowd.isEmpty():
+        crowded = turns["conv_id"].eqNullSafe(crowd["c"]) & (turns["part_no"] == crowd["p"])
+        sliced = _slices(turns.join(crowd, crowded, "left_semi"), most)
+        grouped = grouped.join(crowd, crowded, "left_anti").withColumn("copies", F.lit(1)).unionByName(sliced)
+        grouped = grouped.groupBy("conv_id", "part_no", "slice_no").agg(F.array_sort(F.collect_list(F.struct("turn", "name", "text", "copies"))).alias("turns"))
+        grouped = grouped.withColumn("turns", F.flatten(F.transform("turns", lambda t: F.array_repeat(F.struct(t["turn"].alias("turn"), t["name"].alias("name"), t["text"].alias("text")), t["copies"]))))
+    else:
+        grouped = grouped.groupBy("conv_id", "part_no", "slice_no").agg(F.array_sort(F.collect_list(F.struct("turn", "name", "text"))).alias("turns"))
     people = perspectives(conversations).select(F.col("conv_id").alias("c"), "speaker")
     viewed = grouped.join(people, grouped["conv_id"].eqNullSafe(people["c"])).drop("c")
     rendered = viewed.withColumn(

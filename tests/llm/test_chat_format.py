@@ -50,6 +50,29 @@ def test_long_dialogues_come_in_bounded_parts(spark):
     assert "".join(t for _, t in first) == rendered(many[1])["a"][0] and len(first) == 3
 
 
+def test_slices_of_a_crowded_part_are_runs_of_its_order(spark):
+    hot = [(None if k % 3 else k % 7, ("ana", "ben", "system", "cleo")[k % 5 % 4], f"t{k * 37 % 101}") for k in range(150)] + [(2, "ben", "again")] * 45
+    many = {None: hot, 1: DIALOGUES[1], 2: [(12, "a", "x")] * 21 + [(11, "b", "y")] * 3 + [(3, "b", "z")]}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # a small table still comes in several ranges
+    try:
+        rows = chat_format.rotate_perspectives(frame(spark, many).repartition(7), part_turns=10, same_turn=2).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(r["n_turns"] for r in rows) == 20
+    for conv, dialogue in many.items():
+        for who, (text, spans) in rendered(dialogue).items():
+            mine = sorted((r for r in rows if r["conv_id"] == conv and r["speaker"] == who), key=lambda r: (r["part_no"], r["slice_no"]))
+            assert "".join(r["text"] for r in mine) == text
+            at, got = 0, []
+            for r in mine:
+                got += [(at + s["start"], at + s["end"]) for s in r["target_spans"]]
+                at += len(r["text"])
+            assert got == spans
+            in_part = [r["slice_no"] for r in mine if r["part_no"] == mine[-1]["part_no"]]
+            assert in_part == list(range(len(in_part)))
+    assert sum(r["slice_no"] > 0 for r in rows) == 3 * 9 + 2
+
+
 def test_nothing_and_plan(spark):
     empty = frame(spark, DIALOGUES).limit(0)
     assert chat_format.rotate_perspectives(empty).count() == 0
