@@ -163,30 +163,36 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, block: int = BLOCK, t
 
 
 def components_of(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """``prints(doc_id, fp, ...)`` with component_id."""
+    """``prints(doc_id, fp, ...)`` with component_id and root, a fingerprint that tells components apart."""
     classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     roots = materialize(connected_components(link_fingerprints(classes.select("fp"), radius, block)), "roots")
     members = classes.join(roots, classes["fp"] == roots["node"]).select("fp", "root", "first_id")
     least = members.groupBy("root").agg(F.min("first_id").alias("least_id"))
-    linked = materialize(members.join(least, "root").select("fp", "least_id"), "linked")
-    of = materialize(classes.join(linked, "fp", "left").select(F.col("fp").alias("class_fp"), F.coalesce("least_id", "first_id").alias("component_id")), "class_components")
+    linked = materialize(members.join(least, "root").select("fp", "root", "least_id"), "linked")
+    of = materialize(classes.join(linked, "fp", "left").select(F.col("fp").alias("class_fp"), F.coalesce("least_id", "first_id").alias("component_id"), F.coalesce("root", "fp").alias("root")), "class_components")
     return prints.join(of, prints["fp"] == of["class_fp"]).drop("class_fp")
 
 
 def keep_first(docs: DataFrame, radius: int = RADIUS, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row of each component: the row of its least key (of repeated rows of that key, one with the least text hash; rows without a key stay).
+    """One row of each component: the row of its least key (of its repeated rows of that key, one with the least text hash; rows without a key stay).
 
-    The search moves keys and fingerprints only; the texts are moved at most
-    once, by the last anti-join.
+    A key with several unrelated texts is one row per component.  The search
+    moves keys and fingerprints only; the texts are moved at most once, by the
+    last anti-join, and only those of repeated keys are fingerprinted again.
     """
     prepare(docs.sparkSession)
-    k, own = F.col(f"`{key}`"), fresh(docs, "row_rank")
+    k, own, mark, group = F.col(f"`{key}`"), fresh(docs, "row_rank"), fresh(docs, "row_print"), fresh(docs, "row_component")
+    same = fresh(docs, "same_print")
     prints = materialize(docs.select(k.alias("doc_id"), fingerprint_column(F.col(f"`{text}`")).alias("fp")), "fingerprints")
-    gone = components_of(prints, radius).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(own)).distinct()
+    parts = components_of(prints, radius)
+    gone = parts.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(own)).distinct()
     kept = docs.join(materialize(gone, "copies"), k == F.col(own), "left_anti")
     repeated = materialize(prints.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias(own)), "repeated_keys")
     if repeated.isEmpty():
         return kept
     once = kept.join(repeated, k == F.col(own), "left_anti")
-    several = kept.join(repeated, k == F.col(own), "left_semi").groupBy(k).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.xxhash64(F.col(f"`{text}`"))).alias(own))
+    firsts = parts.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(own), F.col("fp").alias(same), F.col("root").alias(group)).join(repeated, own, "left_semi").distinct()
+    several = docs.join(repeated, k == F.col(own), "left_semi").withColumn(mark, fingerprint_column(F.col(f"`{text}`")))
+    several = several.join(materialize(firsts, "repeated_firsts"), (k == F.col(own)) & (F.col(mark) == F.col(same)))
+    several = several.groupBy(k, group).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.xxhash64(F.col(f"`{text}`"))).alias(own))
     return once.unionByName(several.select(f"{own}.*"))

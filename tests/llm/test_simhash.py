@@ -100,3 +100,11 @@ def test_edge_rows(spark):
     kept = simhash.keep_first(df)
     assert kept.columns == df.columns and sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 3, 8, 9]
     assert simhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_an_id_of_several_unrelated_texts_loses_only_copies(spark):
+    a, b, c, d = ("one two three four", "five six seven eight", "nine ten eleven twelve", "red green blue grey")
+    docs = [(1, a), (2, a), (2, b), (3, c), (3, d), (3, d), (4, d), (5, None), (None, a), (None, a)]
+    rows = simhash.keep_first(spark.createDataFrame([(k, t, "en") for k, t in docs], "doc_id long, text string, lang string"))
+    assert rows.columns == ["doc_id", "text", "lang"]
+    assert sorted(((r["doc_id"] or 0, r["text"] or "") for r in rows.collect())) == [(0, a), (0, a), (1, a), (2, b), (3, c), (3, d), (5, "")]
