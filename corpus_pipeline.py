@@ -33,8 +33,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of packed sequences, with a checksum for the ids."""
-    pieces = packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
+    """Pieces of packed sequences, with a checksum for the ids; packed in the order of doc_id, since the stages before may move rows."""
+    ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    pieces = packing.pack_documents(ordered, tokenizer_path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

@@ -56,6 +56,6 @@ def fresh(df: DataFrame, stem: str) -> str:
     return name
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, dealt out if their files give fewer tasks than there are cores."""
-    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+def documents(spark: SparkSession, sf_dir: str, *order: str) -> DataFrame:
+    """The documents, dealt out (by ``order`` if given) if their files give fewer tasks than there are cores."""
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"), *order)

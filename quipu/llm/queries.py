@@ -38,7 +38,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
+    pieces = packing.pack_documents(documents(spark, sf_dir, "doc_id"), tokenizer_path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

@@ -60,15 +60,17 @@ COLUMNS: dict[str, tuple[tuple[str, ...], str]] = {
 KEYS = {O: "l_orderkey = o_orderkey", C: "o_custkey = c_custkey", N: "c_nationkey = n_nationkey", R: "n_regionkey = r_regionkey", S: "l_suppkey = s_suppkey", P: "l_partkey = p_partkey"}
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Deal out a table that is read by fewer tasks than there are cores.
+def spread(rows: DataFrame, *order: str) -> DataFrame:
+    """Deal out a table that is read by fewer tasks than there are cores, in ranges of ``order`` and sorted by it if given.
 
     A file of one row group is one task, whatever the splits.  Tables of many
     files already have more splits than cores and are left as they are, so no
     shuffle is added where it would cost.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartitionByRange(cores, *order).sortWithinPartitions(*order) if order else rows.repartition(cores)
 
 
 def facts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

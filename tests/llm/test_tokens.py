@@ -193,3 +193,15 @@ def test_sentencepiece_query(spark):
     out = sp_prefix.encode_documents(odd_frame(spark), queries.tokenizer_path("piece_bpe_32k.model"), ids=True).collect()
     assert sorted(r["decoded"] for r in out) == sorted((t or "").replace("▁", " ") for t in ODD)
     assert sp_prefix.encode_documents(odd_frame(spark).limit(0), queries.tokenizer_path("piece_bpe_32k.model")).count() == 0
+
+
+def test_documents_are_packed_in_order(spark, tmp_path):
+    import corpus_pipeline
+    from quipu.llm.queries import op5_packing
+
+    docs = spark.createDataFrame([(k, f"text number {k}. " * (1 + k % 9), "en") for k in range(400)], "doc_id long, text string, lang string")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    assert spark.read.parquet(f"{tmp_path}/documents.parquet").rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+    for rows in (op5_packing(spark, str(tmp_path)), corpus_pipeline.packing_stage(spark, docs.repartition(5), "")):
+        laid = [r["doc_id"] for r in rows.orderBy("sequence_id", "offset").collect()]
+        assert laid == sorted(laid) and set(laid) == set(range(400))
