@@ -13,15 +13,20 @@ certainty.
 
 A table's bucket is never expanded into pairs of rows.  Buckets are dealt to
 tasks, and inside one only a spanning forest of its links is given out.  A
-bucket over ``block`` fingerprints is parted into blocks, and each pair of
-blocks is its own group, so a hot bucket spreads over many tasks without
-losing a link.  Only distinct fingerprints take part: thousands of equal texts
-are one of them.
+bucket over ``block`` fingerprints is covered a second time: its members agree
+under its mask, so masks over the other positions part it into buckets that
+agree in about 50 bits, again with every link in some of them.  What is crowded
+even then is parted into blocks, and each pair of blocks is its own group, so a
+hot bucket spreads over many tasks without losing a link.  Only distinct
+fingerprints take part: thousands of equal texts are one of them.
 
 Defined results
-    null or empty text: no words, fingerprint 0, linked like any other.
+    null or empty text: no words, fingerprint 0, linked like any other.  A very
+    long text is judged whole; a worker holds its words and one hash each.
     Repeated rows share their component.  A null key never becomes a component
-    id unless its component has no other.  Extra columns are ignored.
+    id unless its component has no other.  Extra columns, whatever their names,
+    are ignored by :func:`near_duplicates` and kept by :func:`keep_first`.  An
+    empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import prepare, fresh, materialize
+from ._common import Scratch, fresh, materialize, prepare
 from .components import connected_components
 
 RADIUS = 3
@@ -63,16 +68,18 @@ def fingerprint_column(text: Column) -> Column:
     return fingerprint_of(text)
 
 
-def covering_masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
-    """One mask per non-zero vector v of radius+1 bits: the positions whose vector overlaps v an odd number of times.
+def covering_masks(radius: int = RADIUS, agreed: int = 0) -> list[int]:
+    """One mask per non-zero vector v of radius+1 bits: the positions whose vector overlaps v an odd number of times, and ``agreed``.
 
-    Positions take the non-zero vectors in turn.  Two fingerprints collide
-    under v when no differing position is in v's mask; at most ``radius``
-    differing positions leave some v orthogonal to all of their vectors.
+    Positions outside ``agreed`` take the non-zero vectors in turn.  Two
+    fingerprints that agree in ``agreed`` collide under v when no differing
+    position is in v's mask; at most ``radius`` differing positions leave some v
+    orthogonal to all of their vectors.
     """
     top = (1 << (radius + 1)) - 1
-    vectors = [1 + (i * 7) % top for i in range(bits)]
-    return [sum(1 << i for i, a in enumerate(vectors) if (a & v).bit_count() % 2) for v in range(1, top + 1)]
+    open_bits = [i for i in range(64) if not agreed >> i & 1]
+    vectors = {i: 1 + (k * 7) % top for k, i in enumerate(open_bits)}
+    return [agreed | sum(1 << i for i, a in vectors.items() if (a & v).bit_count() % 2) for v in range(1, top + 1)]
 
 
 def signed(x: int) -> int:
@@ -138,61 +145,91 @@ def _bucket_links(radius: int):
     return links
 
 
-def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+def _crowded(rows: DataFrame, block: int, scratch: Scratch, name: str) -> DataFrame:
+    """Buckets of over ``block`` rows and how many blocks they fill; counted map-side first."""
+    sizes = rows.groupBy("mask_no", "key").agg(F.count("*").alias("n")).filter(F.col("n") > block)
+    return scratch.put(sizes.select("mask_no", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), name)
+
+
+def link_fingerprints(distinct: DataFrame, scratch: Scratch, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """Links (a, b) that connect exactly what all pairs of ``distinct(fp)`` within ``radius`` bits connect."""
-    tables = F.explode(F.array(*[F.struct(F.lit(k).alias("mask_no"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key")) for k, m in enumerate(covering_masks(radius))]))
-    rows = distinct.select("fp", tables.alias("t")).select("fp", "t.mask_no", "t.key")
-    sizes = rows.groupBy("mask_no", "key").agg(F.count("*").alias("n"))
-    hot = materialize(sizes.filter(F.col("n") > block).select("mask_no", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "hot_buckets")
-    parts = F.coalesce(F.col("blocks"), F.lit(1))
-    dealt = (
-        rows.join(hot, ["mask_no", "key"], "left")
-        .withColumn("own", F.pmod(F.xxhash64("fp"), parts).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .select("mask_no", "key", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "fp")
-    )
+    masks = covering_masks(radius)
+
+    def tables(numbered) -> Column:
+        return F.explode(F.array(*[F.struct(F.lit(k).alias("mask_no"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key")) for k, m in numbered]))
+
+    rows = distinct.select("fp", tables(enumerate(masks)).alias("t")).select("fp", "t.mask_no", "t.key")
+    hot = _crowded(rows, block, scratch, "hot_buckets")
+    one = F.lit(0)
+    plain = rows.join(hot, ["mask_no", "key"], "left_anti").select("mask_no", "key", one.alias("b1"), one.alias("b2"), "fp")
+    if not hot.isEmpty():
+        crowd = rows.join(hot, ["mask_no", "key"], "left_semi")
+        within = None
+        for k, m in enumerate(masks):
+            numbered = [(len(masks) * (k + 1) + j, x) for j, x in enumerate(covering_masks(radius, m))]
+            part = crowd.filter(F.col("mask_no") == k).select("fp", tables(numbered).alias("t"))
+            within = part if within is None else within.unionByName(part)
+        finer = within.select("fp", "t.mask_no", "t.key")
+        parts = F.coalesce(F.col("blocks"), F.lit(1))
+        dealt = (
+            finer.join(_crowded(finer, block, scratch, "hot_within"), ["mask_no", "key"], "left")
+            .withColumn("own", F.pmod(F.xxhash64("fp"), parts).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+            .select("mask_no", "key", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "fp")
+        )
+        plain = plain.unionByName(dealt)
     group = ["mask_no", "key", "b1", "b2"]
-    return dealt.repartition(*group).sortWithinPartitions(*group).mapInPandas(_bucket_links(radius), "a long, b long").distinct()
+    return plain.repartition(*group).sortWithinPartitions(*group).mapInPandas(_bucket_links(radius), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, block: int = BLOCK, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id (the least doc_id reachable through links)."""
     prepare(docs.sparkSession)
-    prints = materialize(docs.select(F.col(key).alias("doc_id"), fingerprint_column(F.col(text)).alias("fp")), "fingerprints")
+    prints = materialize(docs.select(F.col(f"`{key}`").alias("doc_id"), fingerprint_column(F.col(f"`{text}`")).alias("fp")), "fingerprints")
     return components_of(prints, radius, block).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def roots_of(classes: DataFrame, first: str, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """``classes(fp, first)`` with root, a fingerprint that tells components apart, and least, the least ``first`` of the component."""
+    with Scratch(classes.sparkSession) as scratch:
+        roots = connected_components(link_fingerprints(classes.select("fp"), scratch, radius, block))
+    named = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", first, F.coalesce("root", "fp").alias("root"))
+    least = named.groupBy("root").agg(F.min(first).alias("least"))
+    return materialize(named.join(least, "root"), "class_components")
+
+
 def components_of(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """``prints(doc_id, fp, ...)`` with component_id and root, a fingerprint that tells components apart."""
+    """``prints(doc_id, fp, ...)`` with component_id."""
     classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
-    roots = materialize(connected_components(link_fingerprints(classes.select("fp"), radius, block)), "roots")
-    members = classes.join(roots, classes["fp"] == roots["node"]).select("fp", "root", "first_id")
-    least = members.groupBy("root").agg(F.min("first_id").alias("least_id"))
-    linked = materialize(members.join(least, "root").select("fp", "root", "least_id"), "linked")
-    of = materialize(classes.join(linked, "fp", "left").select(F.col("fp").alias("class_fp"), F.coalesce("least_id", "first_id").alias("component_id"), F.coalesce("root", "fp").alias("root")), "class_components")
+    of = roots_of(classes, "first_id", radius, block).select(F.col("fp").alias("class_fp"), F.col("least").alias("component_id"))
     return prints.join(of, prints["fp"] == of["class_fp"]).drop("class_fp")
 
 
-def keep_first(docs: DataFrame, radius: int = RADIUS, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row of each component: the row of its least key (of its repeated rows of that key, one with the least text hash; rows without a key stay).
+def keep_first(docs: DataFrame, radius: int = RADIUS, block: int = BLOCK, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row of each component: the one of the least key (rows without a key last), then of the least text hash.
 
-    A key with several unrelated texts is one row per component.  The search
-    moves keys and fingerprints only; the texts are moved at most once, by the
-    last anti-join, and only those of repeated keys are fingerprinted again.
+    A text is known by its key and 128 bits of hash, so that keys with several
+    texts, or none, lose no text that has no copy.  The search moves keys,
+    hashes and fingerprints only; the texts are moved at most once, by the
+    anti-join.  Of repeated rows one stays, by the hash of its whole row.
     """
     prepare(docs.sparkSession)
-    k, own, mark, group = F.col(f"`{key}`"), fresh(docs, "row_rank"), fresh(docs, "row_print"), fresh(docs, "row_component")
-    same = fresh(docs, "same_print")
-    prints = materialize(docs.select(k.alias("doc_id"), fingerprint_column(F.col(f"`{text}`")).alias("fp")), "fingerprints")
-    parts = components_of(prints, radius)
-    gone = parts.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(own)).distinct()
-    kept = docs.join(materialize(gone, "copies"), k == F.col(own), "left_anti")
-    repeated = materialize(prints.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias(own)), "repeated_keys")
+    k, t = F.col(f"`{key}`"), F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    h1, h2 = F.xxhash64(t), F.xxhash64(F.lit(1), t)
+    rows = docs.select(k.alias("k"), h1.alias("h1"), h2.alias("h2"), fingerprint_column(F.col(f"`{text}`")).alias("fp"))
+    texts = materialize(rows.groupBy("k", "h1", "h2").agg(F.min("fp").alias("fp"), F.count("*").alias("n")), "texts")
+    own = F.struct(F.col("k").isNull().alias("keyless"), "k", "h1", "h2")
+    classes = materialize(texts.groupBy("fp").agg(F.min(own).alias("first")), "classes")
+    judged = texts.join(roots_of(classes, "first", radius, block).select("fp", "least"), "fp").withColumn("stays", own == F.col("least"))
+    judged = judged.filter(~F.col("stays") | (F.col("n") > 1)).select("k", "h1", "h2", "stays")
+    names = {c: fresh(docs, f"near_{c}") for c in ("k", "h1", "h2")}
+    judged = materialize(judged.select(*[F.col(c).alias(n) for c, n in names.items()], "stays"), "judged")
+    same = k.eqNullSafe(F.col(names["k"])) & (h1 == F.col(names["h1"])) & (h2 == F.col(names["h2"]))
+    kept = docs.join(judged.drop("stays"), same, "left_anti")
+    repeated = judged.filter("stays").drop("stays")
     if repeated.isEmpty():
         return kept
-    once = kept.join(repeated, k == F.col(own), "left_anti")
-    firsts = parts.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(own), F.col("fp").alias(same), F.col("root").alias(group)).join(repeated, own, "left_semi").distinct()
-    several = docs.join(repeated, k == F.col(own), "left_semi").withColumn(mark, fingerprint_column(F.col(f"`{text}`")))
-    several = several.join(materialize(firsts, "repeated_firsts"), (k == F.col(own)) & (F.col(mark) == F.col(same)))
-    several = several.groupBy(k, group).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.xxhash64(F.col(f"`{text}`"))).alias(own))
-    return once.unionByName(several.select(f"{own}.*"))
+    hashed = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind]
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    once = docs.join(repeated, same, "left_semi").groupBy(k, h1, h2).agg(F.min_by(whole, F.xxhash64(*hashed)).alias(names["k"]))
+    return kept.unionByName(once.select(f"{names['k']}.*"))

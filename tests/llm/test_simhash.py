@@ -98,13 +98,48 @@ def test_edge_rows(spark):
     rows = sorted((r["doc_id"] or -1, r["component_id"]) for r in simhash.near_duplicates(df).collect())
     assert rows == [(-1, 3), (3, 3), (5, 3), (8, 8), (9, 9), (9, 9)]
     kept = simhash.keep_first(df)
-    assert kept.columns == df.columns and sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 3, 8, 9]
+    assert kept.columns == df.columns and sorted(r["doc_id"] or -1 for r in kept.collect()) == [3, 8, 9]
+    assert simhash.keep_first(df.limit(0)).count() == 0
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_an_id_of_several_unrelated_texts_loses_only_copies(spark):
-    a, b, c, d = ("one two three four", "five six seven eight", "nine ten eleven twelve", "red green blue grey")
-    docs = [(1, a), (2, a), (2, b), (3, c), (3, d), (3, d), (4, d), (5, None), (None, a), (None, a)]
-    rows = simhash.keep_first(spark.createDataFrame([(k, t, "en") for k, t in docs], "doc_id long, text string, lang string"))
-    assert rows.columns == ["doc_id", "text", "lang"]
-    assert sorted(((r["doc_id"] or 0, r["text"] or "") for r in rows.collect())) == [(0, a), (0, a), (1, a), (2, b), (3, c), (3, d), (5, "")]
+def plain_kept(docs, radius=3):
+    """Brute force: (key, text) of the one row of each component; rows of one component are ordered by key, those without a key last."""
+    prints = [plain_print(t) for _, t in docs]
+    groups = {}
+    for k, least in enumerate(plain_components(prints, list(range(len(docs))), radius)):
+        groups.setdefault(least, []).append(docs[k])
+    return [{(k, t or "") for k, t in rows if k == min((k for k, _ in rows if k is not None), default=None)} for rows in groups.values()]
+
+
+def test_one_row_of_each_component_stays_whatever_the_keys(spark):
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(400)]
+    base = [" ".join(rng.choices(words, k=rng.randint(30, 60))) for _ in range(40)]
+    docs = [(rng.choice([*range(12), None]), rng.choice(base) + rng.choice(["", "", " tail", " other tail words"])) for _ in range(220)] + [(None, None), (3, ""), (None, " \n")]
+    docs += [(1, "one two three four"), (5, "one two three four"), (5, "five six seven eight"), (7, "nine ten eleven twelve"), (None, "lone text without any key")] + [(2, "said twice over")] * 2
+    rows = simhash.keep_first(spark.createDataFrame([(k, t, "en", "x") for k, t in docs], "doc_id long, text string, near_k string, fp string").repartition(5))
+    assert rows.columns == ["doc_id", "text", "near_k", "fp"]
+    got = [(r["doc_id"], r["text"] or "") for r in rows.collect()]
+    groups = plain_kept(docs)
+    assert len(got) == len(groups) and all(any(g in choices for choices in groups) for g in got)
+    assert all(sum(g in choices for g in got) >= 1 for choices in groups)
+
+
+def test_second_masks_cover_every_difference_within_the_first():
+    for m in simhash.covering_masks(3):
+        rest = [i for i in range(64) if not m >> i & 1]
+        finer = simhash.covering_masks(3, m)
+        assert all(x & m == m for x in finer) and min(x.bit_count() for x in finer) >= 45
+        for bits in combinations(rest, 3):
+            assert any(not sum(1 << b for b in bits) & x for x in finer)
+
+
+def test_a_crowded_bucket_is_parted_without_losing_a_link(spark):
+    rng = random.Random(11)
+    base = rng.getrandbits(64)
+    prints = list({base ^ sum(1 << k for k in rng.sample(range(64), rng.randint(0, 9))) for _ in range(500)})
+    df = spark.createDataFrame([(k, simhash.signed(p)) for k, p in enumerate(prints)], "doc_id long, fp long").repartition(3)
+    want = dict(enumerate(plain_components(prints, list(range(len(prints))))))
+    for block in (6, 40):
+        assert {r["doc_id"]: r["component_id"] for r in simhash.components_of(df, block=block).collect()} == want
