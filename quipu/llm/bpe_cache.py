@@ -7,8 +7,9 @@ through the library's model.  The expression is restated over explicit letter
 classes, which the standard engine runs twice as fast as one with properties.
 
 Texts with characters of ``UNSAFE`` (where Python's and the library's Unicode
-tables could differ) and texts that hold a special token's string go through
-the library as a whole.
+tables could differ), of whatever script, are parted by the library's own
+normalizer and pre-tokenizer; their parts use the same cache.  Only texts that
+hold a special token's string go through the library as a whole.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Characters that the restated patterns don't cover: texts with one go through the library.
+#: Characters that the restated patterns don't cover: texts with one are parted by the library.
 UNSAFE = re.compile("[^\x00-\x1b\x20-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e\u20ac]")
 
 
@@ -48,6 +49,10 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in shown)}
 
 
+#: Letters of the longest part that is kept: scripts without spaces have parts of any length.
+LONGEST_KEPT = 64
+
+
 class Ids(dict):
     """Part of a text -> its ids as bytes.
 
@@ -62,6 +67,8 @@ class Ids(dict):
 
     def __missing__(self, part: str) -> bytes:
         out = self.encode(part)
+        if len(part) > LONGEST_KEPT:
+            return out
         if len(self) < self.most:
             self[part] = out
         else:
@@ -95,13 +102,17 @@ class CachedEncoder:
             return np.array([t.id for t in model.tokenize(part.encode().decode("latin-1").translate(letters))], self.dtype).tobytes()
 
         self.cache = Ids(encode, most)
+        self.bytes_of = {ord(letter): chr(b) for b, letter in letters.items()}
 
     def cached(self, text: str) -> bool:
-        return not (UNSAFE.search(text) or any(s in text for s in self.special))
+        return not any(s in text for s in self.special)
 
     def parts(self, text: str) -> list[str]:
         """Pre-tokens of a text for which ``cached`` holds."""
-        return self.split(text.lower() if self.folds else text)
+        if not UNSAFE.search(text):
+            return self.split(text.lower() if self.folds else text)
+        whole = self.tokenizer.normalizer.normalize_str(text) if self.folds else text
+        return [p.translate(self.bytes_of).encode("latin-1").decode() for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(whole)]
 
     def raw(self, text: str) -> bytes:
         """The ids as bytes of ``self.dtype``."""
