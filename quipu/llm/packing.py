@@ -1,7 +1,9 @@
 """Order-preserving packing by dynamic programming.
 
-Documents stay in the order in which their partition holds them.  The token
-stream of a partition is cut into windows of at most ``size`` ids; the cuts lie
+Documents are packed in ascending order of key, then of text, within their
+partition: which rows a task reads decides what it packs, never the order in
+which they reach it, so a task that runs again after an executor is lost gives
+the same pieces.  The token stream of a partition is cut into windows of at most ``size`` ids; the cuts lie
 at document ends, at sentence ends, or, where neither will do, anywhere.  The
 plan minimises
 
@@ -20,20 +22,20 @@ position is pushed and popped once.
 A partition is planned in stretches of ``stretch`` ids; the last window of a
 stretch is reopened in the next one, so memory is bounded and stretches leave
 no seams.  There is no shuffle: a task packs what it reads, and the only
-padding per task is in its last windows.  Sequence ids are made of the
+padding per task is in its last windows, which are parted into powers of two.  Sequence ids are made of the
 partition's number and a counter, as ``monotonically_increasing_id`` does.
 
 Defined results
     null or empty text: the end id alone, one piece of length 1.  A document
-    longer than a window spans several.  Repeated rows are packed one by one;
-    rows without a key keep a null key; extra columns are ignored.  An empty
-    table gives no rows.
+    longer than a window, however long, spans several.  Repeated rows are
+    packed one by one; rows without a key come first and keep a null key; extra
+    columns, whatever their names, are ignored.  An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from collections import deque
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -53,7 +55,7 @@ class Costs:
     sentence: float = 4.0
     hard: float = 64.0
     per_window: float = 16.0
-    #: Powers of two below this aren't looked for: they would make tiny windows.
+    #: Powers of two below this are looked for in the last windows of a partition only: elsewhere they would make tiny windows.
     least_power: int = 64
     stretch: int = 1 << 18
 
@@ -102,7 +104,7 @@ def candidates(ends: np.ndarray, stops: np.ndarray, total: int, last: bool, cost
         first, tail = int(at[max(0, np.searchsorted(at, total - 2 * costs.size))]), []
         for base in (first, max(0, total - costs.size), *(int(x) for x in at[np.searchsorted(at, total - costs.size) :][:64])):
             rest, p = total - base, base
-            for power in (1 << k for k in range(costs.size.bit_length() - 1, costs.least_power.bit_length() - 2, -1)):
+            for power in (1 << k for k in range(costs.size.bit_length() - 1, -1, -1)):
                 if rest >= power:
                     rest, p = rest - power, p + power
                     tail.append(p)
@@ -136,7 +138,8 @@ class Packer:
         open_ids = [ids[used:] for _, ids, used in self.docs]
         ends = np.cumsum([len(x) for x in open_ids])
         stops = np.flatnonzero(self.is_stop[np.concatenate(open_ids)]) + 1
-        cuts = plan_cuts(*candidates(ends, stops, int(ends[-1]), last, self.costs), self.costs)
+        costs = replace(self.costs, least_power=1) if last else self.costs
+        cuts = plan_cuts(*candidates(ends, stops, int(ends[-1]), last, costs), costs)
         if not last:
             cuts.pop()  # the last window stays open
         out, a = [], 0
@@ -188,4 +191,5 @@ def pack_documents(docs: DataFrame, path: str, end_id: int = 2, costs: Costs = C
         if pieces := packer.close():
             yield frame(pieces)
 
-    return docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).mapInPandas(pack, SCHEMA)
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("k"), F.col(f"`{text}`").alias("t"))
+    return rows.sortWithinPartitions("k", F.xxhash64("t"), "t").mapInPandas(pack, SCHEMA)
