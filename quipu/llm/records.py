@@ -1,21 +1,25 @@
 """Token-id files: length-delimited binary records with masked checksums.
 
-A data file ``part-NNNNN.rec`` holds one frame per record:
+A data file ``part-NNNNN-ATTEMPT.rec`` holds one frame per record:
 
     u64 length | u32 masked crc of these 8 bytes | payload | u32 masked crc of the payload
 
 all little-endian, as in the widely used record files, with CRC-32 as the
 checksum.  The payload is: i64 key | u8 key present | u8 bytes per id | ids.
-Beside it ``part-NNNNN.idx`` holds for each record its u64 offset and u64
+Beside it ``part-NNNNN-ATTEMPT.idx`` holds for each record its u64 offset and u64
 count of ids, so that a reader can fetch records in any order.
 
-Files are written by the executors under a name of their own attempt and then
-moved to their final name; a task that runs again writes the same bytes.
+Texts are encoded where they are read; what is shuffled into key order is ids of
+two bytes.  The number of files follows the bytes of the ids.  Executors write
+each file under a name of its attempt, which is never moved or written over:
+the task that ends well tells the driver its name, so that a task that runs
+twice clashes with nothing, and what other attempts left is deleted.
 
 Defined results
     null or empty text: the end id alone.  Rows without a key come first.
-    Repeated rows are separate records, ordered by their text.  Extra columns
-    are ignored; an empty table gives no records.
+    Repeated rows are separate records, ordered by their ids.  A very long text
+    is one record.  Extra columns, whatever their names, are ignored; an empty
+    table gives no records.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -31,9 +36,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import prepare
+from ._common import Scratch, prepare
 from .bpe_cache import encoder
 
+#: Bytes of ids in a file, about.
+FILE_BYTES = 128 << 20
+
 SCHEMA = "doc_id long, start long, n_tokens long, ids binary"
 _HEAD, _CRC, _KEY, _INDEX = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qBB"), struct.Struct("<QQ")
 
@@ -49,8 +57,8 @@ def frame(payload: bytes) -> bytes:
     return b"".join((head, _CRC.pack(masked(head)), payload, _CRC.pack(masked(payload))))
 
 
-def payload_of(key: int | None, ids: np.ndarray) -> bytes:
-    return _KEY.pack(key or 0, key is not None, ids.dtype.itemsize) + ids.tobytes()
+def payload_of(key: int | None, ids: bytes, width: int) -> bytes:
+    return _KEY.pack(key or 0, key is not None, width) + ids
 
 
 def parse(payload: bytes) -> tuple[int | None, np.ndarray]:
@@ -82,71 +90,93 @@ def filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def part(number: int) -> str:
-    return f"part-{number:05d}"
+class File(NamedTuple):
+    """A written file: its place in the order, its name without the ending, and what it holds."""
+
+    number: int
+    name: str
+    records: int
+    ids: int
 
 
-def write_records(docs: DataFrame, folder: str, path: str, end_id: int = 2, text: str = "text", key: str = "doc_id", partitions: int | None = None) -> list[tuple[int, int, int]]:
-    """Encode ``docs`` and write them in ascending key order; returns (file, records, ids) per file, as many as there are partitions."""
+def write_records(docs: DataFrame, folder: str, path: str, end_id: int = 2, text: str = "text", key: str = "doc_id", file_bytes: int = FILE_BYTES) -> list[File]:
+    """Encode ``docs`` and write them in ascending key order, in files of about ``file_bytes`` (smaller ones where there would be fewer than cores)."""
     spark = docs.sparkSession
     prepare(spark)
 
+    @F.pandas_udf("binary")
+    def encoded(texts: pd.Series) -> pd.Series:
+        enc = encoder(path)
+        end = np.array([end_id], enc.dtype).tobytes()
+        return pd.Series([enc.raw(t or "") + end for t in texts], dtype="object")
+
     def write(batches):
-        enc, number = encoder(path), TaskContext.get().partitionId()
+        number, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
+        width = encoder(path).dtype.itemsize
         store, base = filesystem(folder)
-        end = np.array([end_id], enc.dtype)
         store.create_dir(base, recursive=True)
-        attempt = f"{base}/_attempt-{uuid.uuid4().hex}"
+        name = f"part-{number:05d}-{attempt}"
         at = records = total = 0
-        with store.open_output_stream(f"{attempt}.rec") as data, store.open_output_stream(f"{attempt}.idx") as index:
+        with store.open_output_stream(f"{base}/{name}.rec") as data, store.open_output_stream(f"{base}/{name}.idx") as index:
             for pdf in batches:
-                for k, t in zip(pdf["k"].astype("Int64"), pdf["t"]):
-                    ids = np.concatenate([enc.ids(t or ""), end])
-                    framed = frame(payload_of(None if k is pd.NA else int(k), ids))
+                for k, ids in zip(pdf["k"].astype("Int64"), pdf["ids"]):
+                    framed = frame(payload_of(None if k is pd.NA else int(k), ids, width))
                     data.write(framed)
-                    index.write(index_entry(at, len(ids)))
-                    at, records, total = at + len(framed), records + 1, total + len(ids)
-        for kind in ("rec", "idx"):
-            store.move(f"{attempt}.{kind}", f"{base}/{part(number)}.{kind}")
-        yield pd.DataFrame({"file": [number], "records": [records], "ids": [total]})
-
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (
-        docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-        .repartitionByRange(n, F.col("k").asc_nulls_first(), F.xxhash64("t"))
-        .sortWithinPartitions(F.col("k").asc_nulls_first(), F.xxhash64("t"), "t")
-    )
-    rows = ordered.mapInPandas(write, "file long, records long, ids long").collect()
-    return sorted((r["file"], r["records"], r["ids"]) for r in rows)
-
-
-def iter_file(folder: str, number: int) -> Iterator[tuple[int | None, np.ndarray]]:
+                    index.write(index_entry(at, len(ids) // width))
+                    at, records, total = at + len(framed), records + 1, total + len(ids) // width
+        yield pd.DataFrame({"number": [number], "name": [name], "records": [records], "ids": [total]})
+
+    with Scratch(spark) as scratch:
+        rows = scratch.put(docs.select(F.col(f"`{key}`").cast("long").alias("k"), encoded(F.col(f"`{text}`")).alias("ids")), "ids")
+        size = rows.agg(F.sum(F.octet_length("ids").cast("long"))).first()[0] or 0
+        n = max(1, -(-size // file_bytes), min(spark.sparkContext.defaultParallelism, size >> 20))
+        order = F.col("k").asc_nulls_first(), F.xxhash64("ids")
+        ordered = rows.repartitionByRange(n, *order).sortWithinPartitions(*order, "ids")
+        # One row per file: the driver holds no more than the names.
+        files = sorted(File(**r.asDict()) for r in ordered.mapInPandas(write, "number long, name string, records long, ids long").collect())
+    sweep(folder, files)
+    return files
+
+
+def sweep(folder: str, files: list[File]) -> None:
+    """Delete what attempts that did not count have left."""
+    from pyarrow import fs
+
+    store, base = filesystem(folder)
+    known = {f.name for f in files}
+    for found in store.get_file_info(fs.FileSelector(base, allow_not_found=True)):
+        if found.base_name.startswith("part-") and found.base_name.rsplit(".", 1)[0] not in known:
+            store.delete_file(found.path)
+
+
+def iter_file(folder: str, name: str) -> Iterator[tuple[int | None, np.ndarray]]:
     """Keys and ids of one file, in its order; every checksum is verified."""
     store, base = filesystem(folder)
-    with store.open_input_stream(f"{base}/{part(number)}.rec", buffer_size=1 << 20) as stream:
+    with store.open_input_stream(f"{base}/{name}.rec", buffer_size=1 << 20) as stream:
         while (payload := read_frame(stream)) is not None:
             yield parse(payload)
 
 
-def read_at(folder: str, number: int, wanted: list[int]) -> list[tuple[int | None, np.ndarray]]:
+def read_at(folder: str, name: str, wanted: list[int]) -> list[tuple[int | None, np.ndarray]]:
     """Records ``wanted`` of one file through its offset index, in the wanted order."""
     store, base = filesystem(folder)
-    with store.open_input_stream(f"{base}/{part(number)}.idx") as stream:
+    with store.open_input_stream(f"{base}/{name}.idx") as stream:
         offsets = [at for at, _ in _INDEX.iter_unpack(stream.read())]
     out = []
-    with store.open_input_file(f"{base}/{part(number)}.rec") as stream:
+    with store.open_input_file(f"{base}/{name}.rec") as stream:
         for k in wanted:
             stream.seek(offsets[k])
             out.append(parse(read_frame(stream)))
     return out
 
 
-def read_records(spark: SparkSession, folder: str, files: list[tuple[int, int, int]], chunk: int = 500) -> DataFrame:
+def read_records(spark: SparkSession, folder: str, files: list[File], chunk: int = 500) -> DataFrame:
     """Rows of ``SCHEMA`` from the files: one task per file; ``start`` counts the ids of all records before."""
-    before, total = {}, 0
-    for number, _, ids in files:
-        before[number], total = total, total + ids
-    numbers = [number for number, records, _ in files if records]
+    held, total = [], 0
+    for f in files:
+        if f.records:
+            held.append((f.name, total))
+        total += f.ids
 
     def frame_of(rows):
         out = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids"])
@@ -156,9 +186,9 @@ def read_records(spark: SparkSession, folder: str, files: list[tuple[int, int, i
     def read(batches):
         for pdf in batches:
             for slot in pdf["id"]:
-                number = numbers[slot]
-                start, rows = before[number], []
-                for key, ids in iter_file(folder, number):
+                name, start = held[slot]
+                rows = []
+                for key, ids in iter_file(folder, name):
                     rows.append((key, start, len(ids), ids.astype("<u4").tobytes()))
                     start += len(ids)
                     if len(rows) >= chunk:
@@ -167,4 +197,4 @@ def read_records(spark: SparkSession, folder: str, files: list[tuple[int, int, i
                 if rows:
                     yield frame_of(rows)
 
-    return spark.range(0, len(numbers), 1, max(1, len(numbers))).mapInPandas(read, SCHEMA)
+    return spark.range(0, len(held), 1, max(1, len(held))).mapInPandas(read, SCHEMA)

@@ -51,6 +51,17 @@ def test_token_counts(spark):
     assert token_counts.count_tokens(spark, odd_frame(spark).limit(0), queries.tokenizer_path("byte_bpe_50k.json")).count() == 0
 
 
+def test_frequent_lengths_come_from_all_documents(spark):
+    path = queries.tokenizer_path("byte_bpe_50k.json")
+    enc = bpe_cache.CachedEncoder(path)
+    texts = ["мир и труд " * 50, "common words here " * 40, "世界 " * 30, "x<|endoftext|>y", None, ""] + [f"rare{k} " for k in range(60)]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    found = token_counts.frequent_lengths(df, path, table_rows=12)
+    assert 0 < len(found) <= 12 and {" труд", " words", " common", " here", " и"} <= set(found)
+    assert all(n == len(enc.cache.encode(p)) // enc.dtype.itemsize for p, n in found.items())
+    assert set(token_counts.frequent_lengths(df, path, table_rows=12, counted=40)) <= set(token_counts.frequent_lengths(df, path))
+
+
 def best_cost(at, penalty, costs):
     best = [0.0] + [None] * (len(at) - 1)
     for j in range(1, len(at)):
@@ -121,6 +132,25 @@ def test_packing_of_odd_rows_in_small_stretches(spark):
     assert packing.pack_documents(rows.limit(0), queries.tokenizer_path("word_bpe_49k.json")).count() == 0
 
 
+def test_a_task_that_runs_again_packs_the_same(spark):
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    rows = [(k % 7, f"text {k}. " * (k % 11 + 1)) for k in range(90)] + [(3, "same")] * 4 + [(None, "no key"), (None, None)]
+    packed = []
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        packed.append([tuple(r) for r in packing.pack_documents(df, path, costs=packing.Costs(size=64, stretch=300)).orderBy("sequence_id", "offset").collect()])
+    assert packed[0] == packed[1]
+
+
+def test_the_last_windows_are_powers_of_two(spark):
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    for words in (3, 40, 700):
+        df = spark.createDataFrame([(1, "word " * words)], "doc_id long, text string")
+        rows = packing.pack_documents(df, path).collect()
+        assert sum(r["length"] for r in rows) == words + 1 and all(r["length"] & (r["length"] - 1) == 0 for r in rows)
+
+
 def test_records_come_back(spark):
     lib = Tokenizer.from_file(queries.tokenizer_path("byte_bpe_50k.json"))
     at, want = 0, {}
@@ -135,21 +165,24 @@ def test_record_files(spark, tmp_path):
     folder = f"file://{tmp_path}/r"
     path = queries.tokenizer_path("byte_bpe_50k.json")
     twice = odd_frame(spark).union(odd_frame(spark))
-    files = records.write_records(twice, folder, path, partitions=3)
-    assert sum(f[1] for f in files) == 2 * len(ODD) and sorted(p.name for p in (tmp_path / "r").iterdir()) == [f"part-{k:05d}.{e}" for k in range(len(files)) for e in ("idx", "rec")]
+    (tmp_path / "r").mkdir()
+    (tmp_path / "r" / "part-00000-lost.rec").write_bytes(b"an attempt that did not count")
+    files = records.write_records(twice, folder, path, file_bytes=2000)
+    assert len(files) > 1 and sum(f.records for f in files) == 2 * len(ODD)
+    assert sorted(p.name for p in (tmp_path / "r").iterdir() if p.suffix != ".crc") == sorted(f"{f.name}.{e}" for f in files for e in ("idx", "rec"))
     rows = records.read_records(spark, folder, files, chunk=3).collect()
     keys = [r["doc_id"] for r in sorted(rows, key=lambda r: r["start"])]
     assert keys[:2] == [None, None] and keys[2:] == sorted(keys[2:]) and len(keys) == 2 * len(ODD)
-    number, n, _ = max(files, key=lambda f: f[1])
-    every = list(records.iter_file(folder, number))
-    assert [(k, i.tolist()) for k, i in records.read_at(folder, number, [n - 1, 0])] == [(k, i.tolist()) for k, i in (every[n - 1], every[0])]
-    p = tmp_path / "r" / f"{records.part(number)}.rec"
+    _, name, n, _ = max(files, key=lambda f: f.records)
+    every = list(records.iter_file(folder, name))
+    assert [(k, i.tolist()) for k, i in records.read_at(folder, name, [n - 1, 0])] == [(k, i.tolist()) for k, i in (every[n - 1], every[0])]
+    p = tmp_path / "r" / f"{name}.rec"
     raw = bytearray(p.read_bytes())
     raw[20] ^= 1
     p.write_bytes(raw)
     with pytest.raises(ValueError):
-        list(records.iter_file(folder, number))
-    none = records.write_records(odd_frame(spark).limit(0), f"file://{tmp_path}/e", path, partitions=2)
+        list(records.iter_file(folder, name))
+    none = records.write_records(odd_frame(spark).limit(0), f"file://{tmp_path}/e", path)
     assert records.read_records(spark, f"file://{tmp_path}/e", none).count() == 0
 
 
