@@ -8,7 +8,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..ship import ship
 from ..sources.star import spread
@@ -102,6 +103,24 @@ def fresh(df: DataFrame, stem: str) -> str:
     return name
 
 
+def held_out(key: Column, folds: int = 5) -> Column:
+    """Rows set aside for testing: crc32 of the key, as text, modulo ``folds`` is 0."""
+    return F.crc32(key.cast("string").cast("binary")) % folds == 0
+
+
+def labelled_sample(labels: DataFrame, value: Column, most: int, folds: int = 5) -> DataFrame:
+    """(labelled_id, value): about ``most`` of the keys of ``labels`` that have a value and aren't held out, or all if there are fewer.
+
+    ``value`` is an aggregate, since keys may be repeated.  The keys are those
+    whose hash lies below a level set from their count, so that nothing is
+    sorted; twice ``most`` is a bound that no hash of a larger table passes.
+    """
+    rows = labels.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), folds)).groupBy(F.col("doc_id").alias("labelled_id")).agg(value.alias("value")).filter("value is not null")
+    scale = 1 << 40
+    level = scale * most // max(rows.count(), most)
+    return rows.filter(F.pmod(F.xxhash64("labelled_id"), F.lit(scale)) < level)
+
+
 def documents(spark: SparkSession, sf_dir: str, *order: str) -> DataFrame:
     """The documents, dealt out (by ``order`` if given) if their files give fewer tasks than there are cores."""
     return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"), *order)

@@ -50,7 +50,8 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.score_quality(documents(spark, sf_dir))
+    docs = documents(spark, sf_dir)
+    return quality.score_quality(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
