@@ -8,7 +8,7 @@ misspelling of its own letters.  The terms form a trie.
 
 Matching.  For a word, the automaton that accepts everything within one edit is
 run through the trie; both are walked together, so only the trie's paths that
-the automaton can still accept are visited.  Terms of 5 letters or more match
+the automaton can still accept are visited.  Terms of 4 letters or more match
 within one edit, shorter ones and stems exactly.  Near misses that clean
 labelled texts use are no hits.
 
@@ -18,14 +18,17 @@ window make it abuse.  A logistic model over these counts gives the score; its
 weights are fitted on the labelled rows and held near prior weights, so that a
 few labels do not bend it.
 
-The fit uses at most ``max_labelled`` labelled rows, a documented bound; the
+The fit uses about ``max_labelled`` labelled rows, a documented bound; the
 texts scored are always all rows, whole.
 
 Defined results
-    null or empty text: no hit, the score of a text without hits.  Without any
+    null or empty text: no hit, the score of a text without hits.  A very long
+    text is scored whole; a worker holds its words.  An empty table gives no
+    rows.  Words under 4 letters are no near hits.  Without any
     toxic label the lexicon is empty and every score is the prior's.  Repeated
     labels of a row count once, toxic if any is.  Repeated rows are scored one
-    by one; extra columns are ignored or, in :func:`keep_clean`, kept.
+    by one; extra columns, whatever their names, are ignored or, in
+    :func:`keep_clean`, kept.
 """
 
 from __future__ import annotations
@@ -41,7 +44,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import fresh, materialize, prepare
+from ._common import fresh, held_out, labelled_sample, materialize, prepare
 
 # Marks and words around a quoted term.
 QUOTES = "\"“”„«»‘’'`"
@@ -49,7 +52,7 @@ REPORTING = frozenset("said says say word words term called quote quoted writes
 TRIM = ".,;:!?()[]{}<>*_~-|" + QUOTES
 
 #: Letters of the shortest term that matches within one edit.
-LEAST_NEAR = 5
+LEAST_NEAR = 4
 
 #: Features of a text and the prior weights: bias, exact hits, near hits, hits beside other hits, quoted hits.
 PRIOR = (-2.5, 1.6, 1.0, 0.4, 0.2)
@@ -61,7 +64,8 @@ class FitParams:
     #: A term marks a text as toxic with at least these odds against clean texts.
     least_log_odds: float = 2.5
     cover: int = 3
-    most_terms: int = 5000
+    #: A term of so many toxic texts is always looked at, however many labels there are; with few labels two will do.
+    rare: int = 5
     window: int = 8
     stem_lengths: tuple[int, ...] = (4, 5, 6, 7)
     ridge: float = 4.0
@@ -173,7 +177,7 @@ class Matcher:
 
 
 def features(words: list[str], matcher: Matcher, window: int) -> tuple[float, ...]:
-    """Bias and counts of hits by their context, dampened."""
+    """Bias and counts of hits by their context, by their logarithms: the first hit says most."""
     kinds = matcher.hits(words)
     if not kinds:
         return 1.0, 0.0, 0.0, 0.0, 0.0
@@ -188,7 +192,7 @@ def features(words: list[str], matcher: Matcher, window: int) -> tuple[float, ..
         else:
             near += 1
         beside += (k > 0 and i - at[k - 1] <= window) or (k + 1 < len(at) and at[k + 1] - i <= window)
-    return 1.0, min(exact, 6), min(near, 6), min(beside, 6), min(quoted, 6)
+    return 1.0, *(math.log2(1 + n) for n in (exact, near, beside, quoted))
 
 
 def is_quoted(words: list[str], at: int, window: int) -> bool:
@@ -206,20 +210,10 @@ def score_of(values, weights) -> float:
 # --- fitting --------------------------------------------------------------------------------------------------------
 
 
-def held_out(key: Column, folds: int = 5) -> Column:
-    return F.crc32(key.cast("string").cast("binary")) % folds == 0
-
-
 def training_texts(docs: DataFrame, labels: DataFrame, params: FitParams) -> DataFrame:
-    """(text, toxic) of at most ``max_labelled`` labelled rows outside the held-out fold, each text once."""
-    rows = (
-        labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-        .filter(~held_out(F.col("doc_id"), params.folds))
-        .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(params.max_labelled)
-        .select(F.col("doc_id").alias("labelled_id"), (F.col("toxic") > 0).cast("int").alias("toxic"))
-    )
-    # At most max_labelled rows of two numbers: a proven bound for the broadcast.
+    """(text, toxic) of about ``max_labelled`` labelled rows outside the held-out fold, each text once."""
+    rows = labelled_sample(labels, F.max("toxic"), params.max_labelled, params.folds).select("labelled_id", (F.col("value") > 0).cast("int").alias("toxic"))
+    # At most twice max_labelled rows of two numbers: a proven bound for the broadcast.
     texts = docs.select("doc_id", "text").join(F.broadcast(rows), F.col("doc_id") == F.col("labelled_id")).select("text", "toxic")
     return texts.groupBy(F.xxhash64("text").alias("h")).agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic")
 
@@ -252,7 +246,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: FitParams = FitParams()) ->
         prior = math.log(0.5 / (n_clean + 1.0))
         return Model(weights=(min(PRIOR[0], prior), *PRIOR[1:]), window=params.window)
     toxic, clean = texts.filter("toxic = 1"), texts.filter("toxic = 0")
-    least = max(2, math.ceil(0.004 * n_toxic))
+    least = min(params.rare, max(2, math.ceil(0.004 * n_toxic)))
     in_toxic = {(r["kind"], r["term"]): r["n"] for r in _term_counts(toxic, None, params.stem_lengths).filter(F.col("n") >= least).collect()}
     pool = spark.sparkContext.broadcast(set(in_toxic))
     in_clean = {(r["kind"], r["term"]): r["n"] for r in _term_counts(clean, pool, params.stem_lengths).collect()}
@@ -325,7 +319,7 @@ def cover(holding: list[set], in_toxic: dict, in_clean: dict, params: FitParams,
     chosen: list[tuple[str, str]] = []
     heap = [(-v, rank[g], g) for g, v in value.items()]
     heapq.heapify(heap)
-    while heap and len(chosen) < params.most_terms:
+    while heap:
         v, order, g = heapq.heappop(heap)
         new = [i for i in texts_of[g] if serves(i, g[1])]
         now = len(new)
@@ -375,7 +369,7 @@ def matcher_of(number: str, model: Model) -> Matcher:
 
 
 def score_column(text: Column, spark: SparkSession, model: Model) -> Column:
-    """Scores of a text column; the model (at most twice ``most_terms`` terms and stems, and the marking terms of the stems) is broadcast."""
+    """Scores of a text column; the model (at most ``cover`` terms and stems for each toxic text of the sample, and the marking terms of the stems) is broadcast."""
     sent = spark.sparkContext.broadcast(model)
     number = uuid.uuid4().hex
 
@@ -391,7 +385,7 @@ def score_column(text: Column, spark: SparkSession, model: Model) -> Column:
 def score_toxicity(docs: DataFrame, model: Model, folds: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, held_out, score and predicted for every row; a map without any shuffle."""
     prepare(docs.sparkSession)
-    scored = docs.select(F.col(key).alias("doc_id"), score_column(F.col(text), docs.sparkSession, model).alias("score"))
+    scored = docs.select(F.col(f"`{key}`").alias("doc_id"), score_column(F.col(f"`{text}`"), docs.sparkSession, model).alias("score"))
     return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id"), folds), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

@@ -3,7 +3,7 @@ import zstandard
 import corpus_pipeline
 from quipu.llm import quality, toxicity
 from quipu.llm.queries import tokenizer_path
-from tests.llm.test_simhash import plain_components, plain_print
+from tests.llm.test_simhash import plain_components, plain_kept, plain_print
 
 SF = "/root/testdata/sf0.001"
 
@@ -11,7 +11,8 @@ SF = "/root/testdata/sf0.001"
 def test_run_equals_stage_by_stage_brute_force(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     squeeze = zstandard.ZstdCompressor(level=3).compress
-    good = {k: t for k, t in docs.items() if quality.judge(t, quality.Bands(), squeeze)[-1]}
+    bands = quality.fit(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
+    good = {k: t for k, t in docs.items() if quality.judge(t, bands, squeeze)[-1]}
     model = toxicity.fit(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
     matcher = toxicity.Matcher(model)
     clean = {k: t for k, t in good.items() if toxicity.score_of(toxicity.features(toxicity.words_of(t), matcher, model.window), model.weights) < 0.5}
@@ -38,3 +39,14 @@ def test_nulls_and_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, docs, SF).collect()
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_repeated_keys_lose_no_text(spark, tmp_path):
+    """Every document twice under the keys of others: what has no copy stays, whatever its key."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    again = docs.selectExpr("(doc_id + 7) % 50 as doc_id", "concat(text, ' ', text) as text", "lang", "source", "n_chars")
+    both = docs.unionByName(again).unionByName(docs.limit(20))
+    kept = corpus_pipeline.near_dedup(spark, both, SF).collect()
+    rows = [(r["doc_id"], r["text"]) for r in both.collect()]
+    groups = plain_kept(rows)
+    assert len(kept) == len(groups) and all(sum((r["doc_id"], r["text"] or "") in g for r in kept) >= 1 for g in groups)

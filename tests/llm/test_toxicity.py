@@ -1,6 +1,8 @@
+import math
 import random
 import zlib
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -118,3 +120,59 @@ def test_held_out_accuracy_on_the_tables(spark):
     hits = sum(r["toxic"] and r["predicted"] for r in rows)
     assert hits / sum(r["toxic"] for r in rows) > 0.8 and hits / max(1, sum(r["predicted"] for r in rows)) > 0.95
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
+
+
+def plain_score(text, model):
+    """Brute force: every word against every term by edit distance, and the context by hand."""
+    words = (text or "").lower().split()
+    trim = ".,;:!?()[]{}<>*_~-|" + "\"“”„«»‘’'`"
+    core = [w.strip(trim) for w in words]
+
+    def kind(w):
+        if w in model.terms or any(w.startswith(s) and w != s for s in model.stems):
+            return "exact"
+        near = len(w) >= 4 and w not in model.benign and any(len(t) >= 4 and abs(len(t) - len(w)) <= 1 and edit(t, w) <= 1 for t in model.terms)
+        return "near" if near else None
+
+    seen = {w: kind(w) for w in set(core)}
+    at = [i for i, w in enumerate(core) if seen[w]]
+    counts = dict.fromkeys(("exact", "near", "beside", "quoted"), 0)
+    for i in at:
+        low, high = max(0, i - model.window), min(len(words), i + model.window + 1)
+        opened = any(w[0] in "\"“”„«»‘’'`" for w in words[low : i + 1])
+        ends = [w.rstrip(".,;:!?") for w in words[i:high]]
+        closed = any(w and w[-1] in "\"“”„«»‘’'`" for w in ends)
+        told = any(w in toxicity.REPORTING for w in core[low:high])
+        counts["quoted" if opened and closed or told else seen[core[i]]] += 1
+        counts["beside"] += any(j != i and abs(i - j) <= model.window for j in at)
+    z = model.weights[0] + sum(w * math.log2(1 + n) for w, n in zip(model.weights[1:], counts.values()))
+    return 1 / (1 + math.exp(-z))
+
+
+def test_every_score_equals_the_plain_one(spark):
+    path = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{path}/labels.parquet"))
+    rng = random.Random(3)
+    odd = [" ".join(rng.choice([*model.terms, *model.stems, "the", "said", "“oh", "well”", "'x", "y'."]) + rng.choice(["", "", "s", "x", "!", "."]) for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    texts = [r["text"] for r in docs.collect()] + odd + ["calm words " * 60_000 + model.terms[0], None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(df, model).collect()}
+    for k, t in enumerate(texts):
+        assert got[k] == pytest.approx(plain_score(t, model), rel=1e-9), k
+
+
+def test_columns_of_clashing_names(spark):
+    docs, labels, _, _ = corpus(spark)
+    more = docs.selectExpr("doc_id", "text", "lang as score", "lang as predicted", "doc_id as labelled_id", "lang as toxicity_score", "1 as toxic", "2 as held_out")
+    model = toxicity.fit(more, labels)
+    assert model == toxicity.fit(docs, labels)
+    kept = toxicity.keep_clean(more, model)
+    assert kept.columns == more.columns and kept.count() == toxicity.keep_clean(docs, model).count()
+    assert toxicity.score_toxicity(more, model).columns == ["doc_id", "held_out", "score", "predicted"]
+    assert toxicity.score_toxicity(more.limit(0), model).count() == 0
+
+
+def test_a_misspelt_term_of_four_letters_is_near():
+    matcher = toxicity.Matcher(toxicity.Model(terms=["scum", "sun"], benign=["slum"]))
+    assert [matcher.kind(w) for w in ("scum", "scumm", "scun", "slum", "scm", "sum", "suns")] == ["exact", "near", "near", None, None, None, None]
