@@ -17,8 +17,8 @@ from quipu.llm.queries import tokenizer_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that pass the compression bands and the base rules."""
-    return quality.keep_good(docs)
+    """Rows that pass the compression bands and the base rules; the bands are fitted on the labelled rows of the whole ``documents``."""
+    return quality.keep_good(docs, quality.fit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near-duplicates, that of the least doc_id."""
+    """One row of each group of near-duplicates, that of the least doc_id, however often a doc_id occurs."""
     return simhash.keep_first(docs)
 
 
