@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -94,6 +96,24 @@ class Scratch:
         remove(self.folder)
 
 
+_CACHES: dict[str, dict] = {}
+
+
+def cache_of(owner: str) -> dict:
+    """What a worker keeps for one kind of operator.
+
+    Workers outlive the stages that fill their caches; the first call for
+    another kind empties the others, and hands their memory back.
+    """
+    if owner not in _CACHES:
+        _CACHES.clear()
+        _CACHES[owner] = {}
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)
+    return _CACHES[owner]
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that no column of ``df`` has (in any letter case)."""
     taken = {c.lower() for c in df.columns}

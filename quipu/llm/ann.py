@@ -1,33 +1,42 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing.
 
-Index.  A table projects unit vectors on ``projections`` orthonormal random
-directions (Gaussian, so 2-stable), shifts by a random offset and cuts into
-cells of ``width``: h(x) = floor((a.x + b) / width) per direction.  Every row
-is indexed in every table.
-
-Probes.  For a query the cells of a table are visited in the order of the
-estimated probability that they hold a near neighbour.  A neighbour at cosine c
-has the projection c*(a.q) plus a normal deviation of sqrt((1-c^2)/dim); the
-estimate is the product over the directions of the mass that falls into the
-cell, averaged over the design cosines.  Cells are visited until the mass
-visited reaches ``mass`` for every design cosine, and until at least k other
-rows lie in the visited cells.
+Index.  A table projects unit vectors on orthonormal random directions
+(Gaussian, so 2-stable), shifts by a random offset and cuts into cells of one
+width: h(x) = floor((a.x + b) / width) per direction.  Every row is indexed in
+every table.
+
+Probes.  A neighbour at cosine c has the projection c*(a.q) plus a normal
+deviation of sqrt((1-c^2)/dim); the estimated success of a cell is the product
+over the directions of the mass that falls into it, averaged over the design
+cosines.  A query visits its own cell and perturbed ones in the order of this
+estimate, down to a level.
+
+Fit.  On a bounded sample of the queries, whose true neighbours a scan finds,
+the layout is chosen: the number of directions and the width, and for each the
+level that lets the tables together reach ``recall`` of the true neighbours; of
+all layouts the one with the least work for a query, in rows compared and cells
+visited as seen on a bounded sample of rows.  So finer cells are taken as rows
+grow and neighbours draw near, and coarse ones where the vectors have no
+structure.  The rule is the same at every size.
 
 Rerank.  Candidates of all tables are scored by the exact cosine of the
 original vectors in double precision, merged, and the k best kept; ties go to
-the smaller id.
+the smaller id.  A query that finds fewer than k is held against all rows, in
+blocks.
 
-Scale.  The number of cells of a table is bounded by its width and projections,
-not by the data, so cell sizes may be collected and broadcast.  Cells are parted
-into blocks of about ``block`` rows, dealt by a hash of the id, so a hot cell
-spreads over many tasks; a query's probe goes to each block of its cells and
-comes back with at most k candidates.  No pair is shuffled.
+Scale.  Equal vectors are one class, known by its k+1 smallest ids, since no
+other of its ids can be among the k nearest of anything; the cut is made
+map-side first, so thousands of copies are one row.  Probes move as cell
+numbers; only those that meet a cell with rows get their query's vector.  Cells
+are parted into blocks of ``block`` rows, dealt by a hash, so a hot cell spreads
+over many tasks; a task keeps no more than the k best of each query.
 
 Defined results
     vectors that are null, empty, zero, of another length than most, or with a
     null or non-finite component take no part, as queries or candidates; rows
     with a null id take none either.  Repeated rows (same id and vector) are
-    one.  Fewer than k candidates: all of them.  An empty table gives no rows.
+    one.  Fewer than k candidates: all of them.  Extra columns, whatever their
+    names, are ignored.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,91 +47,148 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import materialize, prepare
 
-SCHEMA = "query_id long, vec_id long, score double"
+FOUND = "query long, cid long, first long, score double"
+RESULT = "query_id long, rank int, vec_id long, score double"
 
 
 @dataclass(frozen=True)
 class Params:
     tables: int = 2
-    projections: int = 4
-    width: float = 0.2
-    #: Cosines of the neighbours that the probes are laid out for, and the share of them that one table's probes reach.
-    cosines: tuple[float, ...] = (0.3, 0.6, 0.9, 0.99)
-    mass: float = 0.8
     k: int = 5
-    block: int = 256
+    #: Share of the sample's true neighbours that the probes have to reach.
+    recall: float = 0.96
+    #: Bounds of the samples that the fit looks at.
+    sample_queries: int = 256
+    sample_rows: int = 4096
+    #: Layouts tried: directions, and widths in standard deviations of a projection.
+    projections: tuple[int, ...] = (1, 2, 3, 4, 6, 8, 10, 12)
+    widths: tuple[float, ...] = (0.8, 1.6, 3.2)
+    #: Cells that a query may visit in a layout; others are left out.
+    most_probes: int = 20_000
+    #: Work of a visited cell or block, in rows compared.
+    probe_cost: float = 8.0
+    block: int = 4096
     seed: int = 20240607
 
 
 class Tables:
-    """The hash functions for vectors of one length."""
+    """Hash functions of one layout, and the order in which a query visits cells."""
 
-    def __init__(self, dim: int, params: Params):
-        self.dim, self.params = dim, params
+    def __init__(self, dim: int, m: int, width: float, cosines, params: Params):
         rng = np.random.default_rng(params.seed)
-        m = min(params.projections, dim)
+        self.dim, self.m, self.width, self.cosines = dim, m, width, tuple(cosines)
         self.directions = [np.linalg.qr(rng.normal(size=(dim, m)))[0] for _ in range(params.tables)]
-        self.offsets = [rng.uniform(0, params.width, m) for _ in range(params.tables)]
+        self.offsets = [rng.uniform(0, width, m) for _ in range(params.tables)]
         #: Cells per direction: a projection of a unit vector lies in [-1, 1].
-        self.span = math.ceil(2 / params.width) + 2
-        self.m = m
-
-    def cells(self, table: int, unit: np.ndarray) -> np.ndarray:
-        """Cell numbers of unit vectors; below span ** projections."""
-        at = np.floor((unit @ self.directions[table] + self.offsets[table] + 1.0) / self.params.width).astype(np.int64)
-        return np.clip(at, 0, self.span - 1) @ (self.span ** np.arange(self.m, dtype=np.int64))
-
-    def probes(self, table: int, unit: np.ndarray, cells: np.ndarray, sizes: np.ndarray, least: int) -> list[np.ndarray]:
-        """For each query the positions in ``cells`` (those that hold rows) to visit, best first."""
-        p = self.params
-        digits = (cells[:, None] // self.span ** np.arange(self.m, dtype=np.int64)) % self.span
-        lower = digits * p.width - self.offsets[table] - 1.0
+        self.span = math.ceil(2 / width) + 2
+        self.level = -math.inf
+
+    def digits(self, table: int, unit: np.ndarray) -> np.ndarray:
+        at = np.floor((unit @ self.directions[table] + self.offsets[table] + 1.0) / self.width).astype(np.int64)
+        return np.clip(at, 0, self.span - 1)
+
+    def number(self, digits: np.ndarray) -> np.ndarray:
+        """One 64-bit number for the digits of a cell, mixed where they don't fit side by side."""
+        out = np.zeros(len(digits), np.uint64)
+        for d in range(self.m):
+            out = (out * np.uint64(0x9E3779B97F4A7C15) if self.m * math.log2(self.span) > 62 else out * np.uint64(self.span)) + digits[:, d].astype(np.uint64)
+        return out.view(np.int64)
+
+    def successes(self, table: int, unit: np.ndarray) -> np.ndarray:
+        """(query, direction, digit): logarithm of the mass expected there."""
         centre = unit @ self.directions[table]
-        per_cosine = []
-        for c in p.cosines:
-            spread = math.sqrt(max(1 - c * c, 1e-4) / self.dim)
-            edges = np.arange(self.span + 1) * p.width
-            # One table of normal masses per query and direction, then one lookup per cell.
+        edges = np.arange(self.span + 1) * self.width
+        edges[0], edges[-1] = -9.0, self.span * self.width + 9.0  # the end cells hold all beyond
+        mass = 0.0
+        for c in self.cosines:
+            spread = math.sqrt(max(1 - c * c, 1e-6) / self.dim)
             bounds = (edges[None, None, :] - self.offsets[table][None, :, None] - 1.0 - c * centre[:, :, None]) / spread
-            inside = np.diff(normal_cdf(bounds), axis=2)
-            mass = np.ones((len(unit), len(cells)))
-            for d in range(self.m):
-                mass *= inside[:, d, :][:, digits[:, d]]
-            per_cosine.append(mass)
-        masses = np.stack(per_cosine)
-        order = np.argsort(-masses.mean(axis=0), axis=1, kind="stable")
-        out = []
-        for q in range(len(unit)):
-            o = order[q]
-            got = np.cumsum(masses[:, q, o], axis=1)
-            # Mass over cells without rows can't be visited: the target is a share of what can.
-            short = (got < p.mass * got[:, -1:]).any(axis=0) | (np.cumsum(sizes[o]) < least)
-            out.append(o[: min(len(o), int(np.count_nonzero(short)) + 1)])
-        return out
+            mass = mass + np.diff(normal_cdf(bounds), axis=2)
+        return np.log(np.maximum(mass / len(self.cosines), 1e-12))
+
+    def score(self, successes: np.ndarray, digits: np.ndarray) -> np.ndarray:
+        """(query, row): estimated success of the rows' cells."""
+        return sum(successes[:, d, :][:, digits[:, d]] for d in range(self.m))
+
+    def visits(self, successes: np.ndarray, own: np.ndarray, most: int | None = None) -> np.ndarray | None:
+        """Digits of the cells of one query (direction, digit) from the likeliest to the level, its own first; None if over ``most``."""
+        best = successes.max(axis=1)
+        rest = np.concatenate([np.cumsum(best[::-1])[::-1][1:], [0.0]])
+        digits, scores = np.zeros((1, 0), np.int64), np.zeros(1)
+        for d in range(self.m):
+            new = scores[:, None] + successes[d][None, :]
+            at, digit = np.nonzero(new + rest[d] >= self.level)
+            if most is not None and len(at) > most:
+                return None
+            digits, scores = np.column_stack([digits[at], digit]), new[at, digit]
+        order = np.argsort(-scores, kind="stable")
+        found = digits[order]
+        return np.concatenate([own[None, :], found[(found != own).any(axis=1)]])
 
 
 def normal_cdf(x: np.ndarray) -> np.ndarray:
     """Normal distribution function, to about 1e-7; it only orders probes."""
+    x = np.clip(x, -30, 30)
     t = 1 / (1 + 0.2316419 * np.abs(x))
     tail = np.exp(-x * x / 2) / math.sqrt(2 * math.pi) * t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
     return np.where(x >= 0, 1 - tail, tail)
 
 
+def fit_tables(queries: np.ndarray, pairs: list[tuple[int, np.ndarray]], rows: np.ndarray, n: int, params: Params) -> Tables:
+    """The layout with the least work; ``pairs`` are sampled queries (places in ``queries``) with the vectors of their true neighbours."""
+    dim = queries.shape[1]
+    unit, sample = units(queries), units(rows)
+    if not pairs:
+        return Tables(dim, 1, 2.0, (0.5,), params)
+    who = np.concatenate([np.full(len(v), q) for q, v in pairs])
+    near = units(np.concatenate([v for _, v in pairs]))
+    cosines = np.clip(np.quantile((unit[who] * near).sum(axis=1), (0.05, 0.25, 0.5, 0.75, 0.95)), -0.99, 0.99999)
+    deviation = max(float(np.std(sample @ np.linalg.qr(np.random.default_rng(params.seed).normal(size=(dim, min(4, dim))))[0])), 1e-3)
+    best, least = None, math.inf
+    for m in params.projections:
+        for width in params.widths:
+            if m > dim:
+                continue
+            tables = Tables(dim, m, min(2.0, width * deviation), cosines, params)
+            successes = [tables.successes(t, unit) for t in range(params.tables)]
+            reached = np.full(len(who), -math.inf)
+            for t, s in enumerate(successes):
+                digits, own = tables.digits(t, near), tables.digits(t, unit)[who]
+                score = sum(s[who, d, digits[:, d]] for d in range(m))
+                reached = np.maximum(reached, np.where((digits == own).all(axis=1), math.inf, score))
+            tables.level = float(np.quantile(reached, 1 - params.recall, method="lower")) - 1e-9
+            share = 0.0
+            for t, s in enumerate(successes):
+                cells = tables.digits(t, sample)
+                same = (tables.digits(t, unit)[:, None, :] == cells[None, :, :]).all(axis=2)
+                share += float(((tables.score(s, cells) >= tables.level) | same).mean()) / params.tables
+            compared = share * n * params.tables
+            if compared >= least:
+                continue
+            own = tables.digits(0, unit)
+            seen = [tables.visits(successes[0][q], own[q], params.most_probes) for q in range(min(len(unit), 16))]
+            if any(v is None for v in seen):
+                continue
+            # A block is visited for every ``block`` rows compared at least.
+            work = compared + params.probe_cost * (params.tables * np.mean([len(v) for v in seen]) + compared / params.block)
+            if work < least:
+                best, least = tables, work
+    return best or Tables(dim, 1, 2.0, cosines, params)
+
+
 def valid_vectors(rows: DataFrame, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
-    """(vec_id, v) of the rows that take part, v as doubles; repeated rows once."""
-    v = F.col(vector).cast("array<double>")
+    """(vec_id, v) of the rows that take part, v as doubles."""
+    v = F.col(f"`{vector}`").cast("array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return (
-        rows.select(F.col(key).cast("long").alias("vec_id"), v.alias("v"))
+        rows.select(F.col(f"`{key}`").cast("long").alias("vec_id"), v.alias("v"))
         .filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0))
         .filter(fine & F.exists("v", lambda x: x != 0.0))
-        .withColumn("v", F.col("v"))
-        .dropDuplicates(["vec_id", "v"])
     )
 
 
@@ -136,53 +202,50 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
-def best_of_block(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k nearest of a block for each query, by exact cosine, then id."""
-    rough = units(q) @ units(v).T
-    rough[qid[:, None] == vid[None, :]] = -np.inf
-    if len(vid) > k:
-        floor = np.partition(rough, len(vid) - k, axis=1)[:, len(vid) - k]
-    else:
-        floor = np.full(len(qid), -2.0)
-    r, c = np.nonzero(rough >= np.maximum(floor, -2.0)[:, None] - 1e-9)
-    score = cosine(q[r], v[c])
-    order = np.lexsort((vid[c], -score, r))
-    r, c, score = r[order], c[order], score[order]
-    starts = np.r_[0, np.flatnonzero(np.diff(r)) + 1]
-    rank = np.arange(len(r)) - np.repeat(starts, np.diff(np.r_[starts, len(r)])) if len(r) else np.arange(0)
-    top = rank < k
-    return qid[r[top]], vid[c[top]], score[top]
+def best_of_block(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, first: np.ndarray, v: np.ndarray, k: int) -> pd.DataFrame:
+    """The k nearest classes of a block for each query, its own left out, by exact cosine, then least id."""
+    out = []
+    u = units(v).T
+    for lo in range(0, len(qid), 512):
+        a, b = qid[lo : lo + 512], q[lo : lo + 512]
+        rough = units(b) @ u
+        rough[a[:, None] == vid[None, :]] = -np.inf
+        floor = np.partition(rough, len(vid) - k, axis=1)[:, len(vid) - k] if len(vid) > k else np.full(len(a), -2.0)
+        r, c = np.nonzero(rough >= np.maximum(floor, -2.0)[:, None] - 1e-9)
+        out.append(pd.DataFrame({"query": a[r], "cid": vid[c], "first": first[c], "score": cosine(b[r], v[c])}))
+    return merged(out, k)
 
 
 def merged(found: list[pd.DataFrame], k: int) -> pd.DataFrame:
     """k best per query of several blocks' results; a pair found twice counts once."""
-    out = pd.concat(found).drop_duplicates(["query_id", "vec_id"]).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-    return out[out.groupby("query_id").cumcount() < k]
+    out = pd.concat(found).drop_duplicates(["query", "cid"]).sort_values(["query", "score", "first"], ascending=[True, False, True])
+    return out[out.groupby("query").cumcount() < k]
 
 
 def _search_blocks(k: int, held: int = 200_000):
-    """Map over rows sorted by (cell, block, kind): rows of a block first, then the probes of it."""
+    """Map over rows sorted by (t, cell, block, kind): rows of a block first, then the probes of it."""
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: list[pd.DataFrame] = []
         count = 0
-        key, vid, v = None, None, None
+        key, vid, first, v = None, None, None, None
 
         for pdf in batches:
+            if not len(pdf):
+                continue
             keys = pdf[["t", "cell", "block"]].to_numpy()
-            kinds, ids = pdf["kind"].to_numpy(), pdf["id"].to_numpy()
+            kinds, ids, firsts = pdf["kind"].to_numpy(), pdf["id"].to_numpy(), pdf["first"].to_numpy()
             starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1) | (kinds[1:] != kinds[:-1])])
             for a, b in zip(starts, [*starts[1:], len(keys)]):
                 now, vectors = tuple(keys[a]), np.stack(pdf["v"].to_numpy()[a:b])
                 if kinds[a] == 0:
                     if now == key:
-                        vid, v = np.concatenate([vid, ids[a:b]]), np.concatenate([v, vectors])
+                        vid, first, v = np.concatenate([vid, ids[a:b]]), np.concatenate([first, firsts[a:b]]), np.concatenate([v, vectors])
                     else:
-                        key, vid, v = now, ids[a:b], vectors
+                        key, vid, first, v = now, ids[a:b], firsts[a:b], vectors
                 elif now == key:
-                    q, w, s = best_of_block(ids[a:b], vectors, vid, v, k)
-                    found.append(pd.DataFrame({"query_id": q, "vec_id": w, "score": s}))
-                    count += len(q)
+                    found.append(best_of_block(ids[a:b], vectors, vid, first, v, k))
+                    count += len(found[-1])
             if count > held:
                 found = [merged(found, k)]
                 count = len(found[0])
@@ -195,70 +258,117 @@ def _search_blocks(k: int, held: int = 200_000):
     return search
 
 
+FILED = "t int, cell long, block long, kind int, id long, first long, v array<double>"
+
+
+def _met(filed: DataFrame, probes: DataFrame, k: int) -> DataFrame:
+    """Rows of ``FOUND``: what the probes find in the blocks that they visit."""
+    key = ["t", "cell", "block"]
+    return filed.unionByName(probes).repartition(*key).sortWithinPartitions(*key, "kind", "id").mapInPandas(_search_blocks(k), FOUND)
+
+
+def _sampled(classes: DataFrame, asked: DataFrame, n: int, params: Params) -> tuple[np.ndarray, list, np.ndarray]:
+    """Vectors of sampled queries, their true neighbours by a scan, and vectors of sampled rows."""
+    vectors = lambda rows: np.stack([np.array(r["v"]) for r in rows])
+    some = asked.orderBy("c1", "cid").limit(params.sample_queries).select("cid", "v").collect()
+    ids, q = np.array([r["cid"] for r in some]), vectors(some)
+    sent, k = classes.sparkSession.sparkContext.broadcast((ids, q)), params.k
+
+    def scan(batches):
+        qid, vs = sent.value
+        found = []
+        for pdf in batches:
+            if len(pdf):
+                found = [merged([*found, best_of_block(qid, vs, pdf["cid"].to_numpy(), pdf["first"].to_numpy(), np.stack(pdf["v"].to_numpy()), k)], k)]
+        yield from found
+
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "first")
+    near = classes.select("cid", "first", "v").mapInPandas(scan, FOUND).withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k)
+    pairs = near.select("query", "cid").toPandas()  # at most k for each sampled query
+    wanted = F.broadcast(classes.sparkSession.createDataFrame([(int(c),) for c in set(pairs["cid"])], "near long"))
+    of = {r["cid"]: np.array(r["v"]) for r in classes.join(wanted, F.col("cid") == F.col("near")).select("cid", "v").collect()}
+    place = {c: i for i, c in enumerate(ids.tolist())}
+    true = [(place[c], np.stack([of[x] for x in mine["cid"]])) for c, mine in pairs.groupby("query")]
+    step = max(1, n // params.sample_rows)
+    rows = classes.filter(F.pmod("c2", F.lit(step)) == 0).select("v").limit(2 * params.sample_rows).collect()
+    return q, true, vectors(rows or some)
+
+
 def nearest(rows: DataFrame, is_query, params: Params = Params(), vector: str = "embedding", key: str = "vec_id") -> DataFrame:
     """query_id, rank, vec_id, score: for each row with ``is_query`` (a condition on vec_id) its k nearest other rows found."""
-    spark = rows.sparkSession
+    spark, k = rows.sparkSession, params.k
     prepare(spark)
-    every = materialize(valid_vectors(rows, vector, key), "vectors")
+    every = valid_vectors(rows, vector, key)
     top = every.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
     if top is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, k = top["dim"], params.k
-    every = every.filter(F.size("v") == dim)
-    tables = Tables(dim, params)
+        return spark.createDataFrame([], RESULT)
+    every = every.filter(F.size("v") == top["dim"]).withColumns({"c1": F.xxhash64("v"), "c2": F.xxhash64(F.lit(1), "v")})
+    least = F.dense_rank().over(Window.partitionBy("c1", "c2").orderBy("vec_id"))
+    grouped = every.withColumn("r", least).filter(F.col("r") <= k + 1).groupBy("c1", "c2").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"), F.first("v").alias("v"))
+    classes = materialize(grouped.select(F.monotonically_increasing_id().alias("cid"), "c1", "c2", "ids", F.col("ids")[0].alias("first"), "v"), "classes")
+    named = every.filter(is_query(F.col("vec_id"))).select(F.col("vec_id").alias("query_id"), "c1", "c2").distinct()
+    named = materialize(named.join(classes.select("c1", "c2", "cid"), ["c1", "c2"]).select("query_id", "cid"), "query_ids")
+    asked = materialize(classes.join(named.select("cid").distinct(), "cid", "left_semi"), "asked")
+    if asked.isEmpty():
+        return spark.createDataFrame([], RESULT)
+    n = classes.count()
+    tables = spark.sparkContext.broadcast(fit_tables(*_sampled(classes, asked, n, params), n, params))
 
     def hashed(batches):
         for pdf in batches:
             if len(pdf):
                 unit = units(np.stack(pdf["v"].to_numpy()))
                 for t in range(params.tables):
-                    yield pd.DataFrame({"t": t, "cell": tables.cells(t, unit), "id": pdf["vec_id"], "v": pdf["v"]})
-
-    schema = "t int, cell long, id long, v array<double>"
-    filed = materialize(every.mapInPandas(hashed, schema), "filed")
-    # At most tables * span ** projections cells, whatever the number of rows.
-    sizes: dict[int, list[tuple[int, int]]] = {t: [] for t in range(params.tables)}
-    for r in filed.groupBy("t", "cell").agg(F.count("*").alias("n")).collect():
-        sizes[r["t"]].append((r["cell"], r["n"]))
-    known = {t: (np.array([c for c, _ in sorted(s)], np.int64), np.array([n for _, n in sorted(s)], np.int64)) for t, s in sizes.items()}
-    sent = spark.sparkContext.broadcast({t: (c, n, -(-n // params.block)) for t, (c, n) in known.items()})
+                    cells = tables.value.number(tables.value.digits(t, unit))
+                    yield pd.DataFrame({"t": t, "cell": cells, "id": pdf["cid"], "first": pdf["first"], "v": pdf["v"]})
 
     def probing(batches):
+        held = tables.value
         for pdf in batches:
-            for lo in range(0, len(pdf), 64):
-                part = pdf.iloc[lo : lo + 64]
-                vectors = np.stack(part["v"].to_numpy())
-                unit, ids, vs = units(vectors), part["vec_id"].to_numpy(), part["v"].to_numpy()
+            for lo in range(0, len(pdf), 256):
+                part = pdf.iloc[lo : lo + 256]
+                unit, ids = units(np.stack(part["v"].to_numpy())), part["cid"].to_numpy()
                 for t in range(params.tables):
-                    cells, n, blocks = sent.value[t]
-                    visits = tables.probes(t, unit, cells, n, k + 1)
-                    who = np.repeat(np.arange(len(part)), [int(blocks[o].sum()) for o in visits])
-                    at = np.concatenate(visits)
-                    cell, block = np.repeat(cells[at], blocks[at]), np.concatenate([np.arange(b) for b in blocks[at]])
-                    for i in range(0, len(who), 4096):
-                        s = slice(i, i + 4096)
-                        yield pd.DataFrame({"t": t, "cell": cell[s], "block": block[s], "kind": 1, "id": ids[who[s]], "v": vs[who[s]]})
-
-    def dealt(batches):
+                    successes, own = held.successes(t, unit), held.digits(t, unit)
+                    for q in range(len(part)):
+                        cells = np.unique(held.number(held.visits(successes[q], own[q])))
+                        yield pd.DataFrame({"t": t, "cell": cells, "query": ids[q]})
+
+    def own_scores(batches):
         for pdf in batches:
-            pdf = pdf.reset_index(drop=True)
-            blocks = np.zeros(len(pdf), np.int64)
-            for t in range(params.tables):
-                cells, _, many = sent.value[t]
-                mine = np.flatnonzero(pdf["t"].to_numpy() == t)
-                if len(mine):
-                    blocks[mine] = spread(pdf["id"].to_numpy()[mine]) % many[np.searchsorted(cells, pdf["cell"].to_numpy()[mine])]
-            yield pd.DataFrame({"t": pdf["t"], "cell": pdf["cell"], "block": blocks, "kind": 0, "id": pdf["id"], "v": pdf["v"]})
-
-    full = "t int, cell long, block long, kind int, id long, v array<double>"
-    both = filed.mapInPandas(dealt, full).unionByName(every.filter(is_query(F.col("vec_id"))).repartition("vec_id").mapInPandas(probing, full))
-    found = both.repartition("t", "cell", "block").sortWithinPartitions("t", "cell", "block", "kind", "id").mapInPandas(_search_blocks(k), SCHEMA)
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    ranked = once.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id", "score"))), 1, k).alias("best"))
-    return ranked.select("query_id", F.posexplode("best")).select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), "col.vec_id", "col.score")
-
-
-def spread(ids: np.ndarray) -> np.ndarray:
-    """A fixed mixing of 64-bit ids to non-negative numbers."""
-    x = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return ((x ^ (x >> np.uint64(29))) >> np.uint64(2)).astype(np.int64)
+            if len(pdf):
+                v = np.stack(pdf["v"].to_numpy())
+                yield pd.DataFrame({"query": pdf["cid"], "cid": pdf["cid"], "first": pdf["first"], "score": cosine(v, v)})
+
+    vectors = classes.select("cid", "first", "v")
+    filed = vectors.mapInPandas(hashed, "t int, cell long, id long, first long, v array<double>")
+    blocks = F.ceil(F.col("n") / params.block).cast("long").alias("blocks")
+    sizes = materialize(filed.groupBy("t", "cell").agg(F.count("*").alias("n")).select("t", "cell", blocks), "cells")
+    crowded = sizes.filter("blocks > 1")
+    block = F.pmod(F.xxhash64("id"), F.coalesce("blocks", F.lit(1)))
+    placed = filed.join(crowded, ["t", "cell"], "left").select("t", "cell", block.alias("block"), F.lit(0).alias("kind"), "id", "first", "v")
+    probes = asked.select("cid", "v").mapInPandas(probing, "t int, cell long, query long").join(sizes, ["t", "cell"])
+    probes = probes.select("t", "cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "query")
+    told = asked.select(F.col("cid").alias("query"), "first", "v")
+    met = probes.join(told, "query").select("t", "cell", "block", F.lit(1).alias("kind"), F.col("query").alias("id"), "first", "v")
+    known = classes.select("cid", "ids")
+    best = lambda found: found.groupBy("query", "cid", "first").agg(F.max("score").alias("score")).withColumn("r", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "first"))).filter(F.col("r") <= k).drop("r")
+    others = materialize(best(_met(placed, met, k)), "others")
+
+    # Queries that found too few are held against all rows, in blocks.
+    enough = others.join(known, "cid").groupBy("query").agg(F.sum(F.size("ids")).alias("held"))
+    short = asked.join(enough, F.col("cid") == F.col("query"), "left").filter(F.coalesce("held", F.lit(0)) + F.size("ids") < k + 1).select("cid", "first", "v")
+    short = materialize(short, "short")
+    if not short.isEmpty():
+        parts = max(1, -(-n // params.block))
+        one = lambda kind, number: [F.lit(0).alias("t"), F.lit(0).cast("long").alias("cell"), number.cast("long").alias("block"), F.lit(kind).alias("kind"), F.col("cid").alias("id"), "first", "v"]
+        whole = vectors.select(*one(0, F.pmod(F.xxhash64("cid"), F.lit(parts))))
+        asking = short.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select(*one(1, F.col("b")))
+        others = best(others.unionByName(_met(whole, asking, k)))
+
+    found = others.unionByName(asked.select("cid", "first", "v").mapInPandas(own_scores, FOUND)).join(known, "cid").select("query", F.explode("ids").alias("vec_id"), "score")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    first = found.groupBy("query", "vec_id").agg(F.max("score").alias("score")).withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k + 1)
+    lists = first.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("r", "vec_id", "score"))).alias("best"))
+    answered = named.join(lists, F.col("cid") == F.col("query")).select("query_id", F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("query_id")), 1, k).alias("best"))
+    return answered.select("query_id", F.posexplode("best")).select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), "col.vec_id", "col.score")

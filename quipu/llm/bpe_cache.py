@@ -22,6 +22,8 @@ import zlib
 
 import numpy as np
 
+from ._common import cache_of
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Characters that the restated patterns don't cover: texts with one are parted by the library.
@@ -124,14 +126,13 @@ class CachedEncoder:
         return np.frombuffer(self.raw(text), self.dtype)
 
 
-_ENCODERS: dict[tuple, CachedEncoder] = {}
-
-
 def encoder(path: str, most: int = 600000) -> CachedEncoder:
     """One encoder per worker process and vocabulary file."""
-    if (path, most) not in _ENCODERS:
-        _ENCODERS[path, most] = CachedEncoder(path, most)
-    return _ENCODERS[path, most]
+    held = cache_of("byte pairs")
+    if (path, most) not in held:
+        held.clear()
+        held[path, most] = CachedEncoder(path, most)
+    return held[path, most]
 
 
 def crc32_of(ids: np.ndarray) -> int:

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import Scratch, fresh, materialize, prepare
+from ._common import Scratch, cache_of, fresh, materialize, prepare
 from .components import connected_components
 
 RADIUS = 3
@@ -63,6 +63,7 @@ def fingerprint_column(text: Column) -> Column:
 
     @F.pandas_udf("long")
     def fingerprint_of(texts: pd.Series) -> pd.Series:
+        cache_of("none")
         return pd.Series(np.array([fingerprint(t) for t in texts], "u8").view("i8"))
 
     return fingerprint_of(text)
@@ -225,7 +226,8 @@ def keep_first(docs: DataFrame, radius: int = RADIUS, block: int = BLOCK, text:
     names = {c: fresh(docs, f"near_{c}") for c in ("k", "h1", "h2")}
     judged = materialize(judged.select(*[F.col(c).alias(n) for c, n in names.items()], "stays"), "judged")
     same = k.eqNullSafe(F.col(names["k"])) & (h1 == F.col(names["h1"])) & (h2 == F.col(names["h2"]))
-    kept = docs.join(judged.drop("stays"), same, "left_anti")
+    # The texts stream past a hash table of keys, unsorted; a partition's share of the keys is a small part of its texts.
+    kept = docs.join(judged.drop("stays").hint("shuffle_hash"), same, "left_anti")
     repeated = judged.filter("stays").drop("stays")
     if repeated.isEmpty():
         return kept

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import prepare
+from ._common import cache_of, prepare
 from .bpe_cache import Ids
 
 SPACE = "▁"
@@ -191,13 +191,11 @@ def utf8(raw: bytes) -> str:
         return "".join(out)
 
 
-_ENCODERS: dict[str, PrefixEncoder] = {}
-
-
 def encoder(path: str) -> PrefixEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PrefixEncoder(path)
-    return _ENCODERS[path]
+    held = cache_of("pieces")
+    if path not in held:
+        held[path] = PrefixEncoder(path)
+    return held[path]
 
 
 def encode_documents(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", ids: bool = False) -> DataFrame:
@@ -215,4 +213,4 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", key: str =
             rows.append((*row, raw, back) if ids else row)
         return pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
 
-    return docs.select(F.col(key).alias("doc_id"), encoded(F.col(text)).alias("e")).select("doc_id", "e.*")
+    return docs.select(F.col(f"`{key}`").alias("doc_id"), encoded(F.col(f"`{text}`")).alias("e")).select("doc_id", "e.*")

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import Scratch, prepare
+from ._common import Scratch, cache_of, prepare
 from .bpe_cache import LONGEST_KEPT, CachedEncoder, encoder
 
 TABLE_ROWS = 65_536
@@ -94,15 +94,12 @@ class Lengths(dict):
         return len(self.enc.ids(text))
 
 
-_TIERS: dict[str, Lengths] = {}
-
-
 def tiers_of(number: str, table, path: str, most: int) -> Lengths:
     """A worker's tiers for one call of :func:`count_tokens`; those of an earlier call are dropped."""
-    if number not in _TIERS:
-        _TIERS.clear()
-        _TIERS[number] = Lengths(table.value, encoder(path), most)
-    return _TIERS[number]
+    enc, held = encoder(path), cache_of("byte pairs")
+    if held.get("tiers", ("",))[0] != number:
+        held["tiers"] = number, Lengths(table.value, enc, most)
+    return held["tiers"][1]
 
 
 def count_tokens(spark: SparkSession, docs: DataFrame, path: str, limit: int = 1024, text: str = "text", key: str = "doc_id", most: int = 500_000) -> DataFrame:

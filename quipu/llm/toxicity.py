@@ -44,7 +44,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import fresh, held_out, labelled_sample, materialize, prepare
+from ._common import cache_of, fresh, held_out, labelled_sample, materialize, prepare
 
 # Marks and words around a quoted term.
 QUOTES = "\"“”„«»‘’'`"
@@ -357,15 +357,13 @@ def regress(x: np.ndarray, y: np.ndarray, n: np.ndarray, params: FitParams) -> t
 
 # --- scoring --------------------------------------------------------------------------------------------------------
 
-_MATCHERS: dict[str, Matcher] = {}
-
-
 def matcher_of(number: str, model: Model) -> Matcher:
     """A worker's matcher for one model; that of an earlier model is dropped."""
-    if number not in _MATCHERS:
-        _MATCHERS.clear()
-        _MATCHERS[number] = Matcher(model)
-    return _MATCHERS[number]
+    held = cache_of("toxicity")
+    if number not in held:
+        held.clear()
+        held[number] = Matcher(model)
+    return held[number]
 
 
 def score_column(text: Column, spark: SparkSession, model: Model) -> Column:

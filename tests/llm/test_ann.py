@@ -62,11 +62,81 @@ def test_a_hot_cell_is_parted_without_loss(spark):
     assert hits / (5 * len(got)) >= 0.9
 
 
-def test_probe_order_follows_the_estimate():
-    tables = ann.Tables(16, ann.Params())
+def layout(vectors, queries, params=ann.Params()):
+    """The fitted layout, as the query fits it, with the neighbours found by brute force."""
+    unit = ann.units(vectors)
+    rng = np.random.default_rng(7)
+    asked = queries[: params.sample_queries]
+    pairs = []
+    for place, q in enumerate(asked):
+        scores = unit @ unit[q]
+        scores[q] = -2
+        pairs.append((place, vectors[np.argsort(-scores)[: params.k]]))
+    return ann.fit_tables(vectors[asked], pairs, vectors[rng.permutation(len(vectors))[: params.sample_rows]], len(vectors), params)
+
+
+def work(vectors, tables, queries, params=ann.Params()):
+    """(rows compared, probes sent) for all queries."""
+    unit, compared, probes = ann.units(vectors), 0, 0
+    for t in range(params.tables):
+        cells, sizes = np.unique(tables.number(tables.digits(t, unit)), return_counts=True)
+        held = dict(zip(cells.tolist(), sizes.tolist()))
+        successes, own = tables.successes(t, unit[queries]), tables.digits(t, unit[queries])
+        for q in range(len(queries)):
+            met = [held[c] for c in set(tables.number(tables.visits(successes[q], own[q])).tolist()) if c in held]
+            compared += sum(met)
+            probes += sum(-(-m // params.block) for m in met)
+    return compared, probes
+
+
+def test_visits_are_the_cells_above_the_level_best_first():
     rng = np.random.default_rng(3)
-    unit = ann.units(rng.normal(size=(500, 16)))
-    cells, sizes = np.unique(tables.cells(0, unit), return_counts=True)
-    own = tables.cells(0, unit[:20])
-    for q, visits in enumerate(tables.probes(0, unit[:20], cells, sizes, 6)):
-        assert len(visits) == len(set(visits.tolist())) and own[q] in cells[visits]
+    vectors = rng.normal(size=(500, 16))
+    tables = layout(vectors, np.arange(0, 500, 50))
+    unit = ann.units(vectors)
+    successes, own = tables.successes(0, unit[:20]), tables.digits(0, unit[:20])
+    every = np.stack(np.meshgrid(*[np.arange(tables.span)] * tables.m, indexing="ij"), -1).reshape(-1, tables.m) if tables.span**tables.m < 200_000 else tables.digits(0, unit)
+    scores = tables.score(successes, every)
+    for q in range(20):
+        visits = tables.visits(successes[q], own[q])
+        assert (visits[0] == own[q]).all()
+        seen = {tuple(v) for v in visits}
+        assert len(seen) == len(visits)
+        assert all((tuple(c) in seen) == (s >= tables.level or (c == own[q]).all()) for c, s in zip(every, scores[q]) if abs(s - tables.level) > 1e-9)
+        order = tables.score(successes[q : q + 1], visits[1:])[0]
+        assert (np.diff(order) <= 1e-9).all()
+
+
+def test_work_follows_the_rows_where_vectors_are_clustered():
+    """Rows compared and probes of all queries (a fiftieth of the rows) grow hardly faster than the rows, not with their square."""
+    rng = np.random.default_rng(5)
+    seen = {}
+    for n in (2000, 8000, 32_000):
+        centres = rng.normal(size=(n // 20, 32))
+        vectors = np.repeat(centres, 20, axis=0) + 0.15 * rng.normal(size=(n, 32))
+        queries = np.arange(0, n, 50)
+        seen[n] = work(vectors, layout(vectors, queries), queries)
+    growth = [np.log(seen[32_000][i] / seen[2000][i]) / np.log(16) for i in (0, 1)]
+    assert growth[0] < 1.4 and growth[1] < 1.2, (seen, growth)
+
+
+def test_thousands_of_copies_are_one_class(spark):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(40, 8))
+    vectors = [base[0] if k % 3 == 0 else base[k % 40] + 0.01 * rng.normal(size=8) for k in range(1500)]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(4)
+    got = found(ann.nearest(df, lambda v: v % 50 == 0))
+    assert set(got) == set(range(0, 1500, 50))
+    ids = list(range(1500))
+    for q in range(0, 1500, 150):  # among the copies: their least ids, all at 1
+        assert [v for v, _ in got[q]] == [i for i in range(0, 30, 3) if i != q][:5]
+    hits = sum(len({v for v, _ in got[q]} & {v for v, _ in exact(ids, vectors, q, 5)}) for q in got)
+    assert hits / (5 * len(got)) >= 0.9
+
+
+def test_queries_apart_from_all_rows_still_find_k(spark):
+    rng = np.random.default_rng(4)
+    vectors = [(np.eye(24)[k % 3] + 0.001 * rng.normal(size=24)).tolist() for k in range(300)]
+    vectors[50] = (-np.eye(24)[7] + 0.001).tolist()
+    got = found(ann.nearest(spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>"), lambda v: v % 50 == 0))
+    assert all(len(v) == 5 for v in got.values()) and [v for v, _ in got[50]] == [v for v, _ in exact(list(range(300)), vectors, 50, 5)]
