@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from decimal import Decimal
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import as_col
+from .text import finite
 
 # Words that mark a counterparty as a public body.
 PUBLIC_PATTERNS = (
@@ -47,19 +50,25 @@ def first_present(*columns) -> Column:
     return F.coalesce(*[blank_to_null(c) for c in columns[:-1]], as_col(columns[-1]))
 
 
-def cents(c="monto_devengado") -> Column:
-    """Amounts as whole hundredths.
+def exact_sum(c="monto_devengado", when: Column | None = None, over=None) -> Column:
+    """Sum of amounts as a double, exact to the millionth; NaN and infinities count as missing.
 
-    Sums of integers don't depend on the order of rows and cost far less than
-    decimals made of doubles; a sum beyond 9e16 units raises, it never wraps.
+    Whole units and millionths are summed as integers, so that the sum does not
+    depend on the order of rows and is far cheaper than decimals made of
+    doubles; the two are put together as decimals, once per group.  An amount,
+    or a sum, beyond 9e18 units raises, it never wraps.
     """
-    return F.rint(as_col(c) * 100).cast("long")
+    x = finite(as_col(c).cast("double"))
+    x = F.when(when, x) if when is not None else x
+    added = lambda v: F.sum(v) if over is None else F.sum(v).over(over)
+    whole = F.floor(x)
+    units, millionths = added(whole.cast("long")), added(F.rint((x - whole) * 1_000_000).cast("long"))
+    return (units.cast("decimal(20,0)") + millionths.cast("decimal(20,0)") * F.lit(Decimal("0.000001"))).cast("double")
 
 
 def total(c="monto_devengado", when: Column | None = None) -> Column:
     """Exact sum as a double; map-side partial like any sum."""
-    x = cents(c)
-    return F.sum(F.when(when, x) if when is not None else x) / 100
+    return exact_sum(c, when)
 
 
 def dominant(value: Column, size: Column) -> Column:
@@ -71,11 +80,5 @@ def share(part, whole) -> Column:
     return F.when(as_col(whole) != 0, as_col(part) / as_col(whole))
 
 
-def hhi(amount: str, over: str | list[str] | None = None) -> Column:
-    """Herfindahl term of a row: its squared share of the window's sum."""
-    w = Window.partitionBy(*([over] if isinstance(over, str) else over or []))
-    return F.pow(share(amount, F.sum(amount).over(w)), F.lit(2.0))
-
-
 def month_date() -> Column:
     return F.make_date(F.col("periodo").cast("int"), F.col("mes").cast("int"), F.lit(1))

@@ -19,6 +19,19 @@ def activities(rows: DataFrame) -> DataFrame:
     return once.groupBy("rut").agg(F.count("*").alias("n_activities"))
 
 
+def registry_entities(history: DataFrame, names: DataFrame, acts: DataFrame) -> DataFrame:
+    """One document per tax number: name and status, distinct activities, yearly history and marks, whichever of them is known."""
+    keys = ("activity_code", "activity_name", "activity_status", "activity_category")
+    named = names.withColumn("rut", rut_key("rut")).filter("rut <> ''").groupBy("rut").agg(F.max("legal_name").alias("legal_name"), F.max("current_status").alias("tax_status"), F.max("activity_start_date").alias("start_date"))
+    listed = acts.withColumn("rut", rut_key("rut")).filter("rut <> ''").groupBy("rut").agg(F.array_sort(F.collect_set(F.struct(*keys))).alias("activities"))
+    fields = ("commercial_year", "sales_band_code", "workers", "main_region", "main_activity")
+    years = history.withColumn("rut", rut_key("rut")).filter("rut <> '' and commercial_year is not null").groupBy("rut").agg(F.array_sort(F.collect_set(F.struct(*fields))).alias("history"))
+    marks = registry_marks(history, names, acts).groupBy("rut").agg(F.array_sort(F.collect_set(F.struct("mark", "severity", "year"))).alias("marks"))
+    rows = named.join(listed, "rut", "full").join(years, "rut", "full").join(marks, "rut", "left")
+    empty = lambda c: F.coalesce(F.col(c), F.array().cast(rows.schema[c].dataType))
+    return rows.withColumns({c: empty(c) for c in ("activities", "history", "marks")}).withColumn("entity_id", F.concat(F.lit("ENT-RUT-"), "rut"))
+
+
 def registry_marks(history: DataFrame, names: DataFrame, acts: DataFrame) -> DataFrame:
     """(rut, mark, severity, year): what the last year with data shows, alone and against the one before."""
     h = history.withColumn("rut", rut_key("rut")).filter("rut <> '' and commercial_year is not null")

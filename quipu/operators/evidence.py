@@ -10,6 +10,8 @@ from ..functions.text import name_key, region_agrees, similarity, token_jaccard
 from ..ship import ship
 
 FUZZY_FLOOR, LEAST_SHARED = 0.94, 0.60
+#: A similarity of the floor needs so many shared words even if the texts are alike in all else.
+NEEDED_SHARED = max(LEAST_SHARED, (FUZZY_FLOOR - 0.65) / 0.35)
 EXACT, FUZZY = "EXACT_NORMALIZED_NAME", "FUZZY_NAME_HIGH"
 
 
@@ -29,12 +31,14 @@ def best_matches(local: DataFrame, external: DataFrame) -> DataFrame:
     """The best external name per local entity.
 
     local(local_id, name, region) may have several names per id; external
-    (external_id, name, normalized_name, region, ...).  A fuzzy link needs 60 %
-    shared words, so pairs are found by an equi-join instead of a product: a
-    name's words are ordered from rare to common, and two names that share
-    60 % of their words share one within the first 40 % of either (the prefix
-    filter of set-similarity joins), so only those words are indexed.  Common
-    words seldom lie in a prefix, which keeps hot words out of the join.
+    (external_id, name, normalized_name, region, ...).  A fuzzy link needs a
+    similarity of 0.94, so 83 % shared words even where the matching-blocks
+    ratio is 1; pairs are found by an equi-join instead of a product: a name's
+    words are ordered from rare to common, and two names that share 83 % of
+    their words share one within the first 17 % (and one more) of either, the
+    prefix filter of set-similarity joins, so only those words are indexed.
+    Common words seldom lie in a prefix, which keeps hot words out of the join.
+    Only pairs that pass go through the ratio, the one Python step.
     """
     ship(local.sparkSession)
     mine = local.withColumn("key", name_key("name")).filter("key <> ''").dropDuplicates(["local_id", "key"])
@@ -45,10 +49,10 @@ def best_matches(local: DataFrame, external: DataFrame) -> DataFrame:
     frequency = spread.groupBy("w").agg(F.count("*").alias("n"))
     order = Window.partitionBy("k").orderBy("n", "w")
     sized = spread.join(frequency, "w").withColumn("at", F.row_number().over(order)).withColumn("size", F.count("*").over(Window.partitionBy("k")))
-    prefix = sized.filter(F.col("at") <= F.col("size") - F.ceil(F.col("size") * LEAST_SHARED - 1e-9) + 1).select("k", "w")
+    prefix = sized.filter(F.col("at") <= F.col("size") - F.ceil(F.col("size") * NEEDED_SHARED - 1e-9) + 1).select("k", "w")
     left, right = mine.select("key").distinct().join(prefix, F.col("key") == F.col("k")).drop("k"), theirs.select("ext_key").distinct().join(prefix, F.col("ext_key") == F.col("k")).drop("k")
     pairs = left.join(right, "w").select("key", "ext_key").distinct()
-    near = pairs.filter((F.col("key") == F.col("ext_key")) | (token_jaccard("key", "ext_key") >= LEAST_SHARED - 1e-9))
+    near = pairs.filter((F.col("key") == F.col("ext_key")) | (token_jaccard("key", "ext_key") >= NEEDED_SHARED - 1e-9))
     scored = near.withColumn("similarity", similarity("key", "ext_key")).filter((F.col("similarity") == 1.0) | (F.col("similarity") >= FUZZY_FLOOR))
     linked = scored.join(mine.withColumnRenamed("region", "local_region"), "key").join(theirs.withColumnRenamed("region", "ext_region").withColumnRenamed("name", "external_name"), "ext_key")
     best = F.row_number().over(Window.partitionBy("local_id").orderBy(F.desc("similarity"), "external_id", "key"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.predicates import cents, share, total
+from ..functions.predicates import exact_sum, share, total
 from ..functions.text import fold
 
 
@@ -43,11 +43,20 @@ def pareto(rows: DataFrame, key: str, amount: str, top: int = 100) -> DataFrame:
     whole = rows.agg(total(amount).alias("whole"))
     first = rows.orderBy(F.desc(amount), key).limit(top)
     w = Window.orderBy(F.desc(amount), key).rowsBetween(Window.unboundedPreceding, 0)
-    running = first.withColumns({"rank": F.row_number().over(Window.orderBy(F.desc(amount), key)), "running": F.sum(cents(amount)).over(w) / 100})
+    running = first.withColumns({"rank": F.row_number().over(Window.orderBy(F.desc(amount), key)), "running": exact_sum(amount, over=w)})
     # One row: a proven bound for the broadcast.
     return running.crossJoin(F.broadcast(whole)).select(key, amount, "rank", share("running", "whole").alias("cumulative_share"))
 
 
+def nested_top(edges: DataFrame, services: int = 5, providers: int = 10, flows: int = 24) -> DataFrame:
+    """The largest flows between the largest services and, among what these pay, the largest providers; each cut is a distributed top-k."""
+    sums = lambda rows, c: rows.groupBy(c).agg(total("amount_clp").alias("a"))
+    first = sums(edges, "organization_id").orderBy(F.desc("a"), "organization_id").limit(services)
+    mine = edges.join(first.select("organization_id"), "organization_id", "left_semi")
+    paid = sums(mine, "provider_id").orderBy(F.desc("a"), "provider_id").limit(providers)
+    return mine.join(paid.select("provider_id"), "provider_id", "left_semi").orderBy(F.desc("amount_clp"), "organization_id", "provider_id").limit(flows)
+
+
 def variation(yearly: DataFrame, key: str) -> DataFrame:
     """Change against the previous year with data."""
     before = F.lag("amount_clp").over(Window.partitionBy(key).orderBy("year"))

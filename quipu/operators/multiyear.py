@@ -129,13 +129,14 @@ def publish(edges: DataFrame, all_marks: DataFrame, max_seeds: int = 1400, core_
     always = all_marks.filter("scope = 'provider'").select(F.col("entity_id").alias("provider_id")).union(edges.filter(F.contains(name_ascii("organization_name"), F.lit(reference))).select("provider_id")).distinct()
     seeds = placed.union(always.select("provider_id", F.lit(0).alias("place"))).groupBy("provider_id").agg(F.min("place").alias("place"))
     first = F.row_number().over(Window.partitionBy("organization_id", "year").orderBy(F.abs("amount_clp").desc(), "provider_id"))
-    ranked = edges.withColumn("place_in_service", first).join(seeds, "provider_id", "left")
-    wide = ranked.filter(F.col("place").isNotNull() | (F.col("place_in_service") <= per_service))
+    # The rank filter stands alone, so that it reaches into the window; relations of seeds are united with what it leaves.
+    of_seeds = edges.join(seeds, "provider_id")
+    strong = edges.withColumn("place_in_service", first).filter(F.col("place_in_service") <= per_service).drop("place_in_service")
+    others = strong.join(seeds.select("provider_id"), "provider_id", "left_anti").withColumn("place", F.lit(None).cast("int"))
+    wide = of_seeds.unionByName(others)
     # One row: a proven bound for the broadcast.
     count = wide.agg(F.count("*").alias("n_wide"))
-    return ranked.crossJoin(F.broadcast(count)).filter(
-        F.when(F.col("n_wide") > max_flows, F.col("place") <= core_seeds).otherwise(F.col("place").isNotNull() | (F.col("place_in_service") <= per_service))
-    ).drop("place", "place_in_service", "n_wide")
+    return wide.crossJoin(F.broadcast(count)).filter((F.col("n_wide") <= max_flows) | (F.col("place") <= core_seeds)).drop("place", "n_wide").select(*edges.columns)
 
 
 def payment_months(facts: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ TYPE_POINTS = {
     "EXACT_DUPLICATE_CANDIDATE": 10, "PAYMENT_DELAY_OUTLIER": 10, "YEAR_END_SPIKE": 8,
 }
 LINKS = "local_entity_type string, local_entity_id string, confidence double, cgr_max_aml_score double, cgr_finding_count long"
+#: Carried along for the territorial view.
+PLACES = ("codigo_ubicacion_geografica", "nombre_ubicacion_geografica")
 COMPONENTS = ("severity", "signal", "cooccurrence", "external_evidence", "actionability", "materiality")
 
 
@@ -40,6 +42,7 @@ def transaction_context(facts: DataFrame, signals: DataFrame) -> DataFrame:
         F.min(F.coalesce(blank_to_null("nombre_area"), blank_to_null("nombre_capitulo"), F.col("nombre_partida"))).alias("organization_name"),
         F.min("nombre_beneficiario").alias("provider_or_recipient_name"), F.max("monto_devengado").alias("transaction_amount"),
         F.bool_or(present("orden_compra")).alias("has_purchase_order"), F.bool_or(present("codigo_bip")).alias("has_bip"), F.min("region").alias("region"),
+        *[F.min(blank_to_null(c)).alias(c) for c in PLACES if c in facts.columns],
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import hhi, month_date, provider_scope, total, valid_month
+from ..functions.predicates import month_date, provider_scope, total, valid_month
 
 
 def _seen():
@@ -46,30 +46,27 @@ def recipient_profiles(facts: DataFrame) -> DataFrame:
     )
 
 
-def _concentration(spend: DataFrame, name: str) -> DataFrame:
-    """Herfindahl index per organisation of pre-aggregated (organization_id, amount); null where nothing is spent."""
-    term = spend.withColumn("whole", F.sum("amount").over(_by_org())).withColumn("term", hhi("amount", "organization_id"))
-    return term.groupBy("organization_id").agg(F.when(F.max("whole") > 0, F.sum("term")).alias(name))
+def _concentration(facts: DataFrame, who: str, count: str, index: str) -> DataFrame:
+    """How many different ``who`` an organisation pays, and their Herfindahl index, null where nothing is spent.
 
-
-def _by_org():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("organization_id")
+    Pairs are summed first; their count, sum and sum of squares are partial
+    map-side, so a hot organisation is no hot task, and no row is expanded for a
+    distinct count.
+    """
+    pairs = facts.groupBy("organization_id", who).agg(total().alias("amount"))
+    whole = F.sum("amount")
+    return pairs.groupBy("organization_id").agg(F.count(who).alias(count), F.when(whole > 0, F.sum(F.pow("amount", F.lit(2.0))) / (whole * whole)).alias(index))
 
 
 def organization_profiles(facts: DataFrame) -> DataFrame:
     """One row per organisation with supplier and recipient concentration."""
-    amount = total().alias("amount")
-    suppliers = facts.filter(provider_scope()).groupBy("organization_id", "provider_id").agg(amount)
-    recipients = facts.groupBy("organization_id", "recipient_id").agg(amount)
     base = facts.groupBy("organization_id").agg(
         F.min("nombre_partida").alias("institucion"),
         F.min("nombre_capitulo").alias("servicio"),
         F.min("nombre_area").alias("area"),
         F.count("*").alias("transactions"),
-        F.count_distinct("recipient_id").alias("recipients"),
-        F.count_distinct(F.when(provider_scope(), F.col("provider_id"))).alias("providers"),
         total().alias("amount_devengado"),
     )
-    return base.join(_concentration(suppliers, "supplier_hhi"), "organization_id", "left").join(_concentration(recipients, "recipient_hhi"), "organization_id", "left")
+    recipients = _concentration(facts, "recipient_id", "recipients", "recipient_hhi")
+    suppliers = _concentration(facts.filter(provider_scope()), "provider_id", "providers", "supplier_hhi")
+    return base.join(recipients, "organization_id", "left").join(suppliers, "organization_id", "left").withColumn("providers", F.coalesce("providers", F.lit(0)))

@@ -135,11 +135,33 @@ def search(facts: DataFrame, **filters) -> DataFrame:
 
 
 def summarize(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Counts and sums per recipient or organisation."""
-    return rows.groupBy(*keys).agg(
+    """Counts and sums per recipient or organisation, the largest first."""
+    sums = rows.groupBy(*keys).agg(
         F.count("transaction_id").alias("transacciones"), total().alias("monto_devengado"), total("monto_pago").alias("monto_pagado"),
         F.min("periodo").alias("primer_periodo"), F.max("periodo").alias("ultimo_periodo"),
     )
+    return sums.orderBy(F.desc_nulls_last("monto_devengado"), F.desc("transacciones"), *keys)
+
+
+SOURCES = "periodo long, source_url string, source_status string, source_sha256 string, source_bytes long, delimiter string"
+#: States of a source that can be read.
+AVAILABLE = ("AVAILABLE", "AVAILABLE_RANGE")
+
+
+def year_states(facts: DataFrame, wanted: list[int], sources: DataFrame, matches: DataFrame) -> DataFrame:
+    """One row per wanted year: whether it was processed or why not, where it came from, and how many rows it has and matched.
+
+    ``sources`` has the columns of ``SOURCES``.  A year without a readable source
+    is not confirmed; one with a source but without facts failed on the way.
+    """
+    spark = facts.sparkSession
+    years = spark.range(1).select(F.explode(F.array(*[F.lit(int(y)).cast("long") for y in sorted(set(wanted))])).alias("periodo"))
+    have = facts.groupBy("periodo").agg(F.count("*").alias("normalized_rows"))
+    hits = matches.groupBy("periodo").agg(F.count("*").alias("matched_rows"))
+    rows = years.join(sources.filter(F.col("source_status").isin(*AVAILABLE)), "periodo", "left").join(have, "periodo", "left").join(hits, "periodo", "left")
+    status = F.when(F.col("source_url").isNull(), "SOURCE_NOT_CONFIRMED").when(F.col("normalized_rows").isNull(), "PROCESSING_ERROR").otherwise("PROCESSED")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return rows.withColumns({"status": status, "normalized_rows": zero("normalized_rows"), "matched_rows": zero("matched_rows")})
 
 
 def search_years(facts: DataFrame, years: list[int], summary_scope: str = "limited", **filters) -> dict[str, DataFrame]:

@@ -218,6 +218,14 @@ def new_to_series(facts: DataFrame, t: Thresholds = Thresholds(), entity: Column
     return _signals(found, "NEW_TO_SERIES_HIGH_SPEND", ("who", F.lit("|"), "periodo"), "amount", "q", "organizations", F.when(F.col("organizations") >= 3, "HIGH").otherwise("MEDIUM"))
 
 
+def supporting_transactions(facts: DataFrame, keys: list[str], most: int = 50) -> DataFrame:
+    """The first ``most`` transaction ids of each group of over one row; the rank is cut map-side, so no more are ever gathered."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("transaction_id"))
+    first = facts.select(*keys, "transaction_id").withColumn("rank", rank).filter(F.col("rank") <= most)
+    groups = first.groupBy(*keys).agg(F.array_sort(F.collect_list("transaction_id")).alias("supporting_transactions"))
+    return groups.filter(F.size("supporting_transactions") > 1)
+
+
 def severity_rank(c="severity") -> Column:
     return F.when(F.col(c) == "HIGH", 1).when(F.col(c) == "MEDIUM", 2).otherwise(3)
 

@@ -1,4 +1,8 @@
-"""Territorial context: spend and signals by region and by geographic unit."""
+"""Territorial context: spend and signals by region and by geographic unit.
+
+Prioritised signals carry the place of their transaction, so facts are read for
+the spend only.
+"""
 
 from __future__ import annotations
 
@@ -21,21 +25,13 @@ def _spend():
     )
 
 
-def _flagged(prioritized: DataFrame, facts: DataFrame, places: dict) -> DataFrame:
-    """Signals with the place of their transaction, each transaction once."""
-    needed = facts.join(prioritized.select("transaction_id").distinct(), "transaction_id", "left_semi")
-    where = needed.groupBy("transaction_id").agg(*[F.min(v).alias(k) for k, v in places.items()])
-    return prioritized.drop(*places).join(where, "transaction_id", "left")
-
-
 def _per_100k(c: str):
     return F.round(100000.0 * F.col(c) / F.col("transactions"), 4)
 
 
 def regions(facts: DataFrame, prioritized: DataFrame) -> DataFrame:
     spend = facts.groupBy(region_of(facts).alias("region")).agg(*_spend())
-    rows = _flagged(prioritized, facts, {"region": region_of(facts)}).withColumn("region", F.coalesce("region", F.lit(UNKNOWN)))
-    signals = rows.groupBy("region").agg(
+    signals = prioritized.groupBy(region_of(prioritized).alias("region")).agg(
         F.count("*").alias("anomaly_signals"), F.count_if(F.col("priority_tier") == "P1").alias("p1_signals"), F.count_if(F.upper("severity") == "HIGH").alias("high_severity_signals"),
         F.round(F.avg("investigation_priority_score"), 3).alias("avg_investigation_priority"), F.count_if(F.coalesce("cgr_match_count", F.lit(0)) > 0).alias("cgr_linked_signals"),
         F.count_distinct("signal_type").alias("signal_type_count"),
@@ -52,7 +48,7 @@ def geographic_units(facts: DataFrame, prioritized: DataFrame) -> DataFrame:
     code, name = blank_to_null("codigo_ubicacion_geografica"), blank_to_null("nombre_ubicacion_geografica")
     places = {"region": region_of(facts), "geographic_unit_code": code, "geographic_unit_name": name}
     spend = facts.filter(code.isNotNull() | name.isNotNull()).groupBy(*[v.alias(k) for k, v in places.items()]).agg(*_spend())
-    signals = _flagged(prioritized, facts, places).groupBy(*places).agg(
+    signals = prioritized.groupBy(*[v.alias(k) for k, v in places.items()]).agg(
         F.count("*").alias("anomaly_signals"), F.count_if(F.col("priority_tier") == "P1").alias("p1_signals"), F.round(F.avg("investigation_priority_score"), 3).alias("avg_investigation_priority")
     )
     s = signals.select(*[F.col(k).alias(f"s_{k}") for k in places], "anomaly_signals", "p1_signals", "avg_investigation_priority")

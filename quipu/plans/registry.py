@@ -12,6 +12,7 @@ from ..functions.predicates import PUBLIC_PATTERNS, total
 from ..operators import documents, enrich, evidence, explore, fulltext, light, multiyear, priority, profiles, quality, search, signals, spend, territory
 from ..sources import delimited
 from ..sources.star import facts, facts_sql
+from ..scratch import materialize
 from .shared import detect, full_facts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -287,8 +288,12 @@ _PRI_COLUMNS = "signal_id, organization_name, provider_or_recipient_name, transa
 
 def _prioritized(spark, sf_dir) -> DataFrame:
     f = full_facts(spark, sf_dir)
-    # Read by four branches of the plan; small next to the facts.
-    return priority.prioritize(signals.all_signals(f, T).persist(), f)
+    return _ranked(f)
+
+
+def _ranked(f: DataFrame) -> DataFrame:
+    # Signals are read by four branches of the plan; small next to the facts.
+    return priority.prioritize(materialize(signals.all_signals(f, T), "signals"), f)
 
 
 @query(f"{_PRIORITY} SELECT {_PRI_COLUMNS} FROM pri")
@@ -456,7 +461,8 @@ SELECT s.*, coalesce(anomaly_signals, 0) AS anomaly_signals, coalesce(p1_signals
        coalesce(signal_type_count, 0) AS signal_type_count, round(100000.0 * coalesce(p1_signals, 0) / transactions, 4) AS p1_per_100k_transactions, round(100000.0 * coalesce(anomaly_signals, 0) / transactions, 4) AS signals_per_100k_transactions,
        round(amount_clp / transactions, 2) AS amount_per_transaction FROM s LEFT JOIN g USING (region)""")
 def territorial_regions(spark, sf_dir):
-    return territory.regions(full_facts(spark, sf_dir), _prioritized(spark, sf_dir))
+    f = full_facts(spark, sf_dir)
+    return territory.regions(f, _ranked(f))
 
 
 @query(f"""{_PRIORITY},
@@ -468,7 +474,8 @@ g AS (SELECT w.region, geographic_unit_code, geographic_unit_name, count(*) AS a
 SELECT s.*, coalesce(anomaly_signals, 0) AS anomaly_signals, coalesce(p1_signals, 0) AS p1_signals, avg_investigation_priority, round(100000.0 * coalesce(p1_signals, 0) / transactions, 4) AS p1_per_100k_transactions
 FROM s LEFT JOIN g USING (region, geographic_unit_code, geographic_unit_name)""")
 def geo_units(spark, sf_dir):
-    return territory.geographic_units(full_facts(spark, sf_dir), _prioritized(spark, sf_dir))
+    f = full_facts(spark, sf_dir)
+    return territory.geographic_units(f, _ranked(f))
 
 
 @query("""x AS (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY fecha_documento DESC, periodo DESC, mes DESC, transaction_id DESC) AS rn FROM facts WHERE is_provider AND NOT is_intra_state AND NOT is_person AND fecha_documento IS NOT NULL)
@@ -571,6 +578,12 @@ def _edges(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return f, multiyear.private_edges(multiyear.relations(f), names, patterns=_PATTERNS)
 
 
+def _written_edges(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """For plans that read the relations in several branches."""
+    f, edges = _edges(spark, sf_dir)
+    return f, materialize(edges, "relations")
+
+
 @query(f"""x AS (SELECT organization_id, periodo AS year, {_dominant("coalesce(nullif(trim(nombre_capitulo), ''), organization_id)", 'abs(monto_devengado)')} AS organization_name, coalesce({A}, 0.0) AS amount_clp, count(*) AS transactions FROM facts GROUP BY 1, 2)
 SELECT * FROM x""")
 def multiyear_services(spark, sf_dir):
@@ -601,14 +614,14 @@ mk AS (SELECT 'service' AS scope, organization_id AS entity_id, NULL AS organiza
 
 @query(f"{_MARKS} SELECT scope, entity_id, organization_id, year, signal_type, severity, round(metric, 6) AS metric, round(hhi, 6) AS hhi FROM mk")
 def multiyear_marks(spark, sf_dir):
-    return rounded(multiyear.marks(*_edges(spark, sf_dir), _MARK_RULES), "metric", "hhi")
+    return rounded(multiyear.marks(*_written_edges(spark, sf_dir), _MARK_RULES), "metric", "hhi")
 
 
 @query(f"""{_MARKS}, sz AS (SELECT provider_id, round(abs(sum(amount_clp)), 2) AS size FROM ed GROUP BY 1), pl AS (SELECT provider_id FROM sz ORDER BY size DESC, provider_id LIMIT 40),
 se AS (SELECT provider_id FROM pl UNION SELECT entity_id FROM mk WHERE scope = 'provider'), rr AS (SELECT *, row_number() OVER (PARTITION BY organization_id, year ORDER BY abs(amount_clp) DESC, provider_id) AS rn FROM ed)
 SELECT organization_id, provider_id, year, organization_name, provider_name, amount_clp, transactions FROM rr WHERE rn <= 3 OR provider_id IN (SELECT provider_id FROM se)""")
 def multiyear_flows(spark, sf_dir):
-    f, edges = _edges(spark, sf_dir)
+    f, edges = _written_edges(spark, sf_dir)
     return multiyear.publish(edges, multiyear.marks(f, edges, _MARK_RULES), max_seeds=40, max_flows=10_000_000)
 
 

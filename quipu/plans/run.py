@@ -16,7 +16,11 @@ EXTERNAL = {
     "organizations": "organization_id string, name string, normalized_name string, region string, confidence double, source_document_id string",
     "findings": "document_id string, finding_id string, aml_score double, severity string, risk_family string, source_url string",
 }
-INDEXED = "rut_beneficiario beneficiario_source_id nombre_beneficiario nombre_partida nombre_capitulo nombre_area nombre_subtitulo nombre_item numero_documento tipo_documento orden_compra codigo_bip sector region".split()
+# The columns that full-text search reads.
+INDEXED = (
+    "rut_beneficiario", "beneficiario_source_id", "nombre_beneficiario", "nombre_partida", "nombre_capitulo", "nombre_area", "nombre_subtitulo",
+    "nombre_item", "numero_documento", "tipo_documento", "orden_compra", "codigo_bip", "sector", "region",
+)
 
 
 def ingest(spark: SparkSession, raw_paths: list[str], out: str, delimiter: str | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..scratch import materialize
 from ..sources.star import facts
 
 _DETECT = "transaction_id organization_id recipient_id provider_id is_provider is_aggregated periodo mes monto_devengado"
@@ -15,9 +16,9 @@ def detect(more: str) -> list[str]:
 
 
 def full_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What detectors, priority and territory read together; persisted, since each plan reads it in nine or more branches."""
+    """What detectors, priority and territory read together; joined once and written, since each plan reads a few columns of it in nine or more branches."""
     more = (
         "subtitulo item fecha_documento dias_de_pago numero_documento folio nombre_area nombre_capitulo nombre_partida region nombre_beneficiario "
         "orden_compra codigo_bip monto_pago codigo_ubicacion_geografica nombre_ubicacion_geografica"
     )
-    return facts(spark, sf_dir, *detect(more)).persist()
+    return materialize(facts(spark, sf_dir, *detect(more)), "facts")

@@ -7,7 +7,6 @@ import unicodedata
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.identity import digest, flag_is_true, identifier_type, normalize_rut, organization_id, provider_id, recipient_id
 from ..functions.predicates import blank_to_null
@@ -19,13 +18,15 @@ RENAMED = {
     "MONEDA": "moneda_presupuestaria", "MONTO": "monto_pago", "MONTO_ORIGINAL": "monto_pago_original",
     "DEVENGO": "monto_devengado", "DEVENGO_ORIGINAL": "monto_devengado_original",
 }
+# The canonical text columns.
 TEXTS = (
-    "partida nombre_partida capitulo nombre_capitulo area nombre_area subtitulo nombre_subtitulo item nombre_item asignacion nombre_asignacion "
-    "beneficiario_source_id nombre_beneficiario numero_documento tipo_documento orden_compra moneda_presupuestaria rut_principal nombre_principal "
-    "folio usuario_aprobador agregado bloqueo_oc codigo_bip nombre_bip codigo_ubicacion_geografica nombre_ubicacion_geografica "
-    "codigo_programa_presupuestario nombre_programa_presupuestario honorario proveedor sector region persona intraestado dias_de_pago "
-    "dias_de_pago_cat deuda_flotante"
-).split()
+    "partida", "nombre_partida", "capitulo", "nombre_capitulo", "area", "nombre_area", "subtitulo", "nombre_subtitulo", "item", "nombre_item",
+    "asignacion", "nombre_asignacion", "beneficiario_source_id", "nombre_beneficiario", "numero_documento", "tipo_documento", "orden_compra",
+    "moneda_presupuestaria", "rut_principal", "nombre_principal", "folio", "usuario_aprobador", "agregado", "bloqueo_oc", "codigo_bip", "nombre_bip",
+    "codigo_ubicacion_geografica", "nombre_ubicacion_geografica", "codigo_programa_presupuestario", "nombre_programa_presupuestario", "honorario",
+    "proveedor", "sector", "region", "persona", "intraestado", "dias_de_pago", "dias_de_pago_cat", "deuda_flotante",
+)
+# Dates, amounts, numbers and flags of the canonical schema.
 DATES = ("fecha_documento", "fecha_ingreso", "fecha_recepcion_conforme", "fecha_pago")
 AMOUNTS = ("monto_devengado", "monto_pago", "monto_devengado_original", "monto_pago_original")
 NUMBERS = ("periodo", "mes")
@@ -57,20 +58,34 @@ def parse_date(c: Column) -> Column:
     return F.coalesce(iso, *[F.try_to_timestamp(text, F.lit(f)) for f in ("dd-MM-yyyy", "dd/MM/yyyy")])
 
 
+def with_row_numbers(rows: DataFrame) -> DataFrame:
+    """``source_row_number``: the place of a row in its file, from 1.
+
+    Rows are counted per block of a file first; a row's number is its place in
+    its block and the rows of the blocks before.  What reaches the driver is one
+    row per block that a task read, and no task sees more than its own blocks.
+    """
+    place = rows.withColumns({"file_": F.input_file_name(), "block_": F.input_file_block_start(), "part_": F.spark_partition_id(), "nth_": F.monotonically_increasing_id()})
+    key = ["file_", "block_", "part_"]
+    before: dict[str, int] = {}
+    offsets = []
+    for r in sorted(place.groupBy(*key).agg(F.min("nth_").alias("first"), F.count("*").alias("n")).collect()):
+        offsets.append((*r[:3], before.get(r["file_"], 0) - r["first"] + 1))
+        before[r["file_"]] = before.get(r["file_"], 0) + r["n"]
+    # One row per block of the files: a proven bound for the broadcast.
+    known = F.broadcast(rows.sparkSession.createDataFrame(offsets, "file_ string, block_ long, part_ int, offset_ long"))
+    return place.join(known, key, "left").withColumn("source_row_number", F.col("nth_") + F.col("offset_")).drop(*key, "nth_", "offset_")
+
+
 def normalize(raw: DataFrame, source_url: str = "", source_file: str = "", row_number: bool = True) -> DataFrame:
     """Canonical facts: typed columns, identities, lineage and ids; unknown columns stay as texts.
 
-    The physical row number comes from the input order of one file (one gzip
-    file is one partition); with ``row_number=False`` it is taken from a column
+    The physical row number is the row's place in its file; with ``row_number=False`` it is taken from a column
     ``source_row_number`` of ``raw``.
     """
     rows = canonical_columns(raw)
     if row_number:
-        order = Window.orderBy(F.monotonically_increasing_id())
-        if rows.rdd.getNumPartitions() == 1:
-            rows = rows.withColumn("source_row_number", (F.monotonically_increasing_id() + 1).cast("long"))
-        else:
-            rows = rows.withColumn("source_row_number", F.row_number().over(order).cast("long"))
+        rows = with_row_numbers(rows)
     have = set(rows.columns)
     special = {*DATES, *AMOUNTS, *NUMBERS, "source_row_number"}
     typed = {}
