@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import PUBLIC_PATTERNS, dominant, first_present, provider_scope, public_name, total
 from ..functions.text import name_ascii
+from .quantiles import quantiles
 
 #: An organisation whose relations are always published.
 REFERENCE = "UNIDAD DE ANALISIS FINANCIERO"
@@ -108,8 +109,8 @@ def marks(facts: DataFrame, edges: DataFrame, rules: MarkRules = MarkRules()) ->
     # One row: a proven bound for the broadcast.
     last = facts.agg(F.max("periodo").alias("last_year"))
     fresh = provider_years(edges).crossJoin(F.broadcast(last)).filter((F.col("year") == F.col("last_year")) & (F.col("first_year") == F.col("last_year")) & (F.col("transactions") >= rules.min_tx))
-    level = fresh.agg(F.expr(f"percentile_disc({rules.quantile}) within group (order by amount_clp)").alias("q"))
-    new = fresh.crossJoin(F.broadcast(level)).filter(F.col("amount_clp") >= F.greatest(F.lit(rules.newcomer_amount), F.coalesce("q", F.lit(0.0))))
+    level = quantiles(fresh, [], "amount_clp", {"q": rules.quantile}, discrete=True).select("q")
+    new = fresh.join(F.broadcast(level), how="left").filter(F.col("amount_clp") >= F.greatest(F.lit(rules.newcomer_amount), F.coalesce("q", F.lit(0.0))))
     newcomer = _mark(new, "provider", "provider_id", "NEW_TO_SERIES_HIGH_SPEND", F.col("amount_clp"), F.when(F.col("organizations") >= 3, "HIGH").otherwise("MEDIUM"))
     return spike.unionByName(dominance).unionByName(newcomer)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.identity import short_md5
 from ..functions.predicates import not_aggregated, provider_scope, total
+from .quantiles import quantiles
 
 #: Rules compare amounts with quantiles; both sides of the comparison carry rounding of the last bit.
 SLACK = 1e-6
@@ -106,15 +107,18 @@ def _signals(rows: DataFrame, kind: str, key: tuple, observed, expected, deviati
 def robust_outliers(rows: DataFrame, group: list[str], value: str, z: float, min_group: int, min_ratio: float, quantile: float) -> DataFrame:
     """Rows of ``rows`` far above their group: ``med``, ``mad``, ``q`` and the robust score ``z`` are added.
 
-    Two aggregations by the same keys: the second reuses the first one's
-    partitioning as far as Spark sees it, and both statistics are small next to
-    the rows, so AQE broadcasts them when they are.
+    All quantiles are exact; those of logarithms follow from the values beside
+    the median, and no group is gathered (see :mod:`.quantiles`).  The rows are
+    read several times: give a written table where they are dear.  Statistics
+    are small next to the rows, so AQE broadcasts them when they are.
     """
-    x = F.log(1 + F.greatest(F.col(value), F.lit(0.0)))
-    b = rows.withColumn("x", x)
-    first = b.groupBy(*group).agg(F.count("*").alias("n"), F.median("x").alias("med_x"), F.median(value).alias("med"), F.percentile(value, F.lit(quantile)).alias("q")).filter(F.col("n") >= min_group)
-    spread = b.join(first, group).withColumn("dev", F.abs(F.col("x") - F.col("med_x"))).groupBy(*group).agg(F.median("dev").alias("mad"))
-    stats = first.join(spread, group).filter("mad > 0")
+    log = lambda c: F.log(1 + F.greatest(F.col(c), F.lit(0.0)))
+    b = rows.withColumn("x", log(value))
+    first = quantiles(rows, group, value, {"med": 0.5, "q": quantile}, least=min_group)
+    half = F.when(F.col("n") % 2 == 0, 0.5).otherwise(0.0)
+    first = first.withColumn("med_x", log("med_low") + (log("med_high") - log("med_low")) * half).select(*group, "med", "q", "med_x")
+    spread = quantiles(b.join(first.select(*group, "med_x"), group).withColumn("dev", F.abs(F.col("x") - F.col("med_x"))), group, "dev", {"mad": 0.5})
+    stats = first.join(spread.select(*group, "mad"), group).filter("mad > 0")
     scored = b.join(stats, group).withColumn("z", 0.6745 * (F.col("x") - F.col("med_x")) / F.col("mad"))
     return scored.filter((F.col(value) >= F.col("q") - SLACK) & (F.col(value) >= F.col("med") * min_ratio - SLACK) & (F.col("z") >= z - SLACK)).drop("x")
 
@@ -184,6 +188,7 @@ def provider_concentration(facts: DataFrame, t: Thresholds = Thresholds(), entit
 
 
 def payment_delay(facts: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
+    """Days are few distinct numbers, so what a quantile of them holds is small however many rows a group has."""
     rows = facts.filter(provider_scope() & not_aggregated()).withColumn("days", F.col("dias_de_pago").try_cast("double")).filter("days >= 0")
     stats = rows.groupBy("organization_id").agg(F.count("*").alias("n"), F.median("days").alias("med"), F.percentile("days", F.lit(t.delay_quantile)).alias("q"))
     stats = stats.filter(F.col("n") >= t.delay_min_group)
@@ -213,8 +218,8 @@ def new_to_series(facts: DataFrame, t: Thresholds = Thresholds(), entity: Column
     seen = yearly.withColumn("first_year", F.min("periodo").over(Window.partitionBy("who")))
     # One row: a proven bound for the broadcast.
     current = seen.crossJoin(F.broadcast(last)).filter("first_year = last_year and periodo = last_year and last_year > first_of_all and tx > 0")
-    q = current.agg(F.percentile("amount", F.lit(t.newcomer_quantile)).alias("q"))
-    found = current.crossJoin(F.broadcast(q)).filter((F.col("tx") >= t.newcomer_min_tx) & (F.col("amount") >= F.greatest(F.lit(t.newcomer_min_amount), F.coalesce("q", F.lit(0.0))) - SLACK))
+    q = quantiles(current, [], "amount", {"q": t.newcomer_quantile}).select("q")
+    found = current.join(F.broadcast(q), how="left").filter((F.col("tx") >= t.newcomer_min_tx) & (F.col("amount") >= F.greatest(F.lit(t.newcomer_min_amount), F.coalesce("q", F.lit(0.0))) - SLACK))
     return _signals(found, "NEW_TO_SERIES_HIGH_SPEND", ("who", F.lit("|"), "periodo"), "amount", "q", "organizations", F.when(F.col("organizations") >= 3, "HIGH").otherwise("MEDIUM"))
 
 

@@ -195,7 +195,7 @@ def _plain(rows: DataFrame) -> DataFrame:
 
 @query(f"{_OUTLIER} {_shown('s_outlier')}")
 def amount_outlier(spark, sf_dir):
-    return _plain(signals.amount_outlier(facts(spark, sf_dir, *detect("subtitulo item")), T))
+    return _plain(signals.amount_outlier(materialize(facts(spark, sf_dir, *detect("subtitulo item")), "facts"), T))
 
 
 @query(f"""
