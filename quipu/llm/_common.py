@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import ctypes
 import gc
 import os
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import materialize, remove, shared_dir, stored  # noqa: F401  the operators' helpers for tables that cut lineage
 from ..ship import ship
 from ..sources.star import spread
 
@@ -20,9 +18,6 @@ from ..sources.star import spread
 BATCH_ROWS = 2000
 BATCH_BYTES = 16 << 20
 
-#: Folders below the checkpoint folder that this process made, with the session's Hadoop settings.
-_MADE: dict[str, tuple] = {}
-
 
 def prepare(spark: SparkSession) -> None:
     """Bound what one Arrow batch holds, so that a worker's memory does not follow the text lengths, and ship this package to the workers."""
@@ -31,54 +26,6 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's checkpoint folder, removed when the process ends.
-
-    ``spark.checkpoint.dir`` is read from the session.  Where it is unset, a
-    session on one machine (master ``local``), as in tests, gets a temporary
-    folder; on a cluster, whose executors share no such folder, this raises.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="quipu-checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    folder = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-    _MADE[folder] = spark._jvm, spark._jsc.hadoopConfiguration()
-    return folder
-
-
-def remove(folder: str) -> None:
-    """Delete a folder of :func:`shared_dir` that nothing reads any more."""
-    if folder in _MADE:
-        jvm, conf = _MADE.pop(folder)
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
-
-
-@atexit.register
-def _remove_all() -> None:
-    for folder in list(_MADE):
-        with contextlib.suppress(Exception):  # the store or the JVM may be gone by now
-            remove(folder)
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
-
-    Cuts the lineage: what follows survives the loss of any executor without
-    recomputing what came before.
-    """
-    return stored(df, f"{shared_dir(df.sparkSession)}/{name}")
-
-
-def stored(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 class Scratch:
     """Tables of one computation, in one shared folder that goes with them."""
 
