@@ -1,4 +1,4 @@
-"""Command line: run, search, years, fts, profile."""
+"""Command line: probe, run, search, years, fts, profile."""
 
 from __future__ import annotations
 
@@ -31,6 +31,12 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--years", required=True)
             s.add_argument("--out", required=True)
             s.add_argument("--summary-scope", default="limited")
+            s.add_argument("--sources", help="JSON lines as probe prints them")
+    b = sub.add_parser("probe", help="which years have a source, and which of them have facts")
+    b.add_argument("--years", required=True)
+    b.add_argument("--address", required=True, help="where a year's file is expected, with {year}")
+    b.add_argument("--page", action="append", default=[], help="a saved web page that links files, as ADDRESS=FILE")
+    b.add_argument("--facts")
     f = sub.add_parser("fts", help="ranked full-text search")
     f.add_argument("query")
     f.add_argument("--out", required=True)
@@ -50,10 +56,27 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for line in search.search(delimited.read_parquet(spark, a.facts), **json.loads(a.filters)).toJSON().toLocalIterator():
             print(line)
     elif a.command == "years":
-        parts = search.search_years(delimited.read_parquet(spark, a.facts), parse_years(a.years), a.summary_scope, **json.loads(a.filters))
-        for name, rows in parts.items():
-            sinks.write_csv(rows, f"{a.out}/{name}_csv")
-            sinks.write_json(rows, f"{a.out}/{name}_json")
+        rows, years, filters = delimited.read_parquet(spark, a.facts), parse_years(a.years), json.loads(a.filters)
+        parts = search.search_years(rows, years, a.summary_scope, **filters)
+        sources = delimited.read_json_lines(spark, a.sources, search.SOURCES) if a.sources else spark.createDataFrame([], search.SOURCES)
+        parts["states"] = search.year_states(rows, years, sources, parts["rows"])
+        for name, part in parts.items():
+            sinks.write_csv(part, f"{a.out}/{name}_csv")
+            sinks.write_json(part, f"{a.out}/{name}_json")
+        found = {n: spark.read.csv(f"{a.out}/{n}_csv", header=True).count() for n in parts}
+        made = spark.createDataFrame([(json.dumps({"years": years, "filters": filters, "summary_scope": a.summary_scope, "rows": found}, ensure_ascii=False),)], "value string")
+        made.coalesce(1).write.mode("overwrite").text(f"{a.out}/query_metadata")
+    elif a.command == "probe":
+        pages = {}
+        for page in a.page:
+            address, _, file = page.partition("=")
+            with open(file, encoding="utf-8") as f:
+                pages[address] = f.read()
+        years = parse_years(a.years)
+        records = remote.discover(pages, years, lambda year: a.address.format(year=year))
+        have = {r["periodo"] for r in delimited.read_parquet(spark, a.facts).select("periodo").distinct().collect()} if a.facts else set()  # years
+        for r in records:
+            print(json.dumps(r | {"periodo": r["year"], "source_url": r["url"], "source_status": r["status"], "has_facts": r["year"] in have}, ensure_ascii=False))
     elif a.command == "fts":
         for line in fulltext.search(run.open_index(spark, a.out), a.query, a.limit).toJSON().toLocalIterator():
             print(line)

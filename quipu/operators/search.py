@@ -145,7 +145,7 @@ def summarize(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 SOURCES = "periodo long, source_url string, source_status string, source_sha256 string, source_bytes long, delimiter string"
 #: States of a source that can be read.
-AVAILABLE = ("AVAILABLE", "AVAILABLE_RANGE")
+AVAILABLE = ("linked_available", "probed_available")
 
 
 def year_states(facts: DataFrame, wanted: list[int], sources: DataFrame, matches: DataFrame) -> DataFrame:

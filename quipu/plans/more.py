@@ -141,13 +141,13 @@ def snapshot_manifest(spark, sf_dir):
     return sinks.manifest(o, parts.drop("path").withColumn("delimiter", F.lit(";")))
 
 
-@query("""x AS (SELECT * FROM facts), w AS (SELECT * FROM (VALUES (1990), (1996), (1997), (2030), (2031)) t(y)), s AS (SELECT * FROM (VALUES (1996, 'u6', 'AVAILABLE', 'aa', 10, ';'), (1997, 'u7', 'AVAILABLE_RANGE', 'bb', 11, ','), (1990, 'u0', 'NOT_FOUND', NULL, NULL, NULL), (2031, 'u1', 'AVAILABLE', 'cc', 12, ';')) t(y, u, st, sha, b, de)),
-n AS (SELECT periodo AS y, count(*) AS n, count(*) FILTER (WHERE monto_devengado >= 50000) AS m FROM x GROUP BY 1), a AS (SELECT * FROM s WHERE st IN ('AVAILABLE', 'AVAILABLE_RANGE'))
+@query("""x AS (SELECT * FROM facts), w AS (SELECT * FROM (VALUES (1990), (1996), (1997), (2030), (2031)) t(y)), s AS (SELECT * FROM (VALUES (1996, 'u6', 'linked_available', 'aa', 10, ';'), (1997, 'u7', 'probed_available', 'bb', 11, ','), (1990, 'u0', 'probed_missing', NULL, NULL, NULL), (2031, 'u1', 'linked_available', 'cc', 12, ';')) t(y, u, st, sha, b, de)),
+n AS (SELECT periodo AS y, count(*) AS n, count(*) FILTER (WHERE monto_devengado >= 50000) AS m FROM x GROUP BY 1), a AS (SELECT * FROM s WHERE st IN ('linked_available', 'probed_available'))
 SELECT CAST(w.y AS BIGINT) AS periodo, u AS source_url, st AS source_status, sha AS source_sha256, CAST(b AS BIGINT) AS source_bytes, de AS delimiter, coalesce(n, 0) AS normalized_rows, coalesce(m, 0) AS matched_rows,
        CASE WHEN u IS NULL THEN 'SOURCE_NOT_CONFIRMED' WHEN n IS NULL THEN 'PROCESSING_ERROR' ELSE 'PROCESSED' END AS status FROM w LEFT JOIN a ON a.y = w.y LEFT JOIN n ON n.y = w.y""")
 def multi_year_states(spark, sf_dir):
     f = facts(spark, sf_dir, "transaction_id", "periodo", "monto_devengado")
-    sources = spark.createDataFrame([(1996, "u6", "AVAILABLE", "aa", 10, ";"), (1997, "u7", "AVAILABLE_RANGE", "bb", 11, ","), (1990, "u0", "NOT_FOUND", None, None, None), (2031, "u1", "AVAILABLE", "cc", 12, ";")], search.SOURCES)
+    sources = spark.createDataFrame([(1996, "u6", "linked_available", "aa", 10, ";"), (1997, "u7", "probed_available", "bb", 11, ","), (1990, "u0", "probed_missing", None, None, None), (2031, "u1", "linked_available", "cc", 12, ";")], search.SOURCES)
     return search.year_states(f, [1990, 1996, 1997, 2030, 2031], sources, f.filter("monto_devengado >= 50000"))
 
 

@@ -110,3 +110,18 @@ def test_light_facts_never_multiply(spark):
     out = light.light_facts(raw)
     assert out.count() == 4 and {r["nombre_beneficiario"] for r in out.filter("is_provider").collect()} == {"Empresa"}
     assert out.filter("is_provider_source").count() == 4 and light.light_coverage(out).first()["public_name_providers"] == 1
+
+
+def test_probe_and_query_metadata(spark, outputs, capsys, tmp_path, monkeypatch):
+    monkeypatch.setattr(remote.discover, "__defaults__", (lambda url: {"available": "2024" in url, "probe_method": "HEAD"},))
+    page = tmp_path / "page.html"
+    page.write_text('<a href="/data/pagos-2024.gz">x</a>')
+    cli.main(["probe", "--years", "2024-2026", "--address", "https://host/data/pagos-{year}.gz", "--page", f"https://host/={page}", "--facts", f"{outputs}/facts"], spark)
+    found = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert [(r["periodo"], r["source_status"], r["has_facts"]) for r in found] == [(2024, "linked_available", True), (2025, "probed_missing", True), (2026, "probed_missing", False)]
+    (tmp_path / "sources.jsonl").write_text("\n".join(map(json.dumps, found)))
+    cli.main(["years", "--facts", f"{outputs}/facts", "--years", "2024 2026", "--out", f"{tmp_path}/q", "--sources", f"{tmp_path}/sources.jsonl", "--filters", '{"limit": 9}'], spark)
+    states = {r["periodo"]: r for r in spark.read.json(f"{tmp_path}/q/states_json").collect()}
+    assert states[2024]["status"] == "PROCESSED" and states[2024]["normalized_rows"] == 36 and states[2026]["status"] == "SOURCE_NOT_CONFIRMED"
+    made = json.loads(spark.read.text(f"{tmp_path}/q/query_metadata").first()[0])
+    assert made["years"] == [2024, 2026] and made["rows"]["rows"] == 9
