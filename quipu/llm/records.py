@@ -10,14 +10,15 @@ Beside it ``part-NNNNN-ATTEMPT.idx`` holds for each record its u64 offset and u6
 count of ids, so that a reader can fetch records in any order.
 
 Texts are encoded where they are read; what is shuffled into key order is ids of
-two bytes.  The number of files follows the bytes of the ids.  Executors write
+two bytes.  The number of files follows the bytes of the texts, and where each
+begins is found on keys and hashes alone.  Executors write
 each file under a name of its attempt, which is never moved or written over:
 the task that ends well tells the driver its name, so that a task that runs
 twice clashes with nothing, and what other attempts left is deleted.
 
 Defined results
     null or empty text: the end id alone.  Rows without a key come first.
-    Repeated rows are separate records, ordered by their ids.  A very long text
+    Repeated rows are separate records, ordered by a hash of their text.  A very long text
     is one record.  Extra columns, whatever their names, are ignored; an empty
     table gives no records.
 """
@@ -27,6 +28,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -36,10 +38,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import Scratch, prepare
+from ._common import prepare
 from .bpe_cache import encoder
 
-#: Bytes of ids in a file, about.
+#: Bytes of text whose ids go to one file, about.
 FILE_BYTES = 128 << 20
 
 SCHEMA = "doc_id long, start long, n_tokens long, ids binary"
@@ -104,12 +106,6 @@ def write_records(docs: DataFrame, folder: str, path: str, end_id: int = 2, text
     spark = docs.sparkSession
     prepare(spark)
 
-    @F.pandas_udf("binary")
-    def encoded(texts: pd.Series) -> pd.Series:
-        enc = encoder(path)
-        end = np.array([end_id], enc.dtype).tobytes()
-        return pd.Series([enc.raw(t or "") + end for t in texts], dtype="object")
-
     def write(batches):
         number, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
         width = encoder(path).dtype.itemsize
@@ -126,14 +122,26 @@ def write_records(docs: DataFrame, folder: str, path: str, end_id: int = 2, text
                     at, records, total = at + len(framed), records + 1, total + len(ids) // width
         yield pd.DataFrame({"number": [number], "name": [name], "records": [records], "ids": [total]})
 
-    with Scratch(spark) as scratch:
-        rows = scratch.put(docs.select(F.col(f"`{key}`").cast("long").alias("k"), encoded(F.col(f"`{text}`")).alias("ids")), "ids")
-        size = rows.agg(F.sum(F.octet_length("ids").cast("long"))).first()[0] or 0
-        n = max(1, -(-size // file_bytes), min(spark.sparkContext.defaultParallelism, size >> 20))
-        order = F.col("k").asc_nulls_first(), F.xxhash64("ids")
-        ordered = rows.repartitionByRange(n, *order).sortWithinPartitions(*order, "ids")
-        # One row per file: the driver holds no more than the names.
-        files = sorted(File(**r.asDict()) for r in ordered.mapInPandas(write, "number long, name string, records long, ids long").collect())
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("k"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t")).withColumn("h", F.xxhash64("t"))
+    size = rows.agg(F.sum(F.octet_length("t").cast("long"))).first()[0] or 0
+    n = max(1, -(-size // file_bytes), min(spark.sparkContext.defaultParallelism, size >> 20))
+    # Where each file begins is found on keys and hashes alone: one row per file comes back.
+    narrow = rows.select("k", "h").repartitionByRange(n, F.col("k").asc_nulls_first(), "h").groupBy(F.spark_partition_id()).agg(F.min(F.struct(F.col("k").isNotNull().alias("keyed"), "k", "h")).alias("least"))
+    starts = spark.sparkContext.broadcast(sorted((r["least"]["keyed"], r["least"]["k"] or 0, r["least"]["h"]) for r in narrow.collect())[1:])
+
+    def encoded(batches):
+        enc = encoder(path)
+        end = np.array([end_id], enc.dtype).tobytes()
+        for pdf in batches:
+            keys = [None if k is pd.NA else int(k) for k in pdf["k"].astype("Int64")]
+            pdf["number"] = [bisect_right(starts.value, (k is not None, k or 0, h)) for k, h in zip(keys, pdf["h"].tolist())]
+            pdf["ids"] = [enc.raw(t) + end for t in pdf.pop("t")]
+            yield pdf[["number", "k", "h", "ids"]]
+
+    placed = rows.mapInPandas(encoded, "number int, k long, h long, ids binary").repartitionById(len(starts.value) + 1, "number")
+    ordered = placed.sortWithinPartitions(F.col("k").asc_nulls_first(), "h", "ids").select("k", "ids")
+    # One row per file: the driver holds no more than the names.
+    files = sorted(File(**r.asDict()) for r in ordered.mapInPandas(write, "number long, name string, records long, ids long").collect())
     sweep(folder, files)
     return files
 
