@@ -5,7 +5,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F

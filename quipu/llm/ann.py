@@ -71,7 +71,7 @@ class Params:
     #: Cells that a query may visit in a layout; others are left out.
     most_probes: int = 20_000
     #: Work of a visited cell or block, in rows compared.
-    probe_cost: float = 8.0
+    probe_cost: float = 30.0
     block: int = 4096
     seed: int = 20240607
 
