@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.identity import short_md5
 from ..functions.predicates import not_aggregated, provider_scope, total
+from ..scratch import materialize
 from .quantiles import quantiles
 
 #: Rules compare amounts with quantiles; both sides of the comparison carry rounding of the last bit.
@@ -116,7 +117,8 @@ def robust_outliers(rows: DataFrame, group: list[str], value: str, z: float, min
     b = rows.withColumn("x", log(value))
     first = quantiles(rows, group, value, {"med": 0.5, "q": quantile}, least=min_group)
     half = F.when(F.col("n") % 2 == 0, 0.5).otherwise(0.0)
-    first = first.withColumn("med_x", log("med_low") + (log("med_high") - log("med_low")) * half).select(*group, "med", "q", "med_x")
+    # One row per group, read by three branches.
+    first = materialize(first.withColumn("med_x", log("med_low") + (log("med_high") - log("med_low")) * half).select(*group, "med", "q", "med_x"), "medians")
     spread = quantiles(b.join(first.select(*group, "med_x"), group).withColumn("dev", F.abs(F.col("x") - F.col("med_x"))), group, "dev", {"mad": 0.5})
     stats = first.join(spread.select(*group, "mad"), group).filter("mad > 0")
     scored = b.join(stats, group).withColumn("z", 0.6745 * (F.col("x") - F.col("med_x")) / F.col("mad"))
