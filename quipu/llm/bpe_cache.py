@@ -87,7 +87,7 @@ class CachedEncoder:
     most: how many pre-tokens the cache holds (about 250 bytes each).
     """
 
-    def __init__(self, path: str, most: int = 600000):
+    def __init__(self, path: str, most: int = 400000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -126,7 +126,7 @@ class CachedEncoder:
         return np.frombuffer(self.raw(text), self.dtype)
 
 
-def encoder(path: str, most: int = 600000) -> CachedEncoder:
+def encoder(path: str, most: int = 400000) -> CachedEncoder:
     """One encoder per worker process and vocabulary file."""
     held = cache_of("byte pairs")
     if (path, most) not in held:
