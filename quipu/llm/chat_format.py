@@ -9,9 +9,10 @@ A view is the whole dialogue.  Only what no row should hold comes in several
 windows: each turn costs its characters and ``TURN_COST``, and the turns whose
 costs before them, in the order of the dialogue, lie in the same stretch of
 ``window_cost`` make a window.  A dialogue of, say, 8,000 turns of 1,000
-characters is one; the windows of longer ones, one after the other, are the dialogue, and first_turn
-says how many turns lie before a window.  The order of long ones is found by
-range partitions and sums: no conversation, however hot, meets in one task.
+characters is one; the windows of a longer one, one after the other, are the
+dialogue, and first_turn says how many turns lie before a window.  The order of
+long ones is found by range partitions and sums: no conversation, however hot,
+meets in one task.
 
 Markers in names and texts are escaped, so that no text can open or close a
 turn: one backslash is put after the "<" of every "<|" (and of every "<\|",
