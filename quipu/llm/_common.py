@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +70,22 @@ def fresh(df: DataFrame, stem: str) -> str:
     return name
 
 
+def key_columns(key: str) -> list[Column]:
+    """``k``, 0 where the key is null, and ``keyed``: a null among whole numbers would turn all of its batch into doubles in pandas."""
+    k = F.col(f"`{key}`").cast("long")
+    return [k.isNotNull().alias("keyed"), F.coalesce(k, F.lit(0)).cast("long").alias("k")]
+
+
+def keys_of(pdf: pd.DataFrame) -> list[int | None]:
+    """The keys of :func:`key_columns`."""
+    return [k if keyed else None for keyed, k in zip(pdf["keyed"].tolist(), pdf["k"].tolist())]
+
+
+def whole_numbers(values) -> pd.Series:
+    """64-bit integers of which some may be None."""
+    return pd.Series(list(values), dtype="Int64")
+
+
 def held_out(key: Column, folds: int = 5) -> Column:
     """Rows set aside for testing: crc32 of the key, as text, modulo ``folds`` is 0."""
     return F.crc32(key.cast("string").cast("binary")) % folds == 0

@@ -44,6 +44,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -295,22 +296,32 @@ def _sampled(classes: DataFrame, asked: DataFrame, n: int, params: Params) -> tu
 
 
 def nearest(rows: DataFrame, is_query, params: Params = Params(), vector: str = "embedding", key: str = "vec_id") -> DataFrame:
-    """query_id, rank, vec_id, score: for each row with ``is_query`` (a condition on vec_id) its k nearest other rows found."""
-    spark, k = rows.sparkSession, params.k
+    """query_id, rank, vec_id, score: for each row with ``is_query`` (a condition on vec_id) its k nearest other rows found.
+
+    A cosine needs vectors of one length, so each length that a query has is a
+    search of its own, with a layout of its own; a table has few lengths.
+    """
+    spark = rows.sparkSession
     prepare(spark)
-    every = valid_vectors(rows, vector, key)
-    top = every.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
-    if top is None:
-        return spark.createDataFrame([], RESULT)
-    every = every.filter(F.size("v") == top["dim"]).withColumns({"c1": F.xxhash64("v"), "c2": F.xxhash64(F.lit(1), "v")})
-    least = F.dense_rank().over(Window.partitionBy("c1", "c2").orderBy("vec_id"))
-    grouped = every.withColumn("r", least).filter(F.col("r") <= k + 1).groupBy("c1", "c2").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"), F.first("v").alias("v"))
+    every = valid_vectors(rows, vector, key).withColumn("dim", F.size("v"))
+    asked = sorted(r["dim"] for r in every.filter(is_query(F.col("vec_id"))).select("dim").distinct().collect())
+    found = [_nearest_of(every.filter(F.col("dim") == dim).drop("dim"), is_query, params) for dim in asked]
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], RESULT)
+
+
+def _nearest_of(every: DataFrame, is_query, params: Params) -> DataFrame:
+    """:func:`nearest` for vectors of one length."""
+    spark, k = every.sparkSession, params.k
+    every = every.withColumns({"c1": F.xxhash64("v"), "c2": F.xxhash64(F.lit(1), "v")})
+    # Repeated rows are one before ids are ranked, and ids move without their vectors.
+    least = F.row_number().over(Window.partitionBy("c1", "c2").orderBy("vec_id"))
+    kept = every.select("c1", "c2", "vec_id").distinct().withColumn("r", least).filter(F.col("r") <= k + 1)
+    ids = kept.groupBy("c1", "c2").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+    grouped = ids.join(every.groupBy("c1", "c2").agg(F.first("v").alias("v")), ["c1", "c2"])
     classes = materialize(grouped.select(F.monotonically_increasing_id().alias("cid"), "c1", "c2", "ids", F.col("ids")[0].alias("first"), "v"), "classes")
     named = every.filter(is_query(F.col("vec_id"))).select(F.col("vec_id").alias("query_id"), "c1", "c2").distinct()
     named = materialize(named.join(classes.select("c1", "c2", "cid"), ["c1", "c2"]).select("query_id", "cid"), "query_ids")
     asked = materialize(classes.join(named.select("cid").distinct(), "cid", "left_semi"), "asked")
-    if asked.isEmpty():
-        return spark.createDataFrame([], RESULT)
     n = classes.count()
     tables = spark.sparkContext.broadcast(fit_tables(*_sampled(classes, asked, n, params), n, params))
 

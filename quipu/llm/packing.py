@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import prepare
+from ._common import key_columns, keys_of, prepare, whole_numbers
 from .bpe_cache import encoder
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -178,18 +178,17 @@ def pack_documents(docs: DataFrame, path: str, end_id: int = 2, costs: Costs = C
         end = np.array([end_id], enc.dtype)
 
         def frame(pieces):
-            out = pd.DataFrame(pieces, columns=names)
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            return out
+            columns = dict(zip(names, zip(*pieces)))
+            return pd.DataFrame(columns | {"doc_id": whole_numbers(columns["doc_id"])})
 
         for pdf in batches:
             pieces = []
-            for k, t in zip(pdf["k"].astype("Int64"), pdf["t"]):
-                pieces += packer.add(None if k is pd.NA else int(k), np.concatenate([enc.ids(t or ""), end]))
+            for k, t in zip(keys_of(pdf), pdf["t"]):
+                pieces += packer.add(k, np.concatenate([enc.ids(t or ""), end]))
             if pieces:
                 yield frame(pieces)
         if pieces := packer.close():
             yield frame(pieces)
 
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("k"), F.col(f"`{text}`").alias("t"))
-    return rows.sortWithinPartitions("k", F.xxhash64("t"), "t").mapInPandas(pack, SCHEMA)
+    rows = docs.select(*key_columns(key), F.col(f"`{text}`").alias("t"))
+    return rows.sortWithinPartitions("keyed", "k", F.xxhash64("t"), "t").mapInPandas(pack, SCHEMA)

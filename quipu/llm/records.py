@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import prepare
+from ._common import key_columns, keys_of, prepare, whole_numbers
 from .bpe_cache import encoder
 
 #: Bytes of text whose ids go to one file, about.
@@ -115,31 +115,30 @@ def write_records(docs: DataFrame, folder: str, path: str, end_id: int = 2, text
         at = records = total = 0
         with store.open_output_stream(f"{base}/{name}.rec") as data, store.open_output_stream(f"{base}/{name}.idx") as index:
             for pdf in batches:
-                for k, ids in zip(pdf["k"].astype("Int64"), pdf["ids"]):
-                    framed = frame(payload_of(None if k is pd.NA else int(k), ids, width))
+                for k, ids in zip(keys_of(pdf), pdf["ids"]):
+                    framed = frame(payload_of(k, ids, width))
                     data.write(framed)
                     index.write(index_entry(at, len(ids) // width))
                     at, records, total = at + len(framed), records + 1, total + len(ids) // width
         yield pd.DataFrame({"number": [number], "name": [name], "records": [records], "ids": [total]})
 
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("k"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t")).withColumn("h", F.xxhash64("t"))
+    rows = docs.select(*key_columns(key), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t")).withColumn("h", F.xxhash64("t"))
     size = rows.agg(F.sum(F.octet_length("t").cast("long"))).first()[0] or 0
     n = max(1, -(-size // file_bytes), min(spark.sparkContext.defaultParallelism, size >> 20))
     # Where each file begins is found on keys and hashes alone: one row per file comes back.
-    narrow = rows.select("k", "h").repartitionByRange(n, F.col("k").asc_nulls_first(), "h").groupBy(F.spark_partition_id()).agg(F.min(F.struct(F.col("k").isNotNull().alias("keyed"), "k", "h")).alias("least"))
-    starts = spark.sparkContext.broadcast(sorted((r["least"]["keyed"], r["least"]["k"] or 0, r["least"]["h"]) for r in narrow.collect())[1:])
+    narrow = rows.select("keyed", "k", "h").repartitionByRange(n, "keyed", "k", "h").groupBy(F.spark_partition_id()).agg(F.min(F.struct("keyed", "k", "h")).alias("least"))
+    starts = spark.sparkContext.broadcast(sorted((r["least"]["keyed"], r["least"]["k"], r["least"]["h"]) for r in narrow.collect())[1:])
 
     def encoded(batches):
         enc = encoder(path)
         end = np.array([end_id], enc.dtype).tobytes()
         for pdf in batches:
-            keys = [None if k is pd.NA else int(k) for k in pdf["k"].astype("Int64")]
-            pdf["number"] = [bisect_right(starts.value, (k is not None, k or 0, h)) for k, h in zip(keys, pdf["h"].tolist())]
+            pdf["number"] = [bisect_right(starts.value, place) for place in zip(pdf["keyed"].tolist(), pdf["k"].tolist(), pdf["h"].tolist())]
             pdf["ids"] = [enc.raw(t) + end for t in pdf.pop("t")]
-            yield pdf[["number", "k", "h", "ids"]]
+            yield pdf[["number", "keyed", "k", "h", "ids"]]
 
-    placed = rows.mapInPandas(encoded, "number int, k long, h long, ids binary").repartitionById(len(starts.value) + 1, "number")
-    ordered = placed.sortWithinPartitions(F.col("k").asc_nulls_first(), "h", "ids").select("k", "ids")
+    placed = rows.mapInPandas(encoded, "number int, keyed boolean, k long, h long, ids binary").repartitionById(len(starts.value) + 1, "number")
+    ordered = placed.sortWithinPartitions("keyed", "k", "h", "ids").select("keyed", "k", "ids")
     # One row per file: the driver holds no more than the names.
     files = sorted(File(**r.asDict()) for r in ordered.mapInPandas(write, "number long, name string, records long, ids long").collect())
     sweep(folder, files)
@@ -187,9 +186,8 @@ def read_records(spark: SparkSession, folder: str, files: list[File], chunk: int
         total += f.ids
 
     def frame_of(rows):
-        out = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids"])
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        return out
+        columns = dict(zip(("doc_id", "start", "n_tokens", "ids"), zip(*rows)))
+        return pd.DataFrame(columns | {"doc_id": whole_numbers(columns["doc_id"])})
 
     def read(batches):
         for pdf in batches:

@@ -56,7 +56,8 @@ def frequent_lengths(docs: DataFrame, path: str, text: str = "text", table_rows:
                         seen = most_frequent(seen, counted // 2)
         top = most_frequent(Counter({p: n for p, n in seen.items() if len(p) <= LONGEST_KEPT}), task_rows)
         width = enc.dtype.itemsize
-        yield pd.DataFrame({"part": list(top), "n": list(top.values()), "tokens": [len(enc.cache[p]) // width for p in top]})
+        if top:  # a frame of empty lists has no column types
+            yield pd.DataFrame({"part": list(top), "n": list(top.values()), "tokens": [len(enc.cache[p]) // width for p in top]})
 
     with Scratch(docs.sparkSession) as scratch:
         tops = docs.select(F.col(f"`{text}`").alias("t")).mapInPandas(count, "part string, n long, tokens int")
@@ -112,7 +113,7 @@ def count_tokens(spark: SparkSession, docs: DataFrame, path: str, limit: int = 1
     def counted(texts: pd.Series) -> pd.DataFrame:
         tiers = tiers_of(number, table, path, most)
         whole = [t or "" for t in texts]
-        return pd.DataFrame({"n_bytes": [len(t.encode()) for t in whole], "n_tokens": [tiers.of(t) for t in whole]})
+        return pd.DataFrame({"n_bytes": [len(t.encode()) for t in whole], "n_tokens": [tiers.of(t) for t in whole]}, dtype="int64")
 
     return (
         docs.select(F.col(f"`{key}`").alias("doc_id"), counted(F.col(f"`{text}`")).alias("c"))

@@ -48,10 +48,21 @@ def test_bad_rows_copies_ties_and_few_candidates(spark):
     got = found(ann.nearest(df, lambda v: v % 50 == 0))
     assert [v for v, _ in got[0]] == [3, 7, 50, 100, 9] and [v for v, _ in got[50]] == [0, 3, 7, 100, 9] and set(got) == {0, 50, 100}
     assert got[0][0][1] == pytest.approx(1.0) and got[0][-1][1] == pytest.approx(-1.0)
-    assert ann.nearest(df.limit(0), lambda v: v % 50 == 0).count() == 0
+    assert ann.nearest(df.filter("vec_id < 0"), lambda v: v % 50 == 0).count() == 0
     assert ann.nearest(df.filter("vec_id = 0"), lambda v: v % 50 == 0).count() == 0
 
 
+def test_every_length_is_searched_and_copies_count_once(spark):
+    rng = np.random.default_rng(3)
+    short, long = {k: rng.normal(size=2).tolist() for k in (100, 150, 151)}, {k: rng.normal(size=3).tolist() for k in range(1, 20)}
+    rows = [*short.items(), *long.items()] + [(5, long[5])] * 200 + [(200, [1.0]), (250, long[5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = found(ann.nearest(df, lambda v: v % 50 == 0))
+    for q in (100, 150):
+        assert got[q] == [(v, pytest.approx(s)) for v, s in exact(list(short), list(short.values()), q, 5)]
+    assert got[250][0] == (5, pytest.approx(1.0)) and len({v for v, _ in got[250]}) == len(got[250]) == 5 and set(got) == {100, 150, 250}
+
+
 def test_a_hot_cell_is_parted_without_loss(spark):
     rng = np.random.default_rng(2)
     centre = rng.normal(size=16)

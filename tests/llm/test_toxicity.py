@@ -109,7 +109,7 @@ def test_held_out_labels_are_never_read(spark):
 
 def test_without_toxic_labels(spark):
     docs, labels, _, _ = corpus(spark)
-    for some in (labels.filter("toxic = 0"), labels.limit(0)):
+    for some in (labels.filter("toxic = 0"), labels.filter("spark_partition_id() < 0")):
         model = toxicity.fit(docs, some)
         assert not model.terms and {r["predicted"] for r in toxicity.score_toxicity(docs, model).collect()} == {0}
 
@@ -170,7 +170,7 @@ def test_columns_of_clashing_names(spark):
     kept = toxicity.keep_clean(more, model)
     assert kept.columns == more.columns and kept.count() == toxicity.keep_clean(docs, model).count()
     assert toxicity.score_toxicity(more, model).columns == ["doc_id", "held_out", "score", "predicted"]
-    assert toxicity.score_toxicity(more.limit(0), model).count() == 0
+    assert toxicity.score_toxicity(more.filter("spark_partition_id() < 0"), model).count() == 0
 
 
 def test_a_misspelt_term_of_four_letters_is_near():
