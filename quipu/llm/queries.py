@@ -1,4 +1,4 @@
-"""The queries op1 to op10 and their DuckDB forms, where SQL can express them."""
+"""The queries op1 to op13 and their DuckDB forms, where SQL can express them."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat_format, packing, quality, records, sharding, simhash, sp_prefix, token_counts, toxicity
-from ._common import documents, prepare, shared_dir
+from . import ann, centroids, chat_format, packing, quality, records, sharding, simhash, sp_prefix, token_counts, toxicity, url_filter, vector_codes
+from ._common import documents, prepare, shared_dir, spread
 
 
 def tokenizer_path(name: str) -> str:
@@ -66,6 +66,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(documents(spark, sf_dir).select("doc_id")).select("doc_id", "shard_slot", "shard_id")
 
 
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(spread(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, _ = vector_codes.compress(spread(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
+    return coded.drop("label")
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clustered, _ = centroids.cluster_vectors(spread(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
+    return clustered
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -79,7 +93,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_nearest_neighbours,
         op9_sentencepiece,
         op10_sharding,
+        op11_url_filters,
+        op12_vector_codes,
+        op13_centroid_clustering,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_chat_formatting": chat_format.SQL, "op10_sharding": sharding.sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op3_chat_formatting": chat_format.SQL,
+    "op10_sharding": sharding.sql(),
+    "op11_url_filters": url_filter.sql(),
+    "op12_vector_codes": vector_codes.sql(),
+    "op13_centroid_clustering": centroids.sql(),
+}
