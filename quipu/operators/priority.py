@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import blank_to_null, present
+from ..functions.text import finite
 from .signals import severity_rank
 
 # Points by type of signal.
@@ -40,7 +41,7 @@ def transaction_context(facts: DataFrame, signals: DataFrame) -> DataFrame:
     flagged = facts.join(signals.select("transaction_id").distinct(), "transaction_id", "left_semi")
     return flagged.groupBy("transaction_id").agg(
         F.min(F.coalesce(blank_to_null("nombre_area"), blank_to_null("nombre_capitulo"), F.col("nombre_partida"))).alias("organization_name"),
-        F.min("nombre_beneficiario").alias("provider_or_recipient_name"), F.max("monto_devengado").alias("transaction_amount"),
+        F.min("nombre_beneficiario").alias("provider_or_recipient_name"), F.max(finite("monto_devengado")).alias("transaction_amount"),
         F.bool_or(present("orden_compra")).alias("has_purchase_order"), F.bool_or(present("codigo_bip")).alias("has_bip"), F.min("region").alias("region"),
         *[F.min(blank_to_null(c)).alias(c) for c in PLACES if c in facts.columns],
     )

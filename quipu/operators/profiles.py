@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import month_date, provider_scope, total, valid_month
+from ..functions.text import finite
 
 
 def _seen():
@@ -25,8 +26,8 @@ def provider_profiles(facts: DataFrame) -> DataFrame:
         F.count_distinct("organization_id").alias("organizations"),
         F.count_distinct(F.concat_ws("-", F.coalesce("subtitulo", F.lit("")), F.coalesce("item", F.lit("")))).alias("budget_categories"),
         total().alias("amount_devengado"),
-        F.avg("monto_devengado").alias("avg_amount"),
-        F.stddev_pop("monto_devengado").alias("sd_amount"),
+        F.avg(finite("monto_devengado")).alias("avg_amount"),
+        F.stddev_pop(finite("monto_devengado")).alias("sd_amount"),
         F.count_distinct(F.coalesce("nombre_ubicacion_geografica", F.lit(""))).alias("geographic_destinations"),
     )
 

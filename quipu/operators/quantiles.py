@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import finite
+
 #: Buckets per doubling of 1 + |value|.
 FINENESS = 256
 
@@ -27,12 +29,12 @@ def _ranks(p: float, n: Column, discrete: bool) -> tuple[Column, Column]:
 def quantiles(rows: DataFrame, group: list[str], value: str, wanted: dict[str, float], least: int = 1, discrete: bool = False) -> DataFrame:
     """Per group of at least ``least`` rows: n, and for each name its quantile and the values below and above it (name, name_low, name_high).
 
-    ``value`` is a column of numbers, of which missing and NaN ones don't count; ``group`` may be empty.  Quantiles
+    ``value`` is a column of numbers, of which missing, NaN and infinite ones don't count; ``group`` may be empty.  Quantiles
     are interpolated, or the nearest rank if ``discrete``.
     """
     one = F.lit(0).alias("whole_")
     by = group or ["whole_"]
-    own = rows.select(*[F.col(g) for g in group] or [one], F.col(value).cast("double").alias("value_")).filter("value_ is not null and not isnan(value_)")
+    own = rows.select(*[F.col(g) for g in group] or [one], finite(F.col(value).cast("double")).alias("value_")).filter("value_ is not null")
     own = own.withColumn("bucket_", F.floor(F.signum("value_") * F.log2(1 + F.abs("value_")) * FINENESS).cast("int"))
     counts = own.groupBy(*by, "bucket_").agg(F.count("*").alias("c_"))
     over = Window.partitionBy(*by)

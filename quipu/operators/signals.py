@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.identity import short_md5
 from ..functions.predicates import not_aggregated, provider_scope, total
+from ..functions.text import finite
 from ..scratch import materialize
 from .quantiles import quantiles
 
@@ -105,8 +106,13 @@ def _signals(rows: DataFrame, kind: str, key: tuple, observed, expected, deviati
     return rows.select(*[values[c].alias(c) for c in COLUMNS])
 
 
+def known_amounts(facts: DataFrame) -> DataFrame:
+    """``facts`` with amounts that are NaN or infinite as missing, the rule of every detector."""
+    return facts.withColumn("monto_devengado", finite("monto_devengado"))
+
+
 def robust_outliers(rows: DataFrame, group: list[str], value: str, z: float, min_group: int, min_ratio: float, quantile: float) -> DataFrame:
-    """Rows of ``rows`` far above their group: ``med``, ``mad``, ``q`` and the robust score ``z`` are added.
+    """Rows of ``rows`` far above their group: ``med``, ``mad``, ``q`` and the robust score ``z`` are added; values that are NaN or infinite are missing.
 
     All quantiles are exact; those of logarithms follow from the values beside
     the median, and no group is gathered (see :mod:`.quantiles`).  The rows are
@@ -114,6 +120,7 @@ def robust_outliers(rows: DataFrame, group: list[str], value: str, z: float, min
     are small next to the rows, so AQE broadcasts them when they are.
     """
     log = lambda c: F.log(1 + F.greatest(F.col(c), F.lit(0.0)))
+    rows = rows.withColumn(value, finite(F.col(value).cast("double")))
     b = rows.withColumn("x", log(value))
     first = quantiles(rows, group, value, {"med": 0.5, "q": quantile}, least=min_group)
     half = F.when(F.col("n") % 2 == 0, 0.5).otherwise(0.0)
@@ -126,7 +133,7 @@ def robust_outliers(rows: DataFrame, group: list[str], value: str, z: float, min
 
 
 def amount_outlier(facts: DataFrame, t: Thresholds = Thresholds(), provider_only: bool = True, exclude_aggregated: bool = True) -> DataFrame:
-    rows = facts.filter(F.col("monto_devengado") >= 0)
+    rows = known_amounts(facts).filter(F.col("monto_devengado") >= 0)
     rows = rows.filter(provider_scope()) if provider_only else rows
     rows = rows.filter(not_aggregated()) if exclude_aggregated else rows
     rows = rows.withColumns({"subtitulo": F.coalesce("subtitulo", F.lit("")), "item": F.coalesce("item", F.lit(""))})
@@ -135,7 +142,7 @@ def amount_outlier(facts: DataFrame, t: Thresholds = Thresholds(), provider_only
 
 
 def fragmentation(facts: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
-    rows = facts.filter(provider_scope() & not_aggregated() & F.col("fecha_documento").isNotNull() & (F.col("monto_devengado") > 0))
+    rows = known_amounts(facts).filter(provider_scope() & not_aggregated() & F.col("fecha_documento").isNotNull() & (F.col("monto_devengado") > 0))
     week = F.date_trunc("week", F.col("fecha_documento")).alias("week")
     groups = rows.groupBy("organization_id", "provider_id", "recipient_id", F.coalesce("item", F.lit("")).alias("item"), week).agg(
         F.count("*").alias("n"), F.avg("monto_devengado").alias("mean"), F.stddev_pop("monto_devengado").alias("sd"),
@@ -147,8 +154,8 @@ def fragmentation(facts: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
 
 
 def year_end_spike(facts: DataFrame, t: Thresholds = Thresholds(), entity: str = "organization_id") -> DataFrame:
-    """Averages run over the months that have spend; a year without November and December gives nothing."""
-    monthly = facts.filter(F.col("monto_devengado").isNotNull()).groupBy(entity, "periodo", "mes").agg(total().alias("amount"), F.min("transaction_id").alias("transaction_id"))
+    """Averages run over the months that have a known amount; the least transaction is that of all rows; a year without November and December gives nothing."""
+    monthly = known_amounts(facts).groupBy(entity, "periodo", "mes").agg(total().alias("amount"), F.min("transaction_id").alias("transaction_id"))
     yearly = monthly.groupBy(entity, "periodo").agg(
         F.avg(F.when(F.col("mes").between(1, 10), F.col("amount"))).alias("base"),
         F.avg(F.when(F.col("mes").between(11, 12), F.col("amount"))).alias("end"),
@@ -163,13 +170,13 @@ def exact_duplicates(facts: DataFrame, keys: list[str] | None = None) -> DataFra
     """Groups of rows that agree in period, parties, document, amount and folio (or in ``keys`` besides period and parties)."""
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     by = [blank(c) for c in keys] if keys is not None else [blank("numero_documento"), blank("fecha_documento"), F.coalesce(F.col("monto_devengado").cast("decimal(20,2)").cast("string"), F.lit("")).alias("amount_key"), blank("folio")]
-    groups = facts.filter(not_aggregated()).groupBy("periodo", "mes", "organization_id", "recipient_id", *by).agg(F.max("provider_id").alias("provider_id"), F.count("*").alias("n"), F.min("transaction_id").alias("transaction_id"))
+    groups = known_amounts(facts).filter(not_aggregated()).groupBy("periodo", "mes", "organization_id", "recipient_id", *by).agg(F.max("provider_id").alias("provider_id"), F.count("*").alias("n"), F.min("transaction_id").alias("transaction_id"))
     return _signals(groups.filter("n > 1"), "EXACT_DUPLICATE_CANDIDATE", ("transaction_id",), "n", F.lit(1), F.col("n") - 1, F.lit("HIGH"), id_stem="EXACT_DUPLICATE")
 
 
 def provider_concentration(facts: DataFrame, t: Thresholds = Thresholds(), entity: str = "organization_id") -> DataFrame:
     """The dominant provider of an organisation and year.  The windows run over (entity, year, provider) sums, not over facts."""
-    spend = facts.filter(provider_scope() & not_aggregated() & (F.col("monto_devengado") > 0)).groupBy(entity, "periodo", "provider_id").agg(
+    spend = known_amounts(facts).filter(provider_scope() & not_aggregated() & (F.col("monto_devengado") > 0)).groupBy(entity, "periodo", "provider_id").agg(
         F.min("recipient_id").alias("recipient_id"), total().alias("amount"), F.min("transaction_id").alias("transaction_id"), F.min("mes").alias("mes")
     )
     # Two aggregates and a per-key maximum instead of windows: each is partial map-side, so no year of an organisation has to fit in one task.

@@ -18,6 +18,7 @@ from ..scratch import materialize, shared_dir
 from ..sources import delimited, profile, sinks
 from ..sources.facts import normalize
 from ..sources.star import facts
+from . import registry
 from .registry import _ALL, _DUP_KEYS, _DUPLICATE, _EDGES, _MARK_RULES, _MARKS, _PRIORITY, T, _plain, _shown, _written_edges, _edges, query, rounded
 from .shared import detect, full_facts
 
@@ -175,8 +176,6 @@ def _case_sql(body: str) -> str:
 
 
 def case_query(body: str):
-    from . import registry
-
     def add(f):
         registry.QUERIES[f.__name__], registry.ORACLE_SQL[f.__name__] = f, _case_sql(body)
         return f
@@ -190,6 +189,30 @@ def signals_of_all_kinds(spark, sf_dir):
     return _plain(signals.all_signals(_cases(full_facts(spark, sf_dir)), T))
 
 
+def _broken_sql(body: str) -> str:
+    """A query's SQL over the cases, with the amounts that :func:`_broken` spoils as missing."""
+    whole = _case_sql(body)
+    head, rest = whole.split("facts AS (SELECT * FROM fx", 1)
+    cases, tail = rest.split("numero_documento AS BIGINT) % 40 = 7)", 1)
+    spoilt = "CASE WHEN CAST(numero_documento AS BIGINT) % 11 < 3 THEN NULL ELSE monto_devengado END AS monto_devengado"
+    return f"{head}facts1 AS (SELECT * FROM fx{cases}numero_documento AS BIGINT) % 40 = 7), facts AS (SELECT * REPLACE ({spoilt}) FROM facts1){tail}"
+
+
+def _broken(f: DataFrame) -> DataFrame:
+    """Three of eleven documents get an amount that is NaN or infinite."""
+    k = F.col("numero_documento").cast("long") % 11
+    amount = F.when(k == 0, float("nan")).when(k == 1, float("inf")).when(k == 2, float("-inf")).otherwise(F.col("monto_devengado"))
+    return materialize(f.withColumn("monto_devengado", amount), "broken")
+
+
+def signals_with_broken_amounts(spark, sf_dir):
+    """All seven detectors over facts with NaN and infinite amounts, which count as missing."""
+    return _plain(signals.all_signals(_broken(_cases(full_facts(spark, sf_dir))), T))
+
+
+registry.QUERIES["signals_with_broken_amounts"] = signals_with_broken_amounts
+registry.ORACLE_SQL["signals_with_broken_amounts"] = _broken_sql(f"{_ALL} {_shown('sig')}")
+
 _LINKS = """ln AS (SELECT 'PROVIDER' AS kind, provider_id AS id, 0.7 + (CAST(substr(provider_id, 5, 6) AS BIGINT) % 4) * 0.08 AS conf, CAST(CAST(substr(provider_id, 5, 6) AS BIGINT) % 3 * 40 AS DOUBLE) AS aml, CAST(substr(provider_id, 5, 6) AS BIGINT) % 5 AS n FROM (SELECT DISTINCT provider_id FROM facts WHERE is_provider AND provider_id <> '')
  UNION ALL SELECT 'ORGANIZATION', organization_id, 0.75 + (CAST(substr(organization_id, 5) AS BIGINT) % 3) * 0.1, CAST(CAST(substr(organization_id, 5) AS BIGINT) % 2 * 75 AS DOUBLE), 1 FROM (SELECT DISTINCT organization_id FROM facts)),
 lp AS (SELECT id, conf, aml FROM ln WHERE kind = 'PROVIDER'), lo AS (SELECT id, conf, aml FROM ln WHERE kind = 'ORGANIZATION')"""
