@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from ..functions import identity, text
 from ..functions.predicates import PUBLIC_PATTERNS, total
 from ..operators import documents, enrich, evidence, explore, fulltext, light, multiyear, priority, profiles, quality, search, signals, spend, territory
+from ..operators.segments import SegmentedIndex
 from ..sources import delimited
 from ..sources.star import facts, facts_sql
-from ..scratch import materialize
+from ..scratch import materialize, shared_dir
 from .shared import detect, full_facts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -550,17 +551,49 @@ def bm25_search(spark, sf_dir):
     return rounded(fulltext.search(index, 'the AND (th* OR "of the") NOT und', 100), "rank")
 
 
-@query(f"""c AS (SELECT transaction_id, lower(concat_ws(' ', nombre_beneficiario, nombre_item, region)) AS b FROM facts),
+_BM25 = """c AS (SELECT transaction_id, lower(concat_ws(' ', nombre_beneficiario, nombre_item, region)) AS b FROM facts),
 t AS (SELECT transaction_id, [x for x in regexp_split_to_array(b, '[^a-z0-9]+') if x <> ''] AS w FROM c), l AS (SELECT transaction_id, len(w) AS dl FROM t), g AS (SELECT count(*) AS n, avg(dl) AS av FROM l),
 h AS (SELECT transaction_id, tok, count(*) AS tf FROM (SELECT transaction_id, unnest(w) AS tok FROM t) WHERE tok IN ('asia', 'promo') GROUP BY 1, 2), d AS (SELECT tok, count(*) AS df FROM h GROUP BY 1),
 s AS (SELECT transaction_id, sum((CASE WHEN ln((n - df + 0.5) / (df + 0.5)) <= 0 THEN 1e-6 ELSE ln((n - df + 0.5) / (df + 0.5)) END) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / av))) AS score FROM h JOIN d USING (tok) JOIN l USING (transaction_id), g GROUP BY 1)
-SELECT transaction_id AS doc, round(-score, 6) AS rank FROM s ORDER BY round(-score, 6), transaction_id LIMIT 50""")
+SELECT transaction_id AS doc, round(-score, 6) AS rank FROM s ORDER BY round(-score, 6), transaction_id LIMIT 50"""
+
+
+@query(_BM25)
 def bm25_facts(spark, sf_dir):
     rows = facts(spark, sf_dir, "transaction_id", "nombre_beneficiario", "nombre_item", "region")
     index = fulltext.build_index(rows, "transaction_id", ["nombre_beneficiario", "nombre_item", "region"])
     return rounded(fulltext.search(index, "asia OR promo", 50), "rank")
 
 
+@query(_BM25)
+def fts_segments(spark, sf_dir):
+    """The same ranking from a kept index: two increments, of which the second mends a tenth of the first, a deletion, and merging."""
+    fields = ["nombre_beneficiario", "nombre_item", "region"]
+    rows = materialize(facts(spark, sf_dir, "transaction_id", *fields).withColumn("k", F.pmod(F.crc32("transaction_id"), F.lit(20))), "indexed")
+    wrong = rows.filter("k < 2").withColumns({f: F.lit("asia promo") for f in fields})
+    extra = rows.filter("k = 19").withColumn("transaction_id", F.concat(F.lit("X-"), "transaction_id"))
+    index = SegmentedIndex.create(spark, f"{shared_dir(spark)}/index", "transaction_id", fields)
+    index = index.add(wrong.unionByName(extra).unionByName(rows.filter("k between 2 and 9"))).add(rows.filter("k < 2 or k > 9")).delete(extra)
+    return rounded(index.merge().search("asia OR promo", 50), "rank")
+
+
+# The least start of a phrase at which all of its words stand, for the words of a text numbered from 0.
+_NEAR_SQL = """t AS (SELECT doc_id, [x for x in regexp_split_to_array(lower(strip_accents(coalesce(text, ''))), '[^\\p{L}\\p{N}]+') if x <> ''] AS w FROM documents),
+g AS (SELECT count(*) AS n, avg(len(w)) AS av FROM t), p AS (SELECT doc_id, unnest(w) AS tok, unnest(range(len(w))) AS p FROM t),
+i AS (SELECT a.doc_id, a.p, 0 AS j FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.p = a.p + 1 WHERE a.tok = 'of' AND b.tok = 'the' UNION ALL SELECT doc_id, p, 1 FROM p WHERE starts_with(tok, 'th')),
+c AS (SELECT DISTINCT doc_id, p AS m FROM i z WHERE EXISTS (FROM i x WHERE x.doc_id = z.doc_id AND j = 0 AND x.p BETWEEN z.p - 4 AND z.p) AND EXISTS (FROM i x WHERE x.doc_id = z.doc_id AND j = 1 AND x.p BETWEEN z.p - 3 AND z.p)),
+h AS (SELECT doc_id, j, count(*) AS tf FROM i WHERE EXISTS (FROM c WHERE c.doc_id = i.doc_id AND m BETWEEN i.p AND i.p + CASE j WHEN 0 THEN 4 ELSE 3 END) GROUP BY 1, 2),
+d AS (SELECT j, count(DISTINCT doc_id) AS df FROM i GROUP BY 1),
+s AS (SELECT h.doc_id, sum((CASE WHEN ln((n - df + 0.5) / (df + 0.5)) <= 0 THEN 1e-6 ELSE ln((n - df + 0.5) / (df + 0.5)) END) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(w) / av))) AS score FROM h JOIN d USING (j) JOIN t USING (doc_id), g GROUP BY 1)"""
+
+
+@query(f"WITH {_NEAR_SQL} SELECT doc_id AS doc, round(-score, 6) AS rank FROM s")
+def fts_near(spark, sf_dir):
+    """A phrase and a prefix with at most two words between, over whole documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return rounded(fulltext.search(fulltext.build_index(docs, "doc_id", ["text"]), 'text : NEAR("of the" th*, 2)', fulltext.MOST_ROWS), "rank")
+
+
 # --- several years --------------------------------------------------------------------------------------------------
 
 _PATTERNS = ("NATION 1", "SUPPLIER#00000001", "SUPPLIER 00000001")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dashboard, documents, evidence, fulltext, multiyear, priority, profiles, quality, signals, spend, territory
+from ..operators.segments import SegmentedIndex
 from ..sources import delimited, sinks
 from ..sources.facts import normalize
 
@@ -67,9 +68,7 @@ def analyze(facts: DataFrame, out: str, thresholds: signals.Thresholds = signals
     rolling_view(facts, ranked, put)
     years_view(facts, put)
     if index:
-        idx = fulltext.build_index(facts, "transaction_id", [c for c in INDEXED if c in facts.columns])
-        for name in ("postings", "lengths", "totals"):
-            put(f"index_{name}", getattr(idx, name))
+        paths["index"] = update_index(facts, out)
     return paths
 
 
@@ -104,8 +103,25 @@ def years_view(facts: DataFrame, put) -> None:
     put("years_areas", multiyear.service_areas(facts))
 
 
+#: Segments that an index keeps before the smallest are merged.
+MOST_SEGMENTS = 8
+
+
+def update_index(facts: DataFrame, out: str) -> str:
+    """Add ``facts`` to the index below ``out``, which is made if there is none; its path."""
+    spark, root = facts.sparkSession, f"{out}/index"
+    if delimited.exists(spark, f"{root}/snapshots"):
+        index = SegmentedIndex.open(spark, root)
+    else:
+        index = SegmentedIndex.create(spark, root, "transaction_id", [c for c in INDEXED if c in facts.columns])
+    index = index.add(facts.select("transaction_id", *index.snapshot.fields))
+    if len(index.snapshot.segments) > MOST_SEGMENTS:
+        index.merge(MOST_SEGMENTS // 2)
+    return root
+
+
 def open_index(spark: SparkSession, out: str) -> fulltext.Index:
-    return fulltext.Index(*[spark.read.parquet(f"{out}/index_{n}") for n in ("postings", "lengths", "totals")])
+    return SegmentedIndex.open(spark, f"{out}/index").index()
 
 
 def coverage_gaps(spark: SparkSession, facts: DataFrame, years: list[int]) -> DataFrame:
