@@ -15,7 +15,7 @@ from ..functions import text
 from ..functions.predicates import total
 from ..operators import dashboard, documents, enrich, evidence, explore, multiyear, priority, search, signals
 from ..scratch import materialize, shared_dir
-from ..sources import delimited, profile, sinks
+from ..sources import delimited, profile, sinks, splits, yearly
 from ..sources.facts import normalize
 from ..sources.star import facts
 from . import registry
@@ -40,9 +40,9 @@ def _raw_orders(spark, sf_dir) -> DataFrame:
 
 
 def _written(rows: DataFrame, name: str, **options) -> str:
-    """One file in a folder of its own, rows in the order of their keys."""
+    """A folder of files, as many as the rows have tasks, each with a header."""
     folder = f"{shared_dir(rows.sparkSession)}/{name}"
-    rows.coalesce(1).write.csv(folder, header=True, **options)
+    rows.write.csv(folder, header=True, **options)
     return folder
 
 
@@ -56,9 +56,10 @@ SELECT CAST(n AS BIGINT) AS source_row_number, CAST(year(d) AS BIGINT) AS period
        'ORG-PA-07-' || cap || '-000' AS organization_id, 'SOURCE_ID' AS beneficiario_id_type, fp AS transaction_fingerprint, 'x;y' AS glosa, '' AS nombre_item,
        'TRX-PA-' || upper(substr(sha256(concat_ws('|', 'ORDERS.GZ', n, fp)), 1, 24)) AS transaction_id FROM f""")
 def normalized_delimited(spark, sf_dir):
-    """A gzip file with semicolons is written, its delimiter found, and its rows normalised."""
-    raw = _raw_orders(spark, sf_dir).withColumn("k", F.col("NUMERO_DOCUMENTO").cast("long")).coalesce(1).sortWithinPartitions("k").drop("k")
-    rows = normalize(delimited.read_delimited(spark, _written(raw, "orders", sep=";", compression="gzip", quoteAll=True)), source_file="orders.gz")
+    """Gzip files with semicolons are written in ranges of the key, read from restart points inside them, and normalised; rows are numbered over all of them."""
+    raw = _raw_orders(spark, sf_dir).withColumn("k", F.col("NUMERO_DOCUMENTO").cast("long")).repartitionByRange("k").sortWithinPartitions("k").drop("k")
+    files = _written(raw, "orders", sep=";", compression="gzip", quoteAll=True)
+    rows = normalize(splits.read_gzip(spark, files, spacing=1 << 18, across=True), source_file="orders.gz", row_number=False)
     shown = "source_row_number periodo mes monto_devengado beneficiario_source_id is_provider organization_id beneficiario_id_type transaction_fingerprint glosa nombre_item transaction_id"
     return rows.select(*shown.split(), F.col("fecha_documento").cast("date").alias("fecha_documento"))
 
@@ -84,10 +85,11 @@ def json_lines_with_broken_rows(spark, sf_dir):
 
 @query("SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name FROM nation")
 def json_documents_exploded(spark, sf_dir):
-    rows = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    """A document of several lines for each region."""
+    rows = spark.read.parquet(f"{sf_dir}/nation.parquet").groupBy("n_regionkey").agg(F.collect_list(F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))).alias("entries"))
     folder = f"{shared_dir(spark)}/documents"
-    whole = json.dumps({"generated": "now", "entries": [r.asDict() for r in rows.collect()]}, indent=1)  # 25 rows
-    spark.createDataFrame([(whole,)], "value string").write.text(folder)
+    whole = F.to_json(F.struct(F.lit("now").alias("generated"), "entries"), {"pretty": "true"})
+    rows.select("n_regionkey", whole.alias("value")).write.partitionBy("n_regionkey").text(folder)
     return profile.exploded(profile.read_documents(spark, folder), "entries")
 
 
@@ -129,6 +131,21 @@ def sinks_read_back(spark, sf_dir):
     return out
 
 
+@query("""WITH w AS (SELECT unnest(range(1990, 2001)) AS y), f AS (SELECT year(o_orderdate) AS y, string_agg(CAST(o_orderkey AS VARCHAR) || chr(10), '' ORDER BY o_orderkey) AS body FROM orders GROUP BY 1)
+SELECT CAST(w.y AS INTEGER) AS year, CASE WHEN body IS NOT NULL THEN 'downloaded' WHEN w.y IN (1994, 1999) THEN 'linked_unavailable' ELSE 'probed_missing' END AS status, CAST(strlen(body) AS BIGINT) AS content_length, CAST(strlen(body) AS BIGINT) AS bytes, sha256(body) AS sha256
+FROM w LEFT JOIN f USING (y)""")
+def yearly_source_states(spark, sf_dir):
+    """Orders are written as a folder a year, and the years probed, fetched and digested side by side; a page links two of them."""
+    yearly.register(spark)
+    folder, y, k = shared_dir(spark), F.year("o_orderdate").alias("year"), F.col("o_orderkey")
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(y, k.cast("string").alias("value"), k)
+    o.repartitionByRange("year", "o_orderkey").sortWithinPartitions("year", "o_orderkey").drop("o_orderkey").write.partitionBy("year").text(f"{folder}/data")
+    links = "".join(f'<a href="{folder}/data/year={x}">{x}</a>' for x in (1994, 1999))
+    spark.createDataFrame([(f"<html>{links}</html>",)], "value string").write.text(f"{folder}/page")
+    source = spark.read.format("yearly_source").options(years="1990-2000", address=f"{folder}/data/year={{year}}", pages=f"{folder}/page", pattern=r"/year=(\d{4})$", folder=f"{folder}/fetched")
+    return source.load().select("year", "status", "content_length", "bytes", "sha256")
+
+
 @query("""WITH o AS (SELECT CAST(year(o_orderdate) AS BIGINT) AS periodo, 'orders-' || CAST(o_orderkey % 3 AS VARCHAR) || '.txt' AS source_file FROM orders)
 SELECT periodo, source_file, count(*) AS n_rows, CAST(6 AS BIGINT) AS n_bytes, sha256(replace(source_file, '.txt', '')[8:] || 'file' || chr(10)) AS sha256, ';' AS delimiter FROM o GROUP BY 1, 2""")
 def snapshot_manifest(spark, sf_dir):

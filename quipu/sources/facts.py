@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.identity import digest, flag_is_true, identifier_type, normalize_rut, organization_id, provider_id, recipient_id
@@ -62,18 +62,17 @@ def with_row_numbers(rows: DataFrame) -> DataFrame:
     """``source_row_number``: the place of a row in its file, from 1.
 
     Rows are counted per block of a file first; a row's number is its place in
-    its block and the rows of the blocks before.  What reaches the driver is one
-    row per block that a task read, and no task sees more than its own blocks.
+    its block and the rows of the blocks before.  One row per block is ranked
+    within its file and joined back, so no task sees more than its own blocks
+    and the driver none.  Both scans of the join have one plan, so a block is
+    read by the same task in both; files that must be read once, or are packed, go through
+    :func:`.splits.read_gzip`, whose rows are numbered already.
     """
     place = rows.withColumns({"file_": F.input_file_name(), "block_": F.input_file_block_start(), "part_": F.spark_partition_id(), "nth_": F.monotonically_increasing_id()})
     key = ["file_", "block_", "part_"]
-    before: dict[str, int] = {}
-    offsets = []
-    for r in sorted(place.groupBy(*key).agg(F.min("nth_").alias("first"), F.count("*").alias("n")).collect()):
-        offsets.append((*r[:3], before.get(r["file_"], 0) - r["first"] + 1))
-        before[r["file_"]] = before.get(r["file_"], 0) + r["n"]
-    # One row per block of the files: a proven bound for the broadcast.
-    known = F.broadcast(rows.sparkSession.createDataFrame(offsets, "file_ string, block_ long, part_ int, offset_ long"))
+    blocks = place.groupBy(*key).agg(F.min("nth_").alias("first"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("file_").orderBy("block_", "part_").rowsBetween(Window.unboundedPreceding, -1)
+    known = blocks.select(*key, (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first") + 1).alias("offset_"))
     return place.join(known, key, "left").withColumn("source_row_number", F.col("nth_") + F.col("offset_")).drop(*key, "nth_", "offset_")
 
 
