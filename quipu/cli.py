@@ -1,4 +1,4 @@
-"""Command line: probe, run, search, years, fts, profile."""
+"""Command line: probe, run, update, search, years, fts, profile."""
 
 from __future__ import annotations
 
@@ -9,7 +9,9 @@ from pyspark.sql import SparkSession
 
 from .operators import fulltext, search, signals
 from .plans import run
-from .sources import delimited, remote, sinks
+from .plans.years import Years
+from .scratch import materialize
+from .sources import delimited, remote, sinks, yearly
 from .sources.facts import parse_years
 from .sources.profile import source_profile
 
@@ -37,6 +39,11 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--address", required=True, help="where a year's file is expected, with {year}")
     b.add_argument("--page", action="append", default=[], help="a saved web page that links files, as ADDRESS=FILE")
     b.add_argument("--facts")
+    u = sub.add_parser("update", help="fetch yearly files and bring the kept years up to date")
+    u.add_argument("--years", required=True)
+    u.add_argument("--address", required=True, help="where a year's file is expected, with {year}")
+    u.add_argument("--pages", default="", help="saved web pages that link files, parted by ;")
+    u.add_argument("--out", required=True, help="a folder that all executors share, as an address")
     f = sub.add_parser("fts", help="ranked full-text search")
     f.add_argument("query")
     f.add_argument("--out", required=True)
@@ -77,6 +84,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         have = {r["periodo"] for r in delimited.read_parquet(spark, a.facts).select("periodo").distinct().collect()} if a.facts else set()  # years
         for r in records:
             print(json.dumps(r | {"periodo": r["year"], "source_url": r["url"], "source_status": r["status"], "has_facts": r["year"] in have}, ensure_ascii=False))
+    elif a.command == "update":
+        yearly.register(spark)
+        options = {"years": a.years, "address": a.address, "pages": a.pages, "folder": f"{a.out}/fetched"}
+        states = materialize(spark.read.format("yearly_source").options(**options).load(), "states")
+        kept = Years(spark, f"{a.out}/years").update(states)
+        for line in states.toJSON().toLocalIterator():
+            print(line)
+        print(json.dumps({"version": kept.state.version, "years": sorted(kept.state.years)}))
     elif a.command == "fts":
         for line in fulltext.search(run.open_index(spark, a.out), a.query, a.limit).toJSON().toLocalIterator():
             print(line)

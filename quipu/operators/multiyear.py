@@ -90,9 +90,18 @@ def _mark(rows: DataFrame, scope: str, entity: str, kind: str, metric: Column, s
     )
 
 
+def month_sums(facts: DataFrame) -> DataFrame:
+    """(organization_id, year, mes, a): the sums that spikes are made of."""
+    return facts.groupBy("organization_id", F.col("periodo").alias("year"), "mes").agg(F.coalesce(total(), F.lit(0.0)).alias("a"))
+
+
 def marks(facts: DataFrame, edges: DataFrame, rules: MarkRules = MarkRules()) -> DataFrame:
     """Year-end spikes of services, dominant providers, and newcomers with high spend (nearest-rank quantile)."""
-    monthly = facts.groupBy("organization_id", F.col("periodo").alias("year"), "mes").agg(F.coalesce(total(), F.lit(0.0)).alias("a"))
+    return marks_of(month_sums(facts), edges, rules)
+
+
+def marks_of(monthly: DataFrame, edges: DataFrame, rules: MarkRules = MarkRules()) -> DataFrame:
+    """:func:`marks` from the sums of :func:`month_sums`."""
     ends = monthly.groupBy("organization_id", "year").agg(F.avg(F.when(F.col("mes") <= 10, F.col("a"))).alias("base"), F.avg(F.when(F.col("mes") > 10, F.col("a"))).alias("end"))
     spikes = ends.filter((F.col("base") > 0) & (F.col("end") / F.col("base") >= rules.spike - 1e-6))
     spike = _mark(spikes, "service", "organization_id", "YEAR_END_SPIKE", F.col("end") / F.col("base"), F.lit("MEDIUM"))
@@ -107,7 +116,7 @@ def marks(facts: DataFrame, edges: DataFrame, rules: MarkRules = MarkRules()) ->
     dominance = _mark(strong, "provider", "provider_id", "PROVIDER_CONCENTRATION", F.col("share"), high, F.col("organization_id"), F.col("h"))
 
     # One row: a proven bound for the broadcast.
-    last = facts.agg(F.max("periodo").alias("last_year"))
+    last = monthly.agg(F.max("year").alias("last_year"))
     fresh = provider_years(edges).crossJoin(F.broadcast(last)).filter((F.col("year") == F.col("last_year")) & (F.col("first_year") == F.col("last_year")) & (F.col("transactions") >= rules.min_tx))
     level = quantiles(fresh, [], "amount_clp", {"q": rules.quantile}, discrete=True).select("q")
     new = fresh.join(F.broadcast(level), how="left").filter(F.col("amount_clp") >= F.greatest(F.lit(rules.newcomer_amount), F.coalesce("q", F.lit(0.0))))

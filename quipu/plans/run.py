@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dashboard, documents, evidence, fulltext, multiyear, priority, profiles, quality, signals, spend, territory
 from ..operators.segments import SegmentedIndex
-from ..sources import delimited, sinks
+from ..sources import delimited, sinks, snapshots
 from ..sources.facts import normalize
 
 EXTERNAL = {
@@ -110,7 +110,7 @@ MOST_SEGMENTS = 8
 def update_index(facts: DataFrame, out: str) -> str:
     """Add ``facts`` to the index below ``out``, which is made if there is none; its path."""
     spark, root = facts.sparkSession, f"{out}/index"
-    if delimited.exists(spark, f"{root}/snapshots"):
+    if snapshots.latest(spark, root):
         index = SegmentedIndex.open(spark, root)
     else:
         index = SegmentedIndex.create(spark, root, "transaction_id", [c for c in INDEXED if c in facts.columns])

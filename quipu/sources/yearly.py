@@ -14,8 +14,8 @@ Options
     pattern  what a link must fit; its first group is the year.
     folder   where to put the files, shared by all executors; none: only probe.
 
-Restart.  An attempt writes ``year.part-ATTEMPT`` and moves it to ``year.data``
-when it is whole.  A later attempt takes over the longest part that it finds by
+Restart.  An attempt writes ``year.part-ATTEMPT`` and moves it to ``year.gz``
+(``year.data`` where the address ends otherwise) when it is whole.  A later attempt takes over the longest part that it finds by
 moving it to a name of its own, counts it into its digest and asks for the rest
 only; a server that sends the whole file again, or a store that can't append, starts anew.  Two
 attempts never write one file, and the move makes the last of them count.  A
@@ -137,8 +137,9 @@ def fetch(url: str, folder: str, name: str) -> dict:
 
     store, base = store_of(folder)
     store.create_dir(base, recursive=True)
-    target, mine = f"{base}/{name}.data", f"{base}/{name}.part-{uuid.uuid4().hex}"
-    path = f"{folder.rstrip('/')}/{name}.data"
+    kind = "gz" if url.endswith(".gz") else "data"
+    target, mine = f"{base}/{name}.{kind}", f"{base}/{name}.part-{uuid.uuid4().hex}"
+    path = f"{folder.rstrip('/')}/{name}.{kind}"
     if store.get_file_info(target).type == fs.FileType.File:
         whole, size = _digest(store, target)
         return {"path": path, "bytes": size, "sha256": whole.hexdigest()}

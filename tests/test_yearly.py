@@ -57,7 +57,7 @@ def test_states_and_digests_over_the_web(spark, web, tmp_path):
     assert {y: r["status"] for y, r in rows.items()} == {1994: "probed_missing", 1995: "downloaded", 1996: "downloaded", 1997: "linked_unavailable", 1998: "downloaded"}
     for y, data in DATA.items():
         assert (rows[y]["bytes"], rows[y]["sha256"]) == (len(data), hashlib.sha256(data).hexdigest())
-        assert (tmp_path / "out" / f"{y}.data").read_bytes() == data
+        assert (tmp_path / "out" / f"{y}.gz").read_bytes() == data
     assert rows[1994]["http_status"] == 404 and rows[1995]["content_length"] == len(DATA[1995])
     before = len(ASKED)
     assert {r["year"]: r["sha256"] for r in read.load().collect() if r["bytes"] is not None} == {y: hashlib.sha256(d).hexdigest() for y, d in DATA.items()}
