@@ -15,7 +15,7 @@ from ..functions import text
 from ..functions.predicates import total
 from ..operators import dashboard, documents, enrich, evidence, explore, multiyear, priority, search, signals
 from ..scratch import materialize, shared_dir
-from ..sources import delimited, profile, sinks, splits, yearly
+from ..sources import delimited, html_tables, profile, sinks, splits, yearly
 from ..sources.facts import normalize
 from ..sources.star import facts
 from . import registry
@@ -106,6 +106,23 @@ def page_table_rows(spark, sf_dir):
     return delimited.table_rows(pages, least=2, skip=("Name", "Total")).select("page_id", F.array_join("cells", "|").alias("cells"))
 
 
+_NESTED = (
+    "<!-- <table><tr><td>no</td></tr></table> --><TABLE border=1><tr><th colspan=2>Page {} &amp; more<th>x<tr><td rowspan='2'>a{}<td><script>'</table><td>'</script>b"
+    "<table><tr><td>inner {}</table><td>&lt;c&gt;<tr><td>d<td>e&#8364;</tr></table>"
+)
+
+
+@query("""WITH p AS (SELECT page_id, CAST(page_id AS VARCHAR) AS k FROM pages)
+SELECT page_id, 0 AS table_no, -1 AS parent_no, 0 AS row_no, TRUE AS header, 'Page ' || k || ' & more|Page ' || k || ' & more|x' AS cells FROM p UNION ALL SELECT page_id, 0, -1, 1, FALSE, 'a' || k || '|b|<c>' FROM p
+UNION ALL SELECT page_id, 0, -1, 2, FALSE, 'a' || k || '|d|e€' FROM p UNION ALL SELECT page_id, 1, 0, 0, FALSE, 'inner ' || k FROM p""")
+def page_tables(spark, sf_dir):
+    """Every page with nested, spanned and unended tables at its end."""
+    end = F.replace(F.lit(_NESTED), F.lit("{}"), F.col("page_id").cast("string"))
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.concat("html", end).alias("html"))
+    found = html_tables.page_tables(pages)
+    return found.withColumns({"cells": F.array_join("cells", "|"), "parent_no": F.coalesce("parent_no", F.lit(-1))})
+
+
 @query("""WITH o AS (SELECT year(o_orderdate) AS y, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS a FROM orders), s AS (SELECT count(*) AS n, CAST(sum(CAST(a AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM o)
 SELECT kind, n, amount FROM s, (VALUES ('parquet by year'), ('replaced twice'), ('csv'), ('json')) t(kind) UNION ALL SELECT 'empty dropped', 0, NULL""")
 def sinks_read_back(spark, sf_dir):
