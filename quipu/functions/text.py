@@ -12,14 +12,29 @@ from pyspark.sql.types import DoubleType, StringType
 
 from . import as_col
 
-# Letters of the Latin-1 and Latin Extended-A blocks whose decomposition is a base letter and marks.
-_ACCENTED = [(chr(c), unicodedata.normalize("NFKD", chr(c))[0]) for c in range(0xC0, 0x180) if len(unicodedata.normalize("NFD", chr(c))) > 1]
-ACCENTED = "".join(a for a, _ in _ACCENTED)
-PLAIN = "".join(b for _, b in _ACCENTED)
+
+
+def _bases() -> tuple[str, str]:
+    """Characters that are a base and marks in their decomposition, of any script, with their bases; then lone marks, which have none."""
+    letters, bases, marks = [], [], []
+    for k in range(0xC0, 0x10000):
+        c = chr(k)
+        if 0xD800 <= k < 0xE000:  # half characters
+            continue
+        first, *rest = unicodedata.normalize("NFD", c)
+        if all(map(unicodedata.combining, (first, *rest))):
+            marks.append(c)
+        elif rest and all(map(unicodedata.combining, rest)):
+            letters.append(c)
+            bases.append(unicodedata.normalize("NFKD", first)[0])
+    return "".join(letters + marks), "".join(bases)
+
+
+ACCENTED, PLAIN = _bases()
 
 
 def strip_accents(c) -> Column:
-    """Accented Latin letters to their base letters; texts of plain letters skip the lookup."""
+    """Letters of any script to their base letters, marks dropped; texts of plain letters skip the lookup."""
     x = as_col(c)
     return F.when(F.octet_length(x) == F.char_length(x), x).otherwise(F.translate(x, ACCENTED, PLAIN))
 
@@ -69,6 +84,18 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)], dtype="float64")
 
 
+# All that a company name's key is made of.
+NAME_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 "
+
+
+def ratio_bound(a, b) -> Column:
+    """Never below the matching-blocks ratio of two keys: twice the letters that they share over all letters, as blocks share no letter twice."""
+    x, y = as_col(a), as_col(b)
+    held = lambda c, letter: F.length(c) - F.length(F.replace(c, letter, F.lit("")))
+    common = F.aggregate(F.array(*map(F.lit, NAME_LETTERS)), F.lit(0), lambda n, letter: n + F.least(held(x, letter), held(y, letter)))
+    return F.when(F.length(x) + F.length(y) == 0, 1.0).otherwise(2.0 * common / (F.length(x) + F.length(y)))
+
+
 def similarity(a, b) -> Column:
     """1 for equal names, 0 if one is blank, else ratio and shared words weighted 65 to 35."""
     x, y = as_col(a), as_col(b)

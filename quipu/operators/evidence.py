@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.predicates import provider_scope
-from ..functions.text import name_key, region_agrees, similarity, token_jaccard
+from ..functions.text import name_key, ratio_bound, region_agrees, similarity, token_jaccard
 from ..ship import ship
 
 FUZZY_FLOOR, LEAST_SHARED = 0.94, 0.60
@@ -27,6 +27,13 @@ def findings_index(findings: DataFrame) -> DataFrame:
     )
 
 
+def likely(pairs: DataFrame) -> DataFrame:
+    """Pairs of ``key`` and ``ext_key`` that can reach the floor: enough shared words, and enough shared letters that the ratio, were it as high as letters allow, would do."""
+    shared = token_jaccard("key", "ext_key")
+    enough = (shared >= NEEDED_SHARED - 1e-9) & (0.65 * ratio_bound("key", "ext_key") + 0.35 * shared >= FUZZY_FLOOR - 1e-9)
+    return pairs.filter((F.col("key") == F.col("ext_key")) | enough)
+
+
 def best_matches(local: DataFrame, external: DataFrame) -> DataFrame:
     """The best external name per local entity.
 
@@ -38,7 +45,8 @@ def best_matches(local: DataFrame, external: DataFrame) -> DataFrame:
     their words share one within the first 17 % (and one more) of either, the
     prefix filter of set-similarity joins, so only those words are indexed.
     Common words seldom lie in a prefix, which keeps hot words out of the join.
-    Only pairs that pass go through the ratio, the one Python step.
+    Of these, pairs whose letters can't make up the similarity are dropped
+    (:func:`likely`); only what is left goes through the ratio, the one Python step.
     """
     ship(local.sparkSession)
     mine = local.withColumn("key", name_key("name")).filter("key <> ''").dropDuplicates(["local_id", "key"])
@@ -52,7 +60,7 @@ def best_matches(local: DataFrame, external: DataFrame) -> DataFrame:
     prefix = sized.filter(F.col("at") <= F.col("size") - F.ceil(F.col("size") * NEEDED_SHARED - 1e-9) + 1).select("k", "w")
     left, right = mine.select("key").distinct().join(prefix, F.col("key") == F.col("k")).drop("k"), theirs.select("ext_key").distinct().join(prefix, F.col("ext_key") == F.col("k")).drop("k")
     pairs = left.join(right, "w").select("key", "ext_key").distinct()
-    near = pairs.filter((F.col("key") == F.col("ext_key")) | (token_jaccard("key", "ext_key") >= NEEDED_SHARED - 1e-9))
+    near = likely(pairs)
     scored = near.withColumn("similarity", similarity("key", "ext_key")).filter((F.col("similarity") == 1.0) | (F.col("similarity") >= FUZZY_FLOOR))
     linked = scored.join(mine.withColumnRenamed("region", "local_region"), "key").join(theirs.withColumnRenamed("region", "ext_region").withColumnRenamed("name", "external_name"), "ext_key")
     best = F.row_number().over(Window.partitionBy("local_id").orderBy(F.desc("similarity"), "external_id", "key"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.predicates import total
-from ..operators import dashboard, documents, enrich, evidence, explore, multiyear, priority, search, signals
+from ..operators import bitmaps, dashboard, documents, enrich, evidence, explore, multiyear, priority, search, signals, sketches
 from ..scratch import materialize, shared_dir
 from ..sources import delimited, html_tables, profile, sinks, splits, yearly
 from ..sources.facts import normalize
@@ -225,6 +225,47 @@ def multi_year_states(spark, sf_dir):
     return search.year_states(f, [1990, 1996, 1997, 2030, 2031], sources, f.filter("monto_devengado >= 50000"))
 
 
+# --- stored sketches, bitmaps, scripts ------------------------------------------------------------------------------
+
+
+@query("""c AS (SELECT organization_id, count(monto_devengado) AS n, count(DISTINCT provider_id) FILTER (WHERE provider_id <> '') AS providers FROM facts GROUP BY 1), q AS (SELECT unnest([0.25, 0.5, 0.99]) AS p)
+SELECT organization_id, n, providers, p, TRUE AS near FROM c, q""")
+def sketched_quantiles(spark, sf_dir):
+    """Quantiles of each organisation from sketches stored per year; near: the rank that the value really has is within twice the sketch's error."""
+    f = facts(spark, sf_dir, "organization_id", "periodo", "monto_devengado", "provider_id").withColumn("provider_id", F.expr("nullif(provider_id, '')"))
+    stored = materialize(sketches.sketched(f, ["organization_id"], distinct="provider_id"), "sketches")
+    wanted = {"q25": 0.25, "q50": 0.5, "q99": 0.99}
+    found = materialize(sketches.quantiles_of(sketches.merged(stored, ["organization_id"]), ["organization_id"], wanted), "quantiles")
+    values = found.select(F.col("organization_id").alias("o"), "n", F.col("distinct").alias("providers"), *wanted)
+    # A row an organisation; AQE broadcasts it where it is small.
+    ranks = f.join(values, F.col("organization_id") == F.col("o")).groupBy("organization_id").agg(F.max("n").alias("n"), F.max("providers").alias("providers"), *[F.count_if(F.col("monto_devengado") <= F.col(q)).alias(q) for q in wanted])
+    cases = F.array(*[F.struct(F.lit(p).alias("p"), F.col(q).alias("rank")) for q, p in wanted.items()])
+    rows = ranks.select("organization_id", "n", "providers", F.explode(cases).alias("c"))
+    return rows.select("organization_id", "n", "providers", "c.p", (F.abs(F.col("c.rank") / F.col("n") - F.col("c.p")) <= 2 * sketches.RANK_ERROR + 1 / F.col("n")).alias("near"))
+
+
+@query("""x AS (SELECT 1) SELECT sector AS value, count(*) AS n FROM facts WHERE region IN ('ASIA', 'EUROPE') AND mes IN (1, 2, 3, 7) AND is_honorarium = FALSE GROUP BY 1""")
+def cross_filter_bitmaps(spark, sf_dir):
+    """Rows of each sector under filters of three other dimensions, from bitmaps alone."""
+    f = materialize(facts(spark, sf_dir, "region", "mes", "is_honorarium", "sector"), "filtered")
+    maps = materialize(bitmaps.bitmaps(f, ["region", "mes", "is_honorarium", "sector"]), "bitmaps")
+    return bitmaps.facet(maps, "sector", region=["ASIA", "EUROPE"], mes=[1, 2, 3, 7], is_honorarium=["false"])
+
+
+# Names in several scripts, dealt by supplier.
+_SCRIPTS = ("Điện lực Hà Nội", "ΔΉΜΟΣ ΑΘΗΝΑΊΩΝ", "Йошкар-Ола Ёлка", "Łódź Gżegżółka", "İZMİR Çeşme", "plain name")
+
+
+@query(f"""n AS (SELECT transaction_id, list_extract([{", ".join(f"'{x}'" for x in _SCRIPTS)}], CAST(CAST(substr(nombre_beneficiario, -9) AS BIGINT) % {len(_SCRIPTS)} AS INTEGER) + 1) AS name FROM facts)
+SELECT transaction_id FROM n WHERE lower(strip_accents(name)) LIKE '%ha noi%' OR lower(strip_accents(name)) LIKE '%αθηναιων%' OR lower(strip_accents(name)) LIKE '%елка%'""")
+def search_every_script(spark, sf_dir):
+    """Words of Latin, Greek and Cyrillic letters are found whatever their accents and case."""
+    f = facts(spark, sf_dir, "transaction_id", "nombre_beneficiario")
+    name = F.element_at(F.array(*map(F.lit, _SCRIPTS)), (F.expr("cast(right(nombre_beneficiario, 9) as bigint)") % len(_SCRIPTS)).cast("int") + 1)
+    body = text.fold(name)
+    return f.filter(search.text_condition(body, "Hà_Nội Αθηναίων ёлка".replace("_", ""), "any") | search.text_condition(body, "ha nội", "phrase")).select("transaction_id")
+
+
 # --- detectors over made-up cases -----------------------------------------------------------------------------------
 
 # Some lines occur twice under ids of their own, and in the last year every ninth supplier goes under a new identity.

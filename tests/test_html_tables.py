@@ -81,7 +81,7 @@ def test_loose_pages(html, cells):
 
 def test_spans_are_bounded():
     html = "<table>" + "<tr><td colspan=1000 rowspan=65534>x" * 3000
-    assert sum(len(c) for _, _, grid in tables_of(html) for c, _ in grid) <= MOST_FILLED + 3000
+    assert sum(len(c) for _, _, grid in tables_of(html) for c, _ in grid) <= MOST_FILLED + 3000 + 1000
     deep = "<table><tr><td>" * 3000
     assert len(tables_of(deep)) == 3000
 
