@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.identity import rut_key
 from ..functions.predicates import exact_sum, share, total
 from ..functions.text import fold
 
@@ -57,6 +58,39 @@ def nested_top(edges: DataFrame, services: int = 5, providers: int = 10, flows:
     return mine.join(paid.select("provider_id"), "provider_id", "left_semi").orderBy(F.desc("amount_clp"), "organization_id", "provider_id").limit(flows)
 
 
+#: Flows shown when one organisation, or one provider, is looked at.
+FOCUSED_SERVICE, FOCUSED_PROVIDER = 14, 12
+#: Rows that the tables of services, providers and flows show.
+TABLE_ROWS = {"services": 300, "providers": 300, "flows": 400}
+
+
+def focused_flows(edges: DataFrame, organization: str | None = None, provider: str | None = None) -> DataFrame:
+    """The largest flows of an organisation or a provider; without either those of :func:`nested_top`."""
+    if organization is None and provider is None:
+        return nested_top(edges)
+    mine = scope(edges, organization_id=organization, provider_id=provider)
+    return mine.orderBy(F.desc("amount_clp"), "organization_id", "provider_id").limit(FOCUSED_SERVICE if organization is not None else FOCUSED_PROVIDER)
+
+
+def table_rows(rows: DataFrame, kind: str, names: list[str], text: str = "", amount: str = "amount_clp") -> DataFrame:
+    """What a table shows: rows one of whose ``names`` holds the text (accents and case aside), the largest first."""
+    if text:
+        rows = rows.filter(F.contains(fold(F.concat_ws(" ", *names)), fold(F.lit(text))))
+    return rows.orderBy(F.desc(amount), *names).limit(TABLE_ROWS[kind])
+
+
+def joined_feeds(providers: DataFrame, order: dict[str, str], **feeds: DataFrame) -> DataFrame:
+    """``providers(rut, ...)`` with a record of each feed that has their tax number, however it is written, or null.
+
+    Of several rows of a feed with one number the last by its column ``order[feed]`` counts; rows without a number never match.
+    """
+    out = providers.withColumn("key_", rut_key("rut"))
+    for name, feed in feeds.items():
+        last = feed.withColumn("feed_key_", rut_key("rut")).filter("feed_key_ <> ''").groupBy("feed_key_").agg(F.max_by(F.struct(*feed.columns), order[name]).alias(name))
+        out = out.join(last, F.col("key_") == F.col("feed_key_"), "left").drop("feed_key_")
+    return out.drop("key_")
+
+
 def variation(yearly: DataFrame, key: str) -> DataFrame:
     """Change against the previous year with data."""
     before = F.lag("amount_clp").over(Window.partitionBy(key).orderBy("year"))

@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.predicates import total
-from ..operators import bitmaps, dashboard, documents, enrich, evidence, explore, multiyear, priority, search, signals, sketches
+from ..operators import bitmaps, dashboard, documents, enrich, evidence, explore, multiyear, priority, search, signals, sketches, spend
 from ..scratch import materialize, shared_dir
 from ..sources import delimited, html_tables, profile, sinks, splits, yearly
 from ..sources.facts import normalize
 from ..sources.star import facts
 from . import registry
-from .registry import _ALL, _DUP_KEYS, _DUPLICATE, _EDGES, _MARK_RULES, _MARKS, _PATTERNS, _PRIORITY, _YEAR_COLUMNS, A, PROVIDER, T, _plain, _shown, _written_edges, _edges, query, rounded
+from .registry import _ALL, _DUP_KEYS, _DUPLICATE, _EDGES, _MARK_RULES, _MARKS, _PATTERNS, _PRIORITY, _YEAR_COLUMNS, A, PROVIDER, T, _dominant, _plain, _shown, _written_edges, _edges, query, rounded
 from .shared import detect, full_facts
 from .years import Years
 
@@ -225,6 +225,79 @@ def multi_year_states(spark, sf_dir):
     return search.year_states(f, [1990, 1996, 1997, 2030, 2031], sources, f.filter("monto_devengado >= 50000"))
 
 
+# --- cuts and feeds of the explorer, areas, stubs -------------------------------------------------------------------
+
+_FLOWS = f"{_EDGES}, e AS (SELECT organization_id, provider_id, min(provider_name) AS provider_name, round(sum(amount_clp), 2) AS amount_clp FROM ed GROUP BY 1, 2)"
+
+
+def _flows(spark, sf_dir) -> DataFrame:
+    return _edges(spark, sf_dir)[1].groupBy("organization_id", "provider_id").agg(F.min("provider_name").alias("provider_name"), total("amount_clp").alias("amount_clp"))
+
+
+@query(f"""{_FLOWS}, a AS (SELECT 'service' AS focus, * FROM e WHERE organization_id = 'ORG-07' ORDER BY amount_clp DESC, organization_id, provider_id LIMIT 14), b AS (SELECT 'provider' AS focus, * FROM e WHERE provider_id = 'PRV-000007' ORDER BY amount_clp DESC, organization_id, provider_id LIMIT 12)
+SELECT * FROM a UNION ALL SELECT * FROM b""")
+def flows_in_focus(spark, sf_dir):
+    flows = materialize(_flows(spark, sf_dir), "flows")
+    service, provider = explore.focused_flows(flows, organization="ORG-07"), explore.focused_flows(flows, provider="PRV-000007")
+    return service.withColumn("focus", F.lit("service")).unionByName(provider.withColumn("focus", F.lit("provider")))
+
+
+@query(f"{_FLOWS} SELECT organization_id, provider_id, provider_name, amount_clp FROM e WHERE lower(provider_name || ' ' || organization_id) LIKE '%7 org-1%' ORDER BY amount_clp DESC, provider_name, organization_id LIMIT 400")
+def table_of_flows(spark, sf_dir):
+    return explore.table_rows(_flows(spark, sf_dir), "flows", ["provider_name", "organization_id"], "7 Órg-1").select("organization_id", "provider_id", "provider_name", "amount_clp")
+
+
+@query(f"""p AS (SELECT provider_id, min(rut_beneficiario) AS rut, CAST(substr(provider_id, 5) AS BIGINT) AS k FROM facts WHERE {PROVIDER} GROUP BY 1)
+SELECT provider_id, rut, CASE WHEN k % 2 = 0 THEN 'state ' || CAST(k % 5 + 1 AS VARCHAR) END AS registry, CASE WHEN k % 3 = 0 THEN k % 4 END AS events, k % 5 = 0 AS watched FROM p""")
+def three_feeds(spark, sf_dir):
+    """Providers with three feeds that write tax numbers in forms of their own; the registry has two states of each, of which the later counts."""
+    f = facts(spark, sf_dir, "provider_id", "is_provider", "rut_beneficiario").filter("is_provider and provider_id <> ''")
+    p = materialize(f.groupBy("provider_id").agg(F.min("rut_beneficiario").alias("rut")), "providers")
+    k = F.substring("provider_id", 5, 20).cast("long")
+    dotted = F.lower(F.regexp_replace("rut", r"^(\d+)(\d{3})(\d{3})-", "$1.$2.$3 - "))
+    registry = p.filter(k % 2 == 0).select(dotted.alias("rut"), F.explode(F.array(F.lit(0), F.lit(1))).alias("version"), k.alias("k"))
+    registry = registry.select("rut", "version", F.concat(F.lit("state "), (F.col("k") % 5 + F.col("version")).cast("string")).alias("state"))
+    events = p.filter(k % 3 == 0).select(F.regexp_replace("rut", "-", "").alias("rut"), (k % 4).alias("n")).union(spark.createDataFrame([("", 9), (None, 9)], "rut string, n long"))
+    watched = p.filter(k % 5 == 0).select("rut")
+    rows = explore.joined_feeds(p, {"registry": "version", "events": "n", "watched": "rut"}, registry=registry, events=events, watched=watched)
+    return rows.select("provider_id", "rut", F.col("registry.state").alias("registry"), F.col("events.n").alias("events"), F.col("watched").isNotNull().alias("watched"))
+
+
+@query(f"""s AS (SELECT organization_id, subtitulo AS area, {_dominant("nombre_subtitulo", "abs(monto_devengado)")} AS area_name, coalesce({A}, 0.0) AS amount_clp FROM facts GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY organization_id ORDER BY amount_clp DESC, area) AS rank FROM s WHERE amount_clp <> 0) SELECT organization_id, CAST(rank AS INTEGER) AS rank, area, area_name, amount_clp FROM r WHERE rank <= 12""")
+def largest_areas(spark, sf_dir):
+    f = facts(spark, sf_dir, "organization_id", "subtitulo", "nombre_subtitulo", "monto_devengado")
+    return multiyear.service_areas(f, "subtitulo", "nombre_subtitulo").select("organization_id", F.explode("areas").alias("a")).select("organization_id", "a.*")
+
+
+@query(f"""{_FLOWS}, m AS (SELECT provider_id, min(provider_name) AS flow_name FROM e GROUP BY 1), q AS (SELECT *, CAST(substr(provider_id, 5) AS BIGINT) AS k FROM m)
+SELECT provider_id, CASE WHEN k % 3 = 0 THEN flow_name ELSE 'profile ' || CAST(k AS VARCHAR) END AS provider_name, CASE WHEN k % 3 = 0 THEN 0 ELSE k END AS transactions_l12 FROM q""")
+def compact_providers(spark, sf_dir):
+    """Providers of the compact view; a third of them have no profile and get a stub with the name of their flows."""
+    flows = _flows(spark, sf_dir)
+    k = F.substring("provider_id", 5, 20).cast("long")
+    profiles = flows.select("provider_id").distinct().filter(k % 3 != 0).select("provider_id", F.concat(F.lit("profile "), k.cast("string")).alias("provider_name"), k.alias("transactions_l12"))
+    none = spark.range(0).select(F.lit("").alias("name_key"))
+    return spend.compact(flows, profiles, none, cap=1_000_000)[1].select("provider_id", "provider_name", "transactions_l12")
+
+
+@query("""a AS (SELECT organization_id, min(nombre_area) AS name, min(region) AS region FROM facts GROUP BY 1), x AS (SELECT 'E' || CAST(n_nationkey AS VARCHAR) AS id, n_name AS name, CASE WHEN n_nationkey % 4 = 0 THEN r_name WHEN n_nationkey % 4 = 2 THEN 'ELSEWHERE' END AS region, 'D' || CAST(n_nationkey % 7 AS VARCHAR) AS doc, n_nationkey AS k FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 2 = 0),
+l AS (SELECT a.organization_id, x.id, x.doc, x.k, CASE WHEN x.region IS NULL THEN NULL ELSE x.region = a.region END AS agrees FROM a JOIN x ON a.name = x.name)
+SELECT 'EVL-PA-CGR-' || upper(substr(sha256(concat_ws('|', 'ORGANIZATION', organization_id, id, doc, 'EXACT_NORMALIZED_NAME')), 1, 24)) AS evidence_link_id, organization_id AS local_entity_id, id AS external_entity_id, agrees AS region_agreement,
+       round(least(0.93, (0.92 + CASE WHEN agrees THEN 0.03 WHEN NOT agrees THEN -0.07 ELSE 0 END) * (0.75 + 0.25 * 0.9)), 6) AS confidence, CASE WHEN k % 7 < 3 THEN CAST(2 AS BIGINT) ELSE 0 END AS cgr_finding_count, CASE WHEN k % 7 < 3 THEN 10.0 * (k % 7) + 5 END AS cgr_max_aml_score FROM l""")
+def evidence_links_organizations(spark, sf_dir):
+    """Organisations of the register by any of three names, with what the register found; no two names are near enough for a fuzzy link."""
+    f = facts(spark, sf_dir, "organization_id", "nombre_area", "nombre_capitulo", "nombre_partida", "region")
+    n = spark.read.parquet(f"{sf_dir}/nation.parquet").join(spark.read.parquet(f"{sf_dir}/region.parquet"), F.col("n_regionkey") == F.col("r_regionkey")).filter("n_nationkey % 2 = 0")
+    k = F.col("n_nationkey")
+    region = F.when(k % 4 == 0, F.col("r_name")).when(k % 4 == 2, F.lit("ELSEWHERE"))
+    theirs = n.select(F.concat(F.lit("E"), k.cast("string")).alias("external_id"), F.col("n_name").alias("name"), F.lit("").alias("normalized_name"), region.alias("region"), F.lit(0.9).alias("confidence"), F.concat(F.lit("D"), (k % 7).cast("string")).alias("source_document_id"))
+    found = n.select((k % 7).alias("d")).distinct().filter("d < 3").withColumn("half", F.explode(F.array(F.lit(0.0), F.lit(5.0))))
+    findings = found.select(F.concat(F.lit("D"), F.col("d").cast("string")).alias("document_id"), F.lit("f").alias("finding_id"), (F.col("d") * 10.0 + F.col("half")).alias("aml_score"), F.lit("LOW").alias("severity"), F.lit("x").alias("risk_family"), F.lit("u").alias("source_url"))
+    links = evidence.make_links(evidence.best_matches(evidence.local_organizations(f), theirs), findings, "ORGANIZATION")
+    return links.select(*_LINK_COLUMNS.split(", "))
+
+
 # --- stored sketches, bitmaps, scripts ------------------------------------------------------------------------------
 
 
