@@ -16,20 +16,31 @@ def _seen():
 
 
 def provider_profiles(facts: DataFrame) -> DataFrame:
-    """One row per provider.  Of several names or keys the least is shown, so the result is stable."""
-    return facts.filter(provider_scope()).groupBy("provider_id").agg(
+    """One row per provider.  Of several names or keys the least is shown, so the result is stable.
+
+    What is counted once is made distinct first, map-side, as (provider, kind,
+    value); so no wide row is expanded for a distinct count.  Facts are read twice: give a written table where they are dear.
+    """
+    mine = facts.filter(provider_scope())
+    base = mine.groupBy("provider_id").agg(
         F.min("rut_beneficiario").alias("rut"),
         F.min("beneficiario_id_type").alias("identity_key_type"),
         F.min("nombre_beneficiario").alias("nombre"),
         *_seen(),
         F.count("*").alias("transactions"),
-        F.count_distinct("organization_id").alias("organizations"),
-        F.count_distinct(F.concat_ws("-", F.coalesce("subtitulo", F.lit("")), F.coalesce("item", F.lit("")))).alias("budget_categories"),
         total().alias("amount_devengado"),
         F.avg(finite("monto_devengado")).alias("avg_amount"),
         F.stddev_pop(finite("monto_devengado")).alias("sd_amount"),
-        F.count_distinct(F.coalesce("nombre_ubicacion_geografica", F.lit(""))).alias("geographic_destinations"),
     )
+    kinds = {
+        "organizations": F.col("organization_id"),
+        "budget_categories": F.concat_ws("-", F.coalesce("subtitulo", F.lit("")), F.coalesce("item", F.lit(""))),
+        "geographic_destinations": F.coalesce("nombre_ubicacion_geografica", F.lit("")),
+    }
+    values = F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in kinds.items()])
+    pairs = mine.select(F.col("provider_id").alias("p"), F.explode(values).alias("v")).select("p", "v.*").distinct()
+    counts = pairs.groupBy("p").agg(*[F.count(F.when(F.col("kind") == k, F.col("value"))).alias(k) for k in kinds])
+    return base.join(counts, F.col("provider_id") == F.col("p")).drop("p")
 
 
 def recipient_profiles(facts: DataFrame) -> DataFrame:

@@ -251,7 +251,8 @@ def payment_delay(spark, sf_dir):
 
 @query(f"""{_newcomer("recipient_id || '/' || provider_id")} {_shown('s_newcomer')}""")
 def new_to_series(spark, sf_dir):
-    return _plain(signals.new_to_series(facts(spark, sf_dir, *detect("")), T, F.concat_ws("/", "recipient_id", "provider_id")))
+    f = materialize(facts(spark, sf_dir, *detect("")), "facts")  # read in several branches
+    return _plain(signals.new_to_series(f, T, F.concat_ws("/", "recipient_id", "provider_id")))
 
 
 _ALL = ",".join([_OUTLIER, _FRAGMENT, _spike("organization_id").format(ratio=T.spike_ratio), _DUPLICATE.format(keys=_DUP_KEYS), _concentrated("organization_id", T.concentration_min_share, T.concentration_min_hhi, T.concentration_min_amount), _DELAY, _newcomer("provider_id")]) + f""",
