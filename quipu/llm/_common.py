@@ -20,7 +20,10 @@ BATCH_BYTES = 16 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds, so that a worker's memory does not follow the text lengths, and ship this package to the workers."""
+    """Bound what one Arrow batch holds, so that a worker's memory does not follow the text lengths, and ship this package to the workers.
+
+    The two settings stay for the rest of the session: plans are lazy, so they must hold when a result is read.
+    """
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

@@ -12,8 +12,10 @@ by default), not a function of the data, so the broadcast is bounded; no row is
 shuffled, whatever key is hot.
 
 Defined results
-    null key: hashed like the empty string.  Repeated rows go to the same shard.
-    Extra columns are ignored by the digest and kept by :func:`place`.
+    null key: hashed like the empty string.  A key of any length is hashed
+    whole.  Repeated rows go to the same shard.  Extra columns are ignored by the
+    digest and kept by :func:`place`, which gives its own columns names that
+    clash with none; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -18,7 +18,9 @@ to UTF-8.
 Defined results
     null or empty text: begin and end ids alone, decoded as the empty text.
     Letters without a piece become byte pieces.  Repeated rows and rows without
-    a key are encoded one by one; extra columns are ignored.
+    a key are encoded one by one.  A very long text, or word, is encoded whole;
+    the table of a word is as long as the word.  Extra columns, whatever their names, are
+    ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
