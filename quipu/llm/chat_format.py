@@ -12,7 +12,9 @@ costs before them, in the order of the dialogue, lie in the same stretch of
 characters is one; the windows of a longer one, one after the other, are the
 dialogue, and first_turn says how many turns lie before a window.  The order of
 long ones is found by range partitions and sums: no conversation, however hot,
-meets in one task.
+meets in one task.  A view is as long as its dialogue, so a dialogue is written as
+often as it has speakers; where these are many, views are shared out
+among tasks before they are rendered.
 
 Markers in names and texts are escaped, so that no text can open or close a
 turn: one backslash is put after the "<" of every "<|" (and of every "<\|",
@@ -40,6 +42,9 @@ WINDOW_COST = 16 << 20
 #: What a turn costs besides its characters; it bounds the turns of a window, whose spans are put together one after the other.
 TURN_COST = 1024
 
+#: Turns times speakers from which on a dialogue's views are shared out among tasks; it changes no row.
+DEALT_PIECES = 1 << 18
+
 # The markers of the rendered form.
 OPEN, NAME, HEAD_END, CLOSE = "<|im_start|>", " name=", "\n", "<|im_end|>\n"
 
@@ -118,7 +123,11 @@ def rotate_perspectives(conversations: DataFrame, window_cost: int = WINDOW_COST
     whole = (turns.join(long, is_long, "left_anti") if some else turns).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct(*ORDER))).alias("turns"))
     speakers = F.array_distinct(F.transform(F.filter("turns", lambda t: t["name"] != "system"), lambda t: t["name"]))
     zero = F.lit(0).cast("long")
-    viewed = whole.select("conv_id", zero.alias("window_no"), zero.alias("first_turn"), "turns", F.explode(speakers).alias("speaker"))
+    views = lambda rows: rows.select("conv_id", zero.alias("window_no"), zero.alias("first_turn"), "turns", F.explode("speakers").alias("speaker"))
+    whole = whole.withColumn("speakers", speakers)
+    pieces = F.size("speakers").cast("long") * F.size("turns")
+    # The views of a dialogue of many speakers are dealt out before they are rendered; all others are rendered where they are.
+    viewed = views(whole.filter(pieces <= DEALT_PIECES)).unionByName(views(whole.filter(pieces > DEALT_PIECES)).repartition("conv_id", "speaker"))
     if some:
         people = perspectives(conversations).join(long, F.col("conv_id").eqNullSafe(F.col("c")), "left_semi").select(F.col("conv_id").alias("c"), "speaker")
         windows = _windows(turns.join(long, is_long, "left_semi"), window_cost)
