@@ -284,7 +284,7 @@ def compact_providers(spark, sf_dir):
 @query("""a AS (SELECT organization_id, min(nombre_area) AS name, min(region) AS region FROM facts GROUP BY 1), x AS (SELECT 'E' || CAST(n_nationkey AS VARCHAR) AS id, n_name AS name, CASE WHEN n_nationkey % 4 = 0 THEN r_name WHEN n_nationkey % 4 = 2 THEN 'ELSEWHERE' END AS region, 'D' || CAST(n_nationkey % 7 AS VARCHAR) AS doc, n_nationkey AS k FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 2 = 0),
 l AS (SELECT a.organization_id, x.id, x.doc, x.k, CASE WHEN x.region IS NULL THEN NULL ELSE x.region = a.region END AS agrees FROM a JOIN x ON a.name = x.name)
 SELECT 'EVL-PA-CGR-' || upper(substr(sha256(concat_ws('|', 'ORGANIZATION', organization_id, id, doc, 'EXACT_NORMALIZED_NAME')), 1, 24)) AS evidence_link_id, organization_id AS local_entity_id, id AS external_entity_id, agrees AS region_agreement,
-       round(least(0.93, (0.92 + CASE WHEN agrees THEN 0.03 WHEN NOT agrees THEN -0.07 ELSE 0 END) * (0.75 + 0.25 * 0.9)), 6) AS confidence, CASE WHEN k % 7 < 3 THEN CAST(2 AS BIGINT) ELSE 0 END AS cgr_finding_count, CASE WHEN k % 7 < 3 THEN 10.0 * (k % 7) + 5 END AS cgr_max_aml_score FROM l""")
+       CAST(round(least(0.93, (0.92 + CASE WHEN agrees THEN 0.03 WHEN NOT agrees THEN -0.07 ELSE 0 END) * (0.75 + 0.25 * 0.9)), 6) AS DOUBLE) AS confidence, CASE WHEN k % 7 < 3 THEN CAST(2 AS BIGINT) ELSE 0 END AS cgr_finding_count, CASE WHEN k % 7 < 3 THEN CAST(10.0 * (k % 7) + 5 AS DOUBLE) END AS cgr_max_aml_score FROM l""")
 def evidence_links_organizations(spark, sf_dir):
     """Organisations of the register by any of three names, with what the register found; no two names are near enough for a fuzzy link."""
     f = facts(spark, sf_dir, "organization_id", "nombre_area", "nombre_capitulo", "nombre_partida", "region")
@@ -301,7 +301,7 @@ def evidence_links_organizations(spark, sf_dir):
 # --- stored sketches, bitmaps, scripts ------------------------------------------------------------------------------
 
 
-@query("""c AS (SELECT organization_id, count(monto_devengado) AS n, count(DISTINCT provider_id) FILTER (WHERE provider_id <> '') AS providers FROM facts GROUP BY 1), q AS (SELECT unnest([0.25, 0.5, 0.99]) AS p)
+@query("""c AS (SELECT organization_id, count(monto_devengado) AS n, count(DISTINCT provider_id) FILTER (WHERE provider_id <> '') AS providers FROM facts GROUP BY 1), q AS (SELECT CAST(unnest([0.25, 0.5, 0.99]) AS DOUBLE) AS p)
 SELECT organization_id, n, providers, p, TRUE AS near FROM c, q""")
 def sketched_quantiles(spark, sf_dir):
     """Quantiles of each organisation from sketches stored per year; near: the rank that the value really has is within twice the sketch's error."""
