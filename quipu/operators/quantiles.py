@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import finite
-
 #: Buckets per doubling of 1 + |value|.
 FINENESS = 256
 
@@ -34,7 +32,7 @@ def quantiles(rows: DataFrame, group: list[str], value: str, wanted: dict[str, f
     """
     one = F.lit(0).alias("whole_")
     by = group or ["whole_"]
-    own = rows.select(*[F.col(g) for g in group] or [one], finite(F.col(value).cast("double")).alias("value_")).filter("value_ is not null")
+    own = rows.select(*[F.col(g) for g in group] or [one], F.col(value).cast("double").alias("value_")).filter(F.abs("value_") < float("inf"))
     own = own.withColumn("bucket_", F.floor(F.signum("value_") * F.log2(1 + F.abs("value_")) * FINENESS).cast("int"))
     counts = own.groupBy(*by, "bucket_").agg(F.count("*").alias("c_"))
     over = Window.partitionBy(*by)

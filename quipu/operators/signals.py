@@ -111,6 +111,11 @@ def known_amounts(facts: DataFrame) -> DataFrame:
     return facts.withColumn("monto_devengado", finite("monto_devengado"))
 
 
+def below_infinity(c: str) -> Column:
+    """The same rule as a condition, for rows that a missing value drops anyway; NaN is above all numbers."""
+    return F.col(c) < float("inf")
+
+
 def robust_outliers(rows: DataFrame, group: list[str], value: str, z: float, min_group: int, min_ratio: float, quantile: float) -> DataFrame:
     """Rows of ``rows`` far above their group: ``med``, ``mad``, ``q`` and the robust score ``z`` are added; values that are NaN or infinite are missing.
 
@@ -120,7 +125,7 @@ def robust_outliers(rows: DataFrame, group: list[str], value: str, z: float, min
     are small next to the rows, so AQE broadcasts them when they are.
     """
     log = lambda c: F.log(1 + F.greatest(F.col(c), F.lit(0.0)))
-    rows = rows.withColumn(value, finite(F.col(value).cast("double")))
+    rows = rows.filter(F.abs(value) < float("inf"))
     b = rows.withColumn("x", log(value))
     first = quantiles(rows, group, value, {"med": 0.5, "q": quantile}, least=min_group)
     half = F.when(F.col("n") % 2 == 0, 0.5).otherwise(0.0)
@@ -133,7 +138,7 @@ def robust_outliers(rows: DataFrame, group: list[str], value: str, z: float, min
 
 
 def amount_outlier(facts: DataFrame, t: Thresholds = Thresholds(), provider_only: bool = True, exclude_aggregated: bool = True) -> DataFrame:
-    rows = known_amounts(facts).filter(F.col("monto_devengado") >= 0)
+    rows = facts.filter((F.col("monto_devengado") >= 0) & below_infinity("monto_devengado"))
     rows = rows.filter(provider_scope()) if provider_only else rows
     rows = rows.filter(not_aggregated()) if exclude_aggregated else rows
     rows = rows.withColumns({"subtitulo": F.coalesce("subtitulo", F.lit("")), "item": F.coalesce("item", F.lit(""))})
@@ -142,7 +147,7 @@ def amount_outlier(facts: DataFrame, t: Thresholds = Thresholds(), provider_only
 
 
 def fragmentation(facts: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
-    rows = known_amounts(facts).filter(provider_scope() & not_aggregated() & F.col("fecha_documento").isNotNull() & (F.col("monto_devengado") > 0))
+    rows = facts.filter(provider_scope() & not_aggregated() & F.col("fecha_documento").isNotNull() & (F.col("monto_devengado") > 0) & below_infinity("monto_devengado"))
     week = F.date_trunc("week", F.col("fecha_documento")).alias("week")
     groups = rows.groupBy("organization_id", "provider_id", "recipient_id", F.coalesce("item", F.lit("")).alias("item"), week).agg(
         F.count("*").alias("n"), F.avg("monto_devengado").alias("mean"), F.stddev_pop("monto_devengado").alias("sd"),
@@ -155,7 +160,7 @@ def fragmentation(facts: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
 
 def year_end_spike(facts: DataFrame, t: Thresholds = Thresholds(), entity: str = "organization_id") -> DataFrame:
     """Averages run over the months that have a known amount; the least transaction is that of all rows; a year without November and December gives nothing."""
-    monthly = known_amounts(facts).groupBy(entity, "periodo", "mes").agg(total().alias("amount"), F.min("transaction_id").alias("transaction_id"))
+    monthly = facts.groupBy(entity, "periodo", "mes").agg(total().alias("amount"), F.min("transaction_id").alias("transaction_id"))
     yearly = monthly.groupBy(entity, "periodo").agg(
         F.avg(F.when(F.col("mes").between(1, 10), F.col("amount"))).alias("base"),
         F.avg(F.when(F.col("mes").between(11, 12), F.col("amount"))).alias("end"),
@@ -176,7 +181,7 @@ def exact_duplicates(facts: DataFrame, keys: list[str] | None = None) -> DataFra
 
 def provider_concentration(facts: DataFrame, t: Thresholds = Thresholds(), entity: str = "organization_id") -> DataFrame:
     """The dominant provider of an organisation and year.  The windows run over (entity, year, provider) sums, not over facts."""
-    spend = known_amounts(facts).filter(provider_scope() & not_aggregated() & (F.col("monto_devengado") > 0)).groupBy(entity, "periodo", "provider_id").agg(
+    spend = facts.filter(provider_scope() & not_aggregated() & (F.col("monto_devengado") > 0) & below_infinity("monto_devengado")).groupBy(entity, "periodo", "provider_id").agg(
         F.min("recipient_id").alias("recipient_id"), total().alias("amount"), F.min("transaction_id").alias("transaction_id"), F.min("mes").alias("mes")
     )
     # Two aggregates and a per-key maximum instead of windows: each is partial map-side, so no year of an organisation has to fit in one task.
