@@ -13,6 +13,7 @@ from ..functions.identity import short_md5
 from ..functions.predicates import not_aggregated, provider_scope, total
 from ..functions.text import finite
 from ..scratch import materialize
+from .narrow import alike, reaching, repeated
 from .quantiles import quantiles
 
 #: Rules compare amounts with quantiles; both sides of the comparison carry rounding of the last bit.
@@ -133,6 +134,8 @@ def robust_outliers(rows: DataFrame, group: list[str], value: str, z: float, min
     first = materialize(first.withColumn("med_x", log("med_low") + (log("med_high") - log("med_low")) * half).select(*group, "med", "q", "med_x"), "medians")
     spread = quantiles(b.join(first.select(*group, "med_x"), group).withColumn("dev", F.abs(F.col("x") - F.col("med_x"))), group, "dev", {"mad": 0.5})
     stats = first.join(spread.select(*group, "mad"), group).filter("mad > 0")
+    # Whole rows are moved for the join, so those that lie below every limit they could meet stay where they are.
+    b = reaching(b, first, group, value, F.greatest(F.col("q"), F.col("med") * min_ratio) - SLACK)
     scored = b.join(stats, group).withColumn("z", 0.6745 * (F.col("x") - F.col("med_x")) / F.col("mad"))
     return scored.filter((F.col(value) >= F.col("q") - SLACK) & (F.col(value) >= F.col("med") * min_ratio - SLACK) & (F.col("z") >= z - SLACK)).drop("x")
 
@@ -148,8 +151,9 @@ def amount_outlier(facts: DataFrame, t: Thresholds = Thresholds(), provider_only
 
 def fragmentation(facts: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     rows = facts.filter(provider_scope() & not_aggregated() & F.col("fecha_documento").isNotNull() & (F.col("monto_devengado") > 0) & below_infinity("monto_devengado"))
-    week = F.date_trunc("week", F.col("fecha_documento")).alias("week")
-    groups = rows.groupBy("organization_id", "provider_id", "recipient_id", F.coalesce("item", F.lit("")).alias("item"), week).agg(
+    keys = ["organization_id", "provider_id", "recipient_id", "item", "week"]
+    rows = rows.withColumns({"item": F.coalesce("item", F.lit("")), "week": F.date_trunc("week", F.col("fecha_documento"))})
+    groups = repeated(rows, keys, t.fragment_min).groupBy(*keys).agg(
         F.count("*").alias("n"), F.avg("monto_devengado").alias("mean"), F.stddev_pop("monto_devengado").alias("sd"),
         F.min("transaction_id").alias("transaction_id"), F.min("periodo").alias("periodo"), F.min("mes").alias("mes"),
     )
@@ -173,21 +177,23 @@ def year_end_spike(facts: DataFrame, t: Thresholds = Thresholds(), entity: str =
 
 def exact_duplicates(facts: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Groups of rows that agree in period, parties, document, amount and folio (or in ``keys`` besides period and parties)."""
-    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-    by = [blank(c) for c in keys] if keys is not None else [blank("numero_documento"), blank("fecha_documento"), F.coalesce(F.col("monto_devengado").cast("decimal(20,2)").cast("string"), F.lit("")).alias("amount_key"), blank("folio")]
-    groups = known_amounts(facts).filter(not_aggregated()).groupBy("periodo", "mes", "organization_id", "recipient_id", *by).agg(F.max("provider_id").alias("provider_id"), F.count("*").alias("n"), F.min("transaction_id").alias("transaction_id"))
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    amount = F.coalesce(F.col("monto_devengado").cast("decimal(20,2)").cast("string"), F.lit(""))
+    own = {f"key_{k}": blank(c) for k, c in enumerate(keys)} if keys is not None else {"key_doc": blank("numero_documento"), "key_date": blank("fecha_documento"), "key_amount": amount, "key_folio": blank("folio")}
+    by = ["periodo", "mes", "organization_id", "recipient_id", *own]
+    rows = known_amounts(facts).filter(not_aggregated()).withColumns(own)
+    groups = repeated(rows, by).groupBy(*by).agg(F.max("provider_id").alias("provider_id"), F.count("*").alias("n"), F.min("transaction_id").alias("transaction_id"))
     return _signals(groups.filter("n > 1"), "EXACT_DUPLICATE_CANDIDATE", ("transaction_id",), "n", F.lit(1), F.col("n") - 1, F.lit("HIGH"), id_stem="EXACT_DUPLICATE")
 
 
 def provider_concentration(facts: DataFrame, t: Thresholds = Thresholds(), entity: str = "organization_id") -> DataFrame:
-    """The dominant provider of an organisation and year.  The windows run over (entity, year, provider) sums, not over facts."""
-    spend = facts.filter(provider_scope() & not_aggregated() & (F.col("monto_devengado") > 0) & below_infinity("monto_devengado")).groupBy(entity, "periodo", "provider_id").agg(
-        F.min("recipient_id").alias("recipient_id"), total().alias("amount"), F.min("transaction_id").alias("transaction_id"), F.min("mes").alias("mes")
-    )
+    """The dominant provider of an organisation and year; sums alone are moved, and the rows of those found are looked at again for their ids."""
+    rows = facts.filter(provider_scope() & not_aggregated() & (F.col("monto_devengado") > 0) & below_infinity("monto_devengado"))
+    spend = rows.groupBy(entity, "periodo", "provider_id").agg(total().alias("amount"))
     # Two aggregates and a per-key maximum instead of windows: each is partial map-side, so no year of an organisation has to fit in one task.
     whole = spend.groupBy(entity, "periodo").agg(
         total("amount").alias("total"), F.count("*").alias("providers"), F.sum(F.pow("amount", F.lit(2.0))).alias("squares"),
-        F.min_by(F.struct("provider_id", "recipient_id", "transaction_id", "mes", "amount"), F.struct(-F.col("amount"), F.col("provider_id"))).alias("top"),
+        F.min_by(F.struct("provider_id", "amount"), F.struct(-F.col("amount"), F.col("provider_id"))).alias("top"),
     )
     found = whole.filter("total > 0").select(
         entity, "periodo", "providers", "top.*", (F.col("top.amount") / F.col("total")).alias("share"), (F.col("squares") / (F.col("total") * F.col("total"))).alias("hhi")
@@ -196,6 +202,10 @@ def provider_concentration(facts: DataFrame, t: Thresholds = Thresholds(), entit
         (F.col("providers") >= t.concentration_min_providers) & (F.col("share") >= t.concentration_min_share - SLACK)
         & (F.col("hhi") >= t.concentration_min_hhi - SLACK) & (F.col("amount") >= t.concentration_min_amount)
     )
+    kept = materialize(kept, "dominant")
+    key = [entity, "periodo", "provider_id"]
+    ids = alike(rows, kept, key).groupBy(*key).agg(F.min("recipient_id").alias("recipient_id"), F.min("transaction_id").alias("transaction_id"), F.min("mes").alias("mes"))
+    kept = alike(kept, ids, key, "recipient_id", "transaction_id", "mes")
     severity = F.when((F.col("share") >= 0.65 - SLACK) | (F.col("hhi") >= 0.40 - SLACK), "HIGH").otherwise("MEDIUM")
     sep = F.lit("|")
     return _signals(kept, "PROVIDER_CONCENTRATION", (entity, sep, "periodo", sep, "provider_id"), "share", 1.0 / F.col("providers"), "hhi", severity, organization_id=F.col(entity))
@@ -205,7 +215,7 @@ def payment_delay(facts: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """Days are few distinct numbers, so what a quantile of them holds is small however many rows a group has."""
     rows = facts.filter(provider_scope() & not_aggregated()).withColumn("days", F.col("dias_de_pago").try_cast("double")).filter("days >= 0")
     stats = rows.groupBy("organization_id").agg(F.count("*").alias("n"), F.median("days").alias("med"), F.percentile("days", F.lit(t.delay_quantile)).alias("q"))
-    stats = stats.filter(F.col("n") >= t.delay_min_group)
+    stats = materialize(stats.filter(F.col("n") >= t.delay_min_group), "delays")  # so that its size is known, and rows stay where they are if it is small
     found = rows.join(stats, "organization_id").filter(
         (F.col("days") >= t.delay_min_days) & (F.col("days") >= F.col("q") - SLACK) & ((F.col("med") <= 0) | (F.col("days") >= F.col("med") * 2))
     )
@@ -216,22 +226,24 @@ def payment_delay(facts: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
 def new_to_series(facts: DataFrame, t: Thresholds = Thresholds(), entity: Column | str = "provider_id") -> DataFrame:
     """Providers first seen in the series' last year.
 
-    First sight counts aggregated rows, current spend does not.  One pass
-    gathers both per (provider, year); the joins meet pre-aggregated rows only.
+    First sight counts aggregated rows, current spend does not.  First years
+    are minima per provider; only the last year's rows of newcomers are
+    gathered.  The series' ends become literals.
     """
     who = F.col(entity) if isinstance(entity, str) else entity
     mine = facts.filter(provider_scope()).withColumn("who", who)
     own = ~F.coalesce(F.col("is_aggregated"), F.lit(False))
-    last = facts.agg(F.max("periodo").alias("last_year"), F.min("periodo").alias("first_of_all"))
-    yearly = mine.groupBy("who", "periodo").agg(
+    first, last = facts.agg(F.min("periodo"), F.max("periodo")).first()
+    last_year = F.lit(last).cast("long")
+    fresh = mine.groupBy("who").agg(F.min("periodo").alias("first_year")).filter((F.col("first_year") == last_year) & F.lit(first != last)).select("who")
+    newcomers = alike(mine.filter(F.col("periodo") == last_year), materialize(fresh, "newcomers"), ["who"])
+    yearly = newcomers.groupBy("who", "periodo").agg(
         F.min(F.when(own, F.col("provider_id"))).alias("provider_id"), F.min(F.when(own, F.col("recipient_id"))).alias("recipient_id"),
         F.min(F.when(own, F.col("organization_id"))).alias("organization_id"), F.min(F.when(own, F.col("transaction_id"))).alias("transaction_id"),
         F.min(F.when(own, F.col("mes"))).alias("mes"), F.count(F.when(own, 1)).alias("tx"),
         F.count_distinct(F.when(own, F.col("organization_id"))).alias("organizations"), total(when=own).alias("amount"),
     )
-    seen = yearly.withColumn("first_year", F.min("periodo").over(Window.partitionBy("who")))
-    # One row: a proven bound for the broadcast.
-    current = seen.crossJoin(F.broadcast(last)).filter("first_year = last_year and periodo = last_year and last_year > first_of_all and tx > 0")
+    current = materialize(yearly.filter("tx > 0"), "current")  # read by two branches
     q = quantiles(current, [], "amount", {"q": t.newcomer_quantile}).select("q")
     found = current.join(F.broadcast(q), how="left").filter((F.col("tx") >= t.newcomer_min_tx) & (F.col("amount") >= F.greatest(F.lit(t.newcomer_min_amount), F.coalesce("q", F.lit(0.0))) - SLACK))
     return _signals(found, "NEW_TO_SERIES_HIGH_SPEND", ("who", F.lit("|"), "periodo"), "amount", "q", "organizations", F.when(F.col("organizations") >= 3, "HIGH").otherwise("MEDIUM"))
