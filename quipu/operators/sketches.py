@@ -3,7 +3,9 @@
 A sketch of a group and year is some kilobytes, whatever the rows: years are
 added by merging, without their rows.  Counts are exact; a quantile's
 rank is off by ``RANK_ERROR`` of the rows at most, by the sketch's own bound at
-99 %; distinct counts are exact up to ``2**LG_ENTRIES`` and within some 3 % beyond.
+99 %; distinct counts from sketches are exact up to ``2**LG_ENTRIES`` and within
+some 3 % beyond.  Where they must be exact at any number, :func:`things` stores
+what occurs in a group and year, a row each, and :func:`counted` merges years.
 """
 
 from __future__ import annotations
@@ -33,3 +35,13 @@ def quantiles_of(sketches: DataFrame, group: list[str], wanted: dict[str, float]
     n = F.kll_sketch_get_n_double("values")
     found = {name: F.when(n > 0, F.kll_sketch_get_quantile_double("values", F.lit(p))) for name, p in wanted.items()}
     return sketches.select(*group, n.alias("n"), F.theta_sketch_estimate("things").alias("distinct"), *[c.alias(name) for name, c in found.items()])
+
+
+def things(facts: DataFrame, group: list[str], distinct: str) -> DataFrame:
+    """(group, year, thing): what to store per group and year for distinct counts that are exact at any number."""
+    return facts.filter(F.col(distinct).isNotNull()).select(*group, F.col("periodo").alias("year"), F.col(distinct).alias("thing")).distinct()
+
+
+def counted(stored: DataFrame, group: list[str]) -> DataFrame:
+    """The distinct things of each ``group`` over all stored years; a group without any has no row."""
+    return stored.select(*group, "thing").distinct().groupBy(*group).agg(F.count("*").alias("distinct"))

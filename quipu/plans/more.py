@@ -304,12 +304,15 @@ def evidence_links_organizations(spark, sf_dir):
 @query("""c AS (SELECT organization_id, count(monto_devengado) AS n, count(DISTINCT provider_id) FILTER (WHERE provider_id <> '') AS providers FROM facts GROUP BY 1), q AS (SELECT CAST(unnest([0.25, 0.5, 0.99]) AS DOUBLE) AS p)
 SELECT organization_id, n, providers, p, TRUE AS near FROM c, q""")
 def sketched_quantiles(spark, sf_dir):
-    """Quantiles of each organisation from sketches stored per year; near: the rank that the value really has is within twice the sketch's error."""
+    """Quantiles of each organisation from sketches stored per year, and its providers from what is stored of each year; near: the rank that the value really has is within twice the sketch's error."""
     f = facts(spark, sf_dir, "organization_id", "periodo", "monto_devengado", "provider_id").withColumn("provider_id", F.expr("nullif(provider_id, '')"))
-    stored = materialize(sketches.sketched(f, ["organization_id"], distinct="provider_id"), "sketches")
+    stored = materialize(sketches.sketched(f, ["organization_id"]), "sketches")
+    things = materialize(sketches.things(f, ["organization_id"], "provider_id"), "things")
     wanted = {"q25": 0.25, "q50": 0.5, "q99": 0.99}
     found = materialize(sketches.quantiles_of(sketches.merged(stored, ["organization_id"]), ["organization_id"], wanted), "quantiles")
-    values = found.select(F.col("organization_id").alias("o"), "n", F.col("distinct").alias("providers"), *wanted)
+    counted = sketches.counted(things, ["organization_id"]).select(F.col("organization_id").alias("counted"), F.col("distinct").alias("providers"))
+    values = found.join(counted, F.col("organization_id") == F.col("counted"), "left").select(F.col("organization_id").alias("o"), "n", F.coalesce("providers", F.lit(0)).alias("providers"), *wanted)
+    values = materialize(values, "values")
     # A row an organisation; AQE broadcasts it where it is small.
     ranks = f.join(values, F.col("organization_id") == F.col("o")).groupBy("organization_id").agg(F.max("n").alias("n"), F.max("providers").alias("providers"), *[F.count_if(F.col("monto_devengado") <= F.col(q)).alias(q) for q in wanted])
     cases = F.array(*[F.struct(F.lit(p).alias("p"), F.col(q).alias("rank")) for q, p in wanted.items()])

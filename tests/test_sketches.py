@@ -65,3 +65,16 @@ def test_letters_bound_the_ratio(spark):
     after = evidence.likely(some)
     linked = lambda rows: sorted(map(tuple, rows.withColumn("s", evidence.similarity("key", "ext_key")).filter(F.col("s") >= evidence.FUZZY_FLOOR).select("key", "ext_key").collect()))
     assert after.count() < 0.7 * before.count() and linked(after) == linked(before) != []
+
+
+def test_sketched_query_counts_providers_beyond_the_sketch(spark, tmp_path):
+    """Six thousand providers of one organisation, over 2**LG_ENTRIES, are counted exactly."""
+    from quipu.plans import more
+
+    n = 6000
+    k = F.col("id")
+    day = F.lit("1996-01-02").cast("timestamp")
+    spark.range(n).select(k.alias("l_orderkey"), F.lit(1).alias("l_linenumber"), k.alias("l_partkey"), k.alias("l_suppkey"), F.lit(1.0).alias("l_quantity"), k.cast("double").alias("l_extendedprice"), F.lit(0.0).alias("l_discount"), F.lit("A").alias("l_returnflag"), F.lit("O").alias("l_linestatus"), day.alias("l_shipdate")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(n).select(k.alias("o_orderkey"), F.lit(1).alias("o_custkey"), F.lit("O").alias("o_orderstatus"), day.alias("o_orderdate"), F.lit("2-HIGH").alias("o_orderpriority")).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(2).select(k.alias("c_custkey"), F.lit(3).alias("c_nationkey"), F.lit("x").alias("c_mktsegment")).write.parquet(f"{tmp_path}/customer.parquet")
+    assert {(r["n"], r["providers"], r["near"]) for r in more.sketched_quantiles(spark, str(tmp_path)).collect()} == {(n, n, True)}
