@@ -94,14 +94,20 @@ def held_out(key: Column, folds: int = 5) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % folds == 0
 
 
+def labelled(labels: DataFrame, value: Column, folds: int = 5) -> DataFrame:
+    """(labelled_id, value): the keys of ``labels`` that have a value and aren't held out.  ``value`` is an aggregate, since keys may be repeated."""
+    rows = labels.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), folds))
+    return rows.groupBy(F.col("doc_id").alias("labelled_id")).agg(value.alias("value")).filter("value is not null")
+
+
 def labelled_sample(labels: DataFrame, value: Column, most: int, folds: int = 5) -> DataFrame:
-    """(labelled_id, value): about ``most`` of the keys of ``labels`` that have a value and aren't held out, or all if there are fewer.
+    """About ``most`` rows of :func:`labelled`, or all if there are fewer.
 
-    ``value`` is an aggregate, since keys may be repeated.  The keys are those
-    whose hash lies below a level set from their count, so that nothing is
-    sorted; twice ``most`` is a bound that no hash of a larger table passes.
+    The keys are those whose hash lies below a level set from their count, so
+    that nothing is sorted; twice ``most`` is a bound that no hash of a larger
+    table passes.
     """
-    rows = labels.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), folds)).groupBy(F.col("doc_id").alias("labelled_id")).agg(value.alias("value")).filter("value is not null")
+    rows = labelled(labels, value, folds)
     scale = 1 << 40
     level = scale * most // max(rows.count(), most)
     return rows.filter(F.pmod(F.xxhash64("labelled_id"), F.lit(scale)) < level)

@@ -10,6 +10,7 @@ import pytest
 import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quipu.llm import quality
 from quipu.llm.queries import op7_quality_rules
@@ -157,3 +158,20 @@ def test_repeated_words_with_many_distinct_ones():
         assert quality.repeated_words(words) == plain_counts(" ".join(words))[4]
     far = [str(k) for k in range(1_100_000)]
     assert quality.repeated_words(far + far[:3]) == 6
+
+
+def test_fit_sees_every_label(spark, tmp_path):
+    """30,000 labelled texts, more than any sample of the fit ever was: the bands are those of all of them."""
+    words = "some plain words of a text that is as good as any other one here and there".split()
+    rng = random.Random(11)
+    texts = [" ".join(rng.choices(words, k=60)) for _ in range(200)]
+    pick = F.array(*[F.lit(t) for t in texts])
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.element_at(pick, (F.pmod(F.xxhash64("id"), F.lit(200)) + 1).cast("int")), F.lit(" "), F.md5(F.col("id").cast("string"))).alias("text"))
+    docs.repartition(4).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    squeeze = zstandard.ZstdCompressor(level=quality.Bands().level).compress
+    seen = [(len(t.encode()), *quality.ratios(t.encode(), quality.Bands(), squeeze)) for k, t in docs.collect() if zlib.crc32(str(k).encode()) % 5 and not quality.base_counts(t)[-1]]
+    plain = quality.fitted(*np.array(seen).T, quality.FitParams(), quality.Bands())
+    got = quality.fit(docs, labels)
+    assert np.allclose(got.centre, plain.centre, rtol=0, atol=1e-9) and np.allclose(got.spread, plain.spread, rtol=0, atol=1e-9)
