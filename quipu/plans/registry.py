@@ -561,7 +561,7 @@ SELECT transaction_id AS doc, round(-score, 6) AS rank FROM s ORDER BY round(-sc
 
 @query(_BM25)
 def bm25_facts(spark, sf_dir):
-    rows = facts(spark, sf_dir, "transaction_id", "nombre_beneficiario", "nombre_item", "region")
+    rows = materialize(facts(spark, sf_dir, "transaction_id", "nombre_beneficiario", "nombre_item", "region"), "facts")  # read in several branches
     index = fulltext.build_index(rows, "transaction_id", ["nombre_beneficiario", "nombre_item", "region"])
     return rounded(fulltext.search(index, "asia OR promo", 50), "rank")
 
