@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import blank_to_null, present
 from ..functions.text import finite
+from ..scratch import materialize
+from .narrow import sieve
 from .signals import severity_rank
 
 # Points by type of signal.
@@ -37,13 +39,17 @@ def _evidence(links: DataFrame, kind: str, key: str, prefix: str) -> DataFrame:
 
 
 def transaction_context(facts: DataFrame, signals: DataFrame) -> DataFrame:
-    """What the flagged transactions were; facts are reduced to these by a semi-join before they are grouped."""
-    flagged = facts.join(signals.select("transaction_id").distinct(), "transaction_id", "left_semi")
-    return flagged.groupBy("transaction_id").agg(
-        F.min(F.coalesce(blank_to_null("nombre_area"), blank_to_null("nombre_capitulo"), F.col("nombre_partida"))).alias("organization_name"),
-        F.min("nombre_beneficiario").alias("provider_or_recipient_name"), F.max(finite("monto_devengado")).alias("transaction_amount"),
-        F.bool_or(present("orden_compra")).alias("has_purchase_order"), F.bool_or(present("codigo_bip")).alias("has_bip"), F.min("region").alias("region"),
-        *[F.min(blank_to_null(c)).alias(c) for c in PLACES if c in facts.columns],
+    """What the flagged transactions were; facts are reduced to about these where they are, and to these by a semi-join, before they are grouped."""
+    flagged = materialize(signals.select("transaction_id").distinct().withColumn("flagged_", F.xxhash64("transaction_id")), "flagged")
+    places = [c for c in PLACES if c in facts.columns]
+    rows = sieve(facts, F.xxhash64("transaction_id"), flagged, "flagged_").select(
+        "transaction_id", F.coalesce(blank_to_null("nombre_area"), blank_to_null("nombre_capitulo"), F.col("nombre_partida")).alias("organization_name"),
+        "nombre_beneficiario", finite("monto_devengado").alias("amount"), present("orden_compra").alias("order"), present("codigo_bip").alias("bip"), "region",
+        *[blank_to_null(c).alias(c) for c in places],
+    )
+    return rows.join(flagged, "transaction_id", "left_semi").groupBy("transaction_id").agg(
+        F.min("organization_name").alias("organization_name"), F.min("nombre_beneficiario").alias("provider_or_recipient_name"), F.max("amount").alias("transaction_amount"),
+        F.bool_or("order").alias("has_purchase_order"), F.bool_or("bip").alias("has_bip"), F.min("region").alias("region"), *[F.min(c).alias(c) for c in places],
     )
 
 

@@ -20,7 +20,7 @@ from ..sources.facts import normalize
 from ..sources.star import facts
 from . import registry
 from .registry import _ALL, _DUP_KEYS, _DUPLICATE, _EDGES, _MARK_RULES, _MARKS, _PATTERNS, _PRIORITY, _YEAR_COLUMNS, A, PROVIDER, T, _dominant, _plain, _shown, _written_edges, _edges, query, rounded
-from .shared import detect, full_facts
+from .shared import detect, full_facts, full_rows  # noqa: F401  the tests make full_facts once for both modules
 from .years import Years
 
 # --- sources and sinks ----------------------------------------------------------------------------------------------
@@ -349,13 +349,18 @@ _CASES = """fx AS (SELECT * REPLACE (CASE WHEN provider_id <> '' AND CAST(substr
 facts AS (SELECT * FROM fx UNION ALL SELECT * REPLACE (transaction_id || '-2' AS transaction_id) FROM fx WHERE CAST(numero_documento AS BIGINT) % 40 = 7)"""
 
 
-def _cases(f: DataFrame) -> DataFrame:
-    # One row: a proven bound for the broadcast.
-    last = F.broadcast(f.agg(F.max("periodo").alias("last_of_all")))
-    new = (F.col("provider_id") != "") & (F.substring("provider_id", 5, 20).try_cast("long") % 9 == 0) & (F.col("periodo") == F.col("last_of_all"))
-    rows = f.crossJoin(last).withColumn("provider_id", F.when(new, F.concat("provider_id", F.lit("-N"))).otherwise(F.col("provider_id"))).drop("last_of_all")
-    twice = rows.filter(F.col("numero_documento").cast("long") % 40 == 7).withColumn("transaction_id", F.concat("transaction_id", F.lit("-2")))
-    return materialize(rows.unionByName(twice), "cases")
+def _case_rows(spark, sf_dir, f: DataFrame) -> DataFrame:
+    """The cases of ``f``, which is read once."""
+    last = facts(spark, sf_dir, "periodo").agg(F.max("periodo")).first()[0]
+    new = (F.col("provider_id") != "") & (F.substring("provider_id", 5, 20).try_cast("long") % 9 == 0) & (F.col("periodo") == F.lit(last).cast("long"))
+    rows = f.withColumn("provider_id", F.when(new, F.concat("provider_id", F.lit("-N"))).otherwise(F.col("provider_id")))
+    ends = F.when(F.col("numero_documento").cast("long") % 40 == 7, F.array(F.lit(""), F.lit("-2"))).otherwise(F.array(F.lit("")))
+    return rows.withColumn("end_", F.explode(ends)).withColumn("transaction_id", F.concat("transaction_id", "end_")).drop("end_")
+
+
+def _cases(spark, sf_dir, f: DataFrame | None = None) -> DataFrame:
+    """The cases of ``f``, or of the rows that all detectors read, written."""
+    return materialize(_case_rows(spark, sf_dir, f if f is not None else full_rows(spark, sf_dir)), "cases")
 
 
 def _case_sql(body: str) -> str:
@@ -376,7 +381,7 @@ def case_query(body: str):
 @case_query(f"{_ALL} {_shown('sig')}")
 def signals_of_all_kinds(spark, sf_dir):
     """All seven detectors with rows, duplicates and newcomers among them."""
-    return _plain(signals.all_signals(_cases(full_facts(spark, sf_dir)), T))
+    return _plain(signals.all_signals(_cases(spark, sf_dir), T))
 
 
 def _broken_sql(body: str) -> str:
@@ -397,7 +402,7 @@ def _broken(f: DataFrame) -> DataFrame:
 
 def signals_with_broken_amounts(spark, sf_dir):
     """All seven detectors over facts with NaN and infinite amounts, which count as missing."""
-    return _plain(signals.all_signals(_broken(_cases(full_facts(spark, sf_dir))), T))
+    return _plain(signals.all_signals(_broken(_case_rows(spark, sf_dir, full_rows(spark, sf_dir))), T))
 
 
 registry.QUERIES["signals_with_broken_amounts"] = signals_with_broken_amounts
@@ -414,7 +419,7 @@ pr AS (SELECT *, least(100, severity_component + signal_component + cooccurrence
 
 
 def _linked(spark, sf_dir) -> DataFrame:
-    f = _cases(full_facts(spark, sf_dir))
+    f = _cases(spark, sf_dir)
     n = lambda c: F.substring(c, 5, 6).try_cast("long")
     people = f.filter("is_provider and provider_id <> ''").select("provider_id").distinct().withColumn("n", n("provider_id"))
     bodies = f.select("organization_id").distinct().withColumn("n", n("organization_id"))
@@ -441,20 +446,20 @@ def fusion_preview(spark, sf_dir):
 @case_query(f"""s AS (SELECT periodo, mes, organization_id, recipient_id, numero_documento, transaction_id, row_number() OVER (PARTITION BY periodo, mes, organization_id, recipient_id, numero_documento ORDER BY transaction_id) AS rn FROM facts)
 SELECT periodo, mes, organization_id, recipient_id, numero_documento, string_agg(transaction_id, ' ' ORDER BY transaction_id) AS ids FROM s WHERE rn <= 50 GROUP BY ALL HAVING count(*) > 1""")
 def duplicate_supporting_ids(spark, sf_dir):
-    f = _cases(facts(spark, sf_dir, *detect("numero_documento")))
+    f = _cases(spark, sf_dir, facts(spark, sf_dir, *detect("numero_documento")))
     keys = ["periodo", "mes", "organization_id", "recipient_id", "numero_documento"]
     return signals.supporting_transactions(f, keys).select(*keys, F.array_join("supporting_transactions", " ").alias("ids"))
 
 
 @case_query(f"{_DUPLICATE.format(keys=_DUP_KEYS)} {_shown('s_duplicate')}")
 def exact_duplicates_default_keys(spark, sf_dir):
-    return _plain(signals.exact_duplicates(_cases(facts(spark, sf_dir, *detect("numero_documento folio fecha_documento")))))
+    return _plain(signals.exact_duplicates(_cases(spark, sf_dir, facts(spark, sf_dir, *detect("numero_documento folio fecha_documento")))))
 
 
 @case_query(f"{_MARKS} SELECT scope, entity_id, organization_id, year, signal_type, severity, round(metric, 6) AS metric, round(hhi, 6) AS hhi FROM mk")
 def multiyear_marks_of_all_kinds(spark, sf_dir):
     columns = "organization_id provider_id is_provider periodo mes nombre_capitulo nombre_beneficiario monto_devengado numero_documento transaction_id"
-    f = _cases(facts(spark, sf_dir, *columns.split()))
+    f = _cases(spark, sf_dir, facts(spark, sf_dir, *columns.split()))
     from .registry import _PATTERNS
 
     edges = materialize(multiyear.private_edges(multiyear.relations(f), multiyear.service_names(multiyear.service_years(f)), patterns=_PATTERNS), "relations")

@@ -15,10 +15,15 @@ def detect(more: str) -> list[str]:
     return [*_DETECT.split(), *more.split()]
 
 
-def full_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What detectors, priority and territory read together; joined once and written, since each plan reads a few columns of it in nine or more branches."""
+def full_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What detectors, priority and territory read together, not yet written."""
     more = (
         "subtitulo item fecha_documento dias_de_pago numero_documento folio nombre_area nombre_capitulo nombre_partida region nombre_beneficiario "
         "orden_compra codigo_bip monto_pago codigo_ubicacion_geografica nombre_ubicacion_geografica"
     )
-    return materialize(facts(spark, sf_dir, *detect(more)), "facts")
+    return facts(spark, sf_dir, *detect(more))
+
+
+def full_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`full_rows` joined once and written, since each plan reads a few columns of it in nine or more branches."""
+    return materialize(full_rows(spark, sf_dir), "facts")

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quipu.operators import narrow, signals
+from quipu.operators import narrow, priority, signals
+from quipu.sources.star import facts as star_facts
 
 ROWS = 40_000
 
@@ -63,3 +64,38 @@ def test_alike_joins_nulls(spark):
 
 def test_newcomers_without_a_year_before_are_none(spark, facts):
     assert signals.new_to_series(facts.filter("periodo = 2023")).isEmpty() and signals.new_to_series(facts.limit(0)).isEmpty()
+
+
+@pytest.fixture()
+def no_small_tables(spark):
+    """As at a size where nothing is small enough for Spark to broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_sieve_keeps_all_chosen_and_few_others(spark, no_small_tables, tmp_path):
+    rows = spark.range(100_000).withColumn("h", F.xxhash64("id"))
+    for n in (0, 1, 5_000):
+        rows.filter(F.col("id") < n).select(F.col("h").alias("chosen")).write.parquet(f"{tmp_path}/{n}")
+        kept = narrow.sieve(rows, F.col("h"), spark.read.parquet(f"{tmp_path}/{n}"), "chosen")
+        assert kept.columns == ["id", "h"] and kept.filter(F.col("id") < n).count() == n and kept.count() <= n + 10_000 * (n > 0)
+
+
+def test_rows_stay_where_they_are_however_many_repeat(spark, facts, no_small_tables):
+    twice = facts.unionByName(facts.filter("cast(numero_documento as long) % 40 = 7"))
+    assert shuffled(spark, lambda: narrow.repeated(twice, ["transaction_id"]).write.format("noop").mode("overwrite").save()) < 24 * ROWS
+
+
+def test_context_moves_few_rows_that_are_not_flagged(spark, facts, no_small_tables):
+    whole = facts.withColumns({c: F.col("transaction_id") for c in ("nombre_area", "nombre_capitulo", "nombre_partida", "nombre_beneficiario", "orden_compra", "codigo_bip", "region")})
+    flagged = facts.filter("cast(numero_documento as long) % 40 = 7").select("transaction_id")
+    found = []
+    assert shuffled(spark, lambda: found.extend(priority.transaction_context(whole, flagged).collect())) < 30 * ROWS
+    assert len(found) == ROWS // 40 and all(r["organization_name"] == r["transaction_id"] for r in found)
+
+
+def test_lines_are_dealt_once_for_the_join_with_orders(spark, no_small_tables):
+    plan = star_facts(spark, "/root/testdata/sf0.001", "transaction_id", "recipient_id")._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobin" not in plan and plan.count("Exchange hashpartitioning(l_orderkey") == 1
