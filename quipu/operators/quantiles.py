@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import materialize
+from .narrow import sieve
+
 #: Buckets per doubling of 1 + |value|.
 FINENESS = 256
 
@@ -24,11 +27,12 @@ def _ranks(p: float, n: Column, discrete: bool) -> tuple[Column, Column]:
     return F.floor(F.lit(p) * (n - 1)).cast("long"), F.ceil(F.lit(p) * (n - 1)).cast("long")
 
 
-def quantiles(rows: DataFrame, group: list[str], value: str, wanted: dict[str, float], least: int = 1, discrete: bool = False) -> DataFrame:
+def quantiles(rows: DataFrame, group: list[str], value: str, wanted: dict[str, float], least: int = 1, discrete: bool = False, sift: bool = False) -> DataFrame:
     """Per group of at least ``least`` rows: n, and for each name its quantile and the values below and above it (name, name_low, name_high).
 
     ``value`` is a column of numbers, of which missing, NaN and infinite ones don't count; ``group`` may be empty.  Quantiles
-    are interpolated, or the nearest rank if ``discrete``.
+    are interpolated, or the nearest rank if ``discrete``.  With ``sift``, for many groups, the wanted buckets are written
+    first, and rows of other buckets stay where they are instead of being moved to meet them.
     """
     one = F.lit(0).alias("whole_")
     by = group or ["whole_"]
@@ -41,6 +45,9 @@ def quantiles(rows: DataFrame, group: list[str], value: str, wanted: dict[str, f
     start = F.col("to_") - F.col("c_")
     needed = placed.withColumns({"start_": start, "ranks_": F.filter(every, lambda r: (r >= start) & (r < F.col("to_")))}).filter(F.size("ranks_") > 0)
     needed = needed.select(*[F.col(g).alias(f"{g}_of") for g in by], F.col("bucket_").alias("bucket_of"), "n", "start_", "ranks_")
+    if sift:
+        needed = materialize(needed.withColumn("wanted_", F.xxhash64(*[f"{g}_of" for g in by], "bucket_of")), "buckets")
+        own, needed = sieve(own, F.xxhash64(*by, "bucket_"), needed, "wanted_"), needed.drop("wanted_")
     same = F.col("bucket_") == F.col("bucket_of")
     for g in by:
         same = same & F.col(g).eqNullSafe(F.col(f"{g}_of"))

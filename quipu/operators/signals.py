@@ -128,11 +128,11 @@ def robust_outliers(rows: DataFrame, group: list[str], value: str, z: float, min
     log = lambda c: F.log(1 + F.greatest(F.col(c), F.lit(0.0)))
     rows = rows.filter(F.abs(value) < float("inf"))
     b = rows.withColumn("x", log(value))
-    first = quantiles(rows, group, value, {"med": 0.5, "q": quantile}, least=min_group)
+    first = quantiles(rows, group, value, {"med": 0.5, "q": quantile}, least=min_group, sift=True)
     half = F.when(F.col("n") % 2 == 0, 0.5).otherwise(0.0)
     # One row per group, read by three branches.
     first = materialize(first.withColumn("med_x", log("med_low") + (log("med_high") - log("med_low")) * half).select(*group, "med", "q", "med_x"), "medians")
-    spread = quantiles(b.join(first.select(*group, "med_x"), group).withColumn("dev", F.abs(F.col("x") - F.col("med_x"))), group, "dev", {"mad": 0.5})
+    spread = quantiles(b.join(first.select(*group, "med_x"), group).withColumn("dev", F.abs(F.col("x") - F.col("med_x"))), group, "dev", {"mad": 0.5}, sift=True)
     stats = first.join(spread.select(*group, "mad"), group).filter("mad > 0")
     # Whole rows are moved for the join, so those that lie below every limit they could meet stay where they are.
     b = reaching(b, first, group, value, F.greatest(F.col("q"), F.col("med") * min_ratio) - SLACK)

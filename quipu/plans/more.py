@@ -20,7 +20,7 @@ from ..sources.facts import normalize
 from ..sources.star import facts
 from . import registry
 from .registry import _ALL, _DUP_KEYS, _DUPLICATE, _EDGES, _MARK_RULES, _MARKS, _PATTERNS, _PRIORITY, _YEAR_COLUMNS, A, PROVIDER, T, _dominant, _plain, _shown, _written_edges, _edges, query, rounded
-from .shared import detect, full_facts, full_rows  # noqa: F401  the tests make full_facts once for both modules
+from .shared import detect, full_facts, full_rows, signal_rows  # noqa: F401  the tests make full_facts once for both modules
 from .years import Years
 
 # --- sources and sinks ----------------------------------------------------------------------------------------------
@@ -381,7 +381,7 @@ def case_query(body: str):
 @case_query(f"{_ALL} {_shown('sig')}")
 def signals_of_all_kinds(spark, sf_dir):
     """All seven detectors with rows, duplicates and newcomers among them."""
-    return _plain(signals.all_signals(_cases(spark, sf_dir), T))
+    return _plain(signals.all_signals(_cases(spark, sf_dir, signal_rows(spark, sf_dir)), T))
 
 
 def _broken_sql(body: str) -> str:
@@ -402,7 +402,7 @@ def _broken(f: DataFrame) -> DataFrame:
 
 def signals_with_broken_amounts(spark, sf_dir):
     """All seven detectors over facts with NaN and infinite amounts, which count as missing."""
-    return _plain(signals.all_signals(_broken(_case_rows(spark, sf_dir, full_rows(spark, sf_dir))), T))
+    return _plain(signals.all_signals(_broken(_case_rows(spark, sf_dir, signal_rows(spark, sf_dir))), T))
 
 
 registry.QUERIES["signals_with_broken_amounts"] = signals_with_broken_amounts

@@ -321,7 +321,7 @@ SELECT (SELECT count(*) FROM facts) AS transactions, (SELECT count(DISTINCT orga
 def dashboard_metrics(spark, sf_dir):
     from ..operators.dashboard import metrics
 
-    f = full_facts(spark, sf_dir)
+    f = full_facts(spark, sf_dir, "monto_pago")
     return metrics(f, signals.all_signals(f, T))
 
 

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quipu.operators import narrow, priority, signals
+from quipu.operators.quantiles import quantiles
+from quipu.plans import shared
 from quipu.sources.star import facts as star_facts
 
 ROWS = 40_000
@@ -99,3 +101,24 @@ def test_context_moves_few_rows_that_are_not_flagged(spark, facts, no_small_tabl
 def test_lines_are_dealt_once_for_the_join_with_orders(spark, no_small_tables):
     plan = star_facts(spark, "/root/testdata/sf0.001", "transaction_id", "recipient_id")._jdf.queryExecution().executedPlan().toString()
     assert "RoundRobin" not in plan and plan.count("Exchange hashpartitioning(l_orderkey") == 1
+
+
+def test_quantiles_of_many_groups_leave_rows_where_they_are(spark, no_small_tables):
+    """Rows outside the wanted buckets are not moved, and the quantiles are the same as without."""
+    rows = spark.range(ROWS * 4).select((F.col("id") % 20).cast("string").alias("g"), (F.pmod(F.xxhash64("id"), F.lit(10**6)) / 7).alias("v")).repartition(4)
+    rows = rows.unionByName(spark.createDataFrame([(None, 1.0), (None, 2.0), ("1", None)], "g string, v double"))
+    moved, found = {}, {}
+    for sift in (False, True):
+        moved[sift] = shuffled(spark, lambda: found.update({sift: sorted(map(str, quantiles(rows, ["g"], "v", {"med": 0.5, "q": 0.99}, sift=sift).collect()))}))
+    assert found[True] == found[False] and len(found[True]) == 21 and moved[True] < moved[False] * 0.7
+
+
+def test_facts_hold_what_their_readers_read(spark):
+    """Each column is a column of all lines, moved with them and written: none is carried along for no reader."""
+    assert "monto_pago" not in shared.full_rows(spark, "/root/testdata/sf0.001").columns
+    assert not {"region", "nombre_beneficiario", "orden_compra", "codigo_bip"} & set(shared.signal_rows(spark, "/root/testdata/sf0.001").columns)
+
+
+def test_lines_are_moved_with_days_not_times(spark, no_small_tables):
+    plan = star_facts(spark, "/root/testdata/sf0.001", "transaction_id", "recipient_id", "fecha_pago")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("as date)") == 1 and "as date) AS l_shipdate" in plan.split("Join Inner")[1]
