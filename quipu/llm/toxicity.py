@@ -136,7 +136,7 @@ class Trie:
 
 
 class Matcher:
-    """Says of a word whether it is a hit: 'exact', 'near' or None; remembers a bounded number of words."""
+    """Says of a word whether it is a hit: 'exact', 'near' or None; remembers a bounded number of words and of their starts."""
 
     #: Letters of a word on which the first ``PROBE`` levels of the walk depend, at one edit.
     PROBE = 3
@@ -158,6 +158,8 @@ class Matcher:
             return None
         start = word[: self.PROBE + 1]
         if (alive := self.alive.get(start)) is None:
+            if len(self.alive) >= self.most:
+                self.alive.clear()
             alive = self.alive[start] = bool(self.trie.within_one(start, self.PROBE))
         return "near" if alive and self.trie.within_one(word) else None
 

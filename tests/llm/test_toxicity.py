@@ -176,3 +176,15 @@ def test_columns_of_clashing_names(spark):
 def test_a_misspelt_term_of_four_letters_is_near():
     matcher = toxicity.Matcher(toxicity.Model(terms=["scum", "sun"], benign=["slum"]))
     assert [matcher.kind(w) for w in ("scum", "scumm", "scun", "slum", "scm", "sum", "suns")] == ["exact", "near", "near", None, None, None, None]
+
+
+def test_a_matcher_holds_a_bounded_number_of_starts():
+    """Words of every start, as junk has them: what a worker remembers doesn't grow with them, and their kinds stay the same."""
+    rng = random.Random(4)
+    model = toxicity.Model(terms=["idiot", "moron"], stems=["fool"])
+    small, whole = toxicity.Matcher(model, most=500), toxicity.Matcher(model)
+    for _ in range(20):
+        words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=6)) for _ in range(200)] + ["idiott", "morn", "fooled", "idiot"]
+        assert small.hits(words) == whole.hits(words) and len(small.hits(words)) >= 4
+        assert max(len(small.alive), len(small.seen), len(small.kinds)) <= 500
+    assert len(whole.alive) > 500
