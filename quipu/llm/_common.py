@@ -18,15 +18,22 @@ from ..sources.star import spread
 BATCH_ROWS = 2000
 BATCH_BYTES = 16 << 20
 
+#: Rows that a Parquet reader decodes at once, and bytes of a row group, which a writer holds whole: a task's heap follows both.
+READ_ROWS = 256
+GROUP_BYTES = 16 << 20
+
 
 def prepare(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds, so that a worker's memory does not follow the text lengths, and ship this package to the workers.
+    """Bound what one Arrow batch and one Parquet reader or writer hold, so that memory does not follow the text lengths or the size of a
+    task, and ship this package to the workers.
 
-    The two settings stay for the rest of the session: plans are lazy, so they must hold when a result is read.
+    The settings stay for the rest of the session: plans are lazy, so they must hold when a result is read or written.
     """
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READ_ROWS))
+    spark.conf.set("parquet.block.size", str(GROUP_BYTES))
 
 
 class Scratch:

@@ -50,3 +50,20 @@ def test_repeated_keys_lose_no_text(spark, tmp_path):
     rows = [(r["doc_id"], r["text"]) for r in both.collect()]
     groups = plain_kept(rows)
     assert len(kept) == len(groups) and all(sum((r["doc_id"], r["text"] or "") in g for r in kept) >= 1 for g in groups)
+
+
+def test_readers_and_writers_hold_a_bounded_share_of_a_task(spark, tmp_path):
+    """A writer held 128 MB, and a reader 4,096 texts, for each task that runs at once."""
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from quipu.llm._common import GROUP_BYTES, prepare
+
+    prepare(spark)
+    words = [F.md5(F.concat("id", F.lit(f" {k}"))) for k in range(400)]
+    spark.range(5000, numPartitions=1).select(F.col("id").alias("doc_id"), F.concat(*words).alias("text")).write.parquet(f"{tmp_path}/long")
+    (part,) = (tmp_path / "long").glob("part-*")
+    groups = pq.ParquetFile(part).metadata
+    assert groups.num_row_groups > 2 and max(groups.row_group(k).total_byte_size for k in range(groups.num_row_groups)) < 2 * GROUP_BYTES
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) * 12800 < GROUP_BYTES
+    assert spark.read.parquet(f"{tmp_path}/long").agg(F.sum(F.length("text"))).first()[0] == 5000 * 400 * 32
